@@ -36,8 +36,14 @@ def round_measure(cell: Column, digits: int = 1) -> Column:
 
 
 def scientific(cell: Column) -> Column:
-    """``400`` to ``4.00E+2``; the exponent has no leading zero."""
-    return F.regexp_replace(F.format_string("%.2E", to_exact(cell).cast("double")), r"E([+-])0", "E$1")
+    """Three significant digits as ``4.00E+2``: ties go to the even digit, no zero leads the exponent."""
+    digits = F.format_string("%.14E", to_exact(cell).cast("double"))
+    mantissa = F.bround(F.regexp_extract(digits, "^(-?[0-9.]+)E", 1).try_cast(DecimalType(17, 14)), 2)
+    exponent = F.regexp_extract(digits, "E([+-][0-9]+)$", 1).try_cast("int")
+    carried = F.abs(mantissa) >= 10
+    shown = F.when(carried, mantissa / 10).otherwise(mantissa).cast(DecimalType(4, 2)).cast("string")
+    power = exponent + carried.cast("int")
+    return F.concat(shown, F.when(power < 0, "E-").otherwise("E+"), F.abs(power).cast("string"))
 
 
 def dilution(cell: Column) -> Column:

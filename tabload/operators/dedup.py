@@ -14,6 +14,9 @@ from tabload.operators.joins import lookup_by_hot_key, join_on
 
 
 def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    if not order:
+        # All columns are keys: rows of a key are equal.
+        return df.dropDuplicates([key.strip("`") for key in keys])
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 

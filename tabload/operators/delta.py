@@ -46,7 +46,7 @@ def classify(incoming: DataFrame, current: DataFrame, spec: DeltaSpec, few_keys:
 
     Stale rows carry a lower version than the current row; they are reported, not applied.
 
-    Pass ``few_keys`` only after a check of the incoming row count; the keys are then broadcast.
+    Pass ``few_keys`` only after a check of the size of the incoming keys; they are then broadcast.
     """
     keys = list(spec.keys)
     columns = compared_columns(incoming, current, spec)
@@ -72,11 +72,12 @@ def updates(classified: DataFrame, spec: DeltaSpec) -> DataFrame:
     return classified.filter(F.col(spec.label) == "update").drop(spec.label)
 
 
-def merge_snapshot(current: DataFrame, classified: DataFrame, spec: DeltaSpec, few_keys: bool = False) -> DataFrame:
+def merge_snapshot(current: DataFrame, classified: DataFrame, spec: DeltaSpec, few_changes: bool = False) -> DataFrame:
     """The next snapshot: current rows with updates applied, plus inserts.
 
     A column the incoming rows lack keeps its current value, or becomes NULL in updated rows with
-    ``absent_columns="null"``. Ignored columns keep their current value.
+    ``absent_columns="null"``. Ignored columns keep their current value. Pass ``few_changes`` only
+    after a check of the size of the updates; they are then broadcast.
     """
     keys = list(spec.keys)
     incoming_columns = [c for c in classified.columns if c != spec.label]
@@ -85,7 +86,7 @@ def merge_snapshot(current: DataFrame, classified: DataFrame, spec: DeltaSpec, f
     changes = updates(classified, spec).select(
         *keys, F.struct(*[F.col(f"`{c}`") for c in written], F.lit(True).alias("_hit")).alias("_new")
     )
-    joined = join_on(current, F.broadcast(changes) if few_keys else changes, keys, "left")
+    joined = join_on(current, F.broadcast(changes) if few_changes else changes, keys, "left")
     hit = F.col("_new").isNotNull()
     outputs = []
     for name in current.columns:

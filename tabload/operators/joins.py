@@ -95,6 +95,17 @@ def compare_stored(computed: DataFrame, stored: DataFrame, keys: list[str], valu
     )
 
 
+def fits_broadcast(rows: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 256 << 20) -> bool:
+    """Whether a table may be sent whole to every executor (runs jobs; meant for staged tables).
+
+    The row count comes from file footers; only few rows are then measured, as JSON text.
+    """
+    if rows.count() > max_rows:
+        return False
+    measured = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    return (measured.bytes or 0) <= max_bytes
+
+
 def lookup_by_hot_key(
     facts: DataFrame, per_key: DataFrame, keys: list[str], rows: str, max_hot_keys: int = 1000
 ) -> DataFrame:

@@ -78,7 +78,9 @@ class SnapshotStore:
 
     def read(self, table: str, schema: StructType) -> DataFrame:
         """Current table; an empty one with the given schema if it was never published."""
-        path = self.locations().get(table)
+        return self.open(self.locations().get(table), schema)
+
+    def open(self, path: str | None, schema: StructType) -> DataFrame:
         if path is None:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import codecs
 import csv
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tabload.operators.reshape import union_all
-from tabload.sources.listing import metadata_path
+from tabload.sources.listing import literal_path, metadata_path
 
 PATH_COLUMN = "_path"
 MALFORMED_COLUMN = "_malformed"
@@ -61,11 +60,6 @@ def column_names(header: list[str]) -> list[str]:
     return names
 
 
-def _literal_path(path: str) -> str:
-    """A path whose glob characters stand for themselves."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
 def read_shape(spark: SparkSession, header: list[str], paths: list[str], multi_line: bool = False) -> DataFrame:
     """All files with one header: every column as text, plus path and malformed record."""
     names = column_names(header)
@@ -77,7 +71,7 @@ def read_shape(spark: SparkSession, header: list[str], paths: list[str], multi_l
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED_COLUMN)
         .option("multiLine", str(multi_line).lower())
-        .csv([_literal_path(path) for path in paths])
+        .csv([literal_path(path) for path in paths])
     )
     return rows.select("*", metadata_path().alias(PATH_COLUMN))
 
@@ -111,5 +105,5 @@ def read_delimited(files: DataFrame, multi_line: bool = False) -> DataFrame | No
 def read_pairs(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Two-column files as (key, value) rows, the header line included."""
     schema = StructType([StructField("key", StringType()), StructField("value", StringType())])
-    rows = spark.read.schema(schema).option("header", "false").option("escape", '"').csv([_literal_path(p) for p in paths])
+    rows = spark.read.schema(schema).option("header", "false").option("escape", '"').csv([literal_path(p) for p in paths])
     return rows.select("*", metadata_path().alias(PATH_COLUMN))

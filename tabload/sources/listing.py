@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,24 +10,30 @@ from tabload.functions import text
 from tabload.operators.dedup import latest_per_group
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, root: str, pattern: str = "*", folders: list[str] | None = None) -> DataFrame:
     """All files under a folder: full path, path below the folder, size and time of change.
 
-    Only the listing is read; the content column is pruned.
+    Only the listing is read; the content column is pruned. ``folders`` narrows the listing to
+    some folders below ``root``.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .load(root)
+        .load([literal_path(folder) for folder in folders] if folders else literal_path(root))
         .select("path", F.col("modificationTime").alias("modified_at"), F.col("length").alias("size"))
     )
     return files.withColumn("key", relative_key(F.col("path"), root))
 
 
+def literal_path(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def relative_key(path: Column, root: str) -> Column:
     """Path below the listing root."""
-    folder = unquote(root.rstrip("/")).removeprefix("file:")
+    folder = root.rstrip("/").removeprefix("file:")
     while folder.startswith("//"):
         folder = folder[1:]
     return F.substring_index(path, f"{folder}/", -1)
