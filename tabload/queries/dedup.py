@@ -5,8 +5,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabload.operators import dedup, reshape
 from tabload.queries import query, table
 
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
-LINE_COLUMNS = ["l_orderkey", *LINE_ORDER, "l_quantity", "l_extendedprice", "l_returnflag"]
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag"]
+LINE_COLUMNS = ["l_orderkey", *LINE_ORDER]
+_LINE_ORDER_SQL = ", ".join(LINE_ORDER)
+_LINE_ORDER_DESC_SQL = ", ".join(f"{name} desc" for name in LINE_ORDER)
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,29 +17,28 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("keep_last", f"""
     select {", ".join(LINE_COLUMNS)} from lineitem
-    qualify row_number() over (partition by l_orderkey
-                               order by l_linenumber desc, l_partkey desc, l_suppkey desc) = 1""")
+    qualify row_number() over (partition by l_orderkey order by {_LINE_ORDER_DESC_SQL}) = 1""")
 def keep_last(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.keep_last(_lines(spark, folder), ["l_orderkey"], LINE_ORDER)
 
 
 @query("keep_first", f"""
     select {", ".join(LINE_COLUMNS)} from lineitem
-    qualify row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) = 1""")
+    qualify row_number() over (partition by l_orderkey order by {_LINE_ORDER_SQL}) = 1""")
 def keep_first(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.keep_first(_lines(spark, folder), ["l_orderkey"], LINE_ORDER)
 
 
-@query("last_value_first_version", """
+@query("last_value_first_version", f"""
     with last as (
-        select * from lineitem qualify row_number() over (
-            partition by l_orderkey order by l_linenumber desc, l_partkey desc, l_suppkey desc) = 1)
+        select * from lineitem
+        qualify row_number() over (partition by l_orderkey order by {_LINE_ORDER_DESC_SQL}) = 1)
     select last.l_orderkey, (select min(l_linenumber) from lineitem f where f.l_orderkey = last.l_orderkey) as l_linenumber,
            l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag
     from last""")
 def last_value_first_version(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.last_value_first_version(
-        _lines(spark, folder), ["l_orderkey"], "l_linenumber", ["l_partkey", "l_suppkey"]
+        _lines(spark, folder), ["l_orderkey"], "l_linenumber", LINE_ORDER[1:]
     )
 
 
