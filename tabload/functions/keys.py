@@ -9,8 +9,9 @@ from tabload.functions.text import strip
 
 def visit_number(cell: Column) -> Column:
     """Canonical text of a visit number: ``Baseline(1)`` is 1, ``01`` and ``1.0`` are ``1``."""
-    text = F.regexp_replace(strip(cell.cast("string")), r"^Baseline\(1\)$", "1")
-    return F.regexp_replace(F.regexp_replace(text, r"^([0-9]+)\.0$", "$1"), r"^0+([0-9]+)$", "$1")
+    text = strip(cell.cast("string"))
+    number = F.regexp_extract(text, r"^0*([0-9]+)(?:\.0)?$", 1)
+    return F.when(text == "Baseline(1)", "1").otherwise(F.coalesce(F.nullif(number, F.lit("")), text))
 
 
 def padded_visit(cell: Column) -> Column:

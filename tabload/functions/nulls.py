@@ -19,7 +19,9 @@ def text_sentinel_to_null(cell: Column) -> Column:
 
 
 def number_sentinel_to_null(number: Column) -> Column:
-    return F.when(~number.isin(*NUMBER_SENTINELS), number)
+    for value in NUMBER_SENTINELS:
+        number = F.nullif(number, F.lit(value))
+    return number
 
 
 def number_text_to_null(cell: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Number expressions. Rounding works on decimals (half up), so it agrees between engines."""
+"""Number expressions. Rounding is half up on the decimal form of a number."""
 
 from __future__ import annotations
 
@@ -10,16 +10,18 @@ from pyspark.sql.types import DecimalType
 from tabload.functions.nulls import number_sentinel_to_null, number_text_to_null
 from tabload.functions.text import strip
 
+
 EXACT = DecimalType(30, 10)
 
 
-def to_exact(cell: Column) -> Column:
-    """Text or number as a decimal, NULL where it is neither."""
-    return cell.try_cast(EXACT)
+def to_number(cell: Column) -> Column:
+    """Text or number as a finite double, NULL where it is neither."""
+    return F.nullif(F.nullif(F.nullif(cell.try_cast("double"), F.lit(float("nan"))), F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def round_half_up(cell: Column, digits: int) -> Column:
-    return F.round(to_exact(cell), digits).cast("double")
+    """Rounded as a decimal of ten places, so that computed values do not miss a tie by an ulp."""
+    return F.round(cell.try_cast(EXACT), digits).cast("double")
 
 
 def drop_top_code(cell: Column) -> Column:
@@ -37,7 +39,7 @@ def round_measure(cell: Column, digits: int = 1) -> Column:
 
 def scientific(cell: Column) -> Column:
     """Three significant digits as ``4.00E+2``: ties go to the even digit, no zero leads the exponent."""
-    digits = F.format_string("%.14E", to_exact(cell).cast("double"))
+    digits = F.format_string("%.14E", to_number(cell))
     mantissa = F.bround(F.regexp_extract(digits, "^(-?[0-9.]+)E", 1).try_cast(DecimalType(17, 14)), 2)
     exponent = F.regexp_extract(digits, "E([+-][0-9]+)$", 1).try_cast("int")
     carried = F.abs(mantissa) >= 10
@@ -49,7 +51,7 @@ def scientific(cell: Column) -> Column:
 def dilution(cell: Column) -> Column:
     """Undiluted (``none``) is 1; NULL stays NULL."""
     number = F.when(cell == "none", F.lit("1")).otherwise(cell)
-    return F.when(to_exact(number).isNotNull(), scientific(number))
+    return F.when(to_number(number).isNotNull(), scientific(number))
 
 
 def uncensor(cell: Column) -> Column:
@@ -66,23 +68,38 @@ def censor_flag(cell: Column) -> Column:
     )
 
 
+def compare_number(number: Column) -> Column:
+    """Number as it is compared: sentinels to NULL, four decimals."""
+    return F.round(number_sentinel_to_null(number), 4)
+
+
 def compare_form(cell: Column) -> Column:
-    """Number as it is compared: markers to NULL, four decimals."""
-    text = number_text_to_null(cell.cast("string"))
-    return F.round(number_sentinel_to_null(to_exact(text)), 4)
+    """Text as the number that is compared; texts without a number are NULL."""
+    return compare_number(to_number(number_text_to_null(cell)))
+
+
+def told_number(cell: Column) -> Column:
+    """Text of a number column: the first visit's label is 1, texts for "none" are NULL."""
+    return number_text_to_null(F.when(cell == "Baseline(1)", "1").otherwise(cell))
+
+
+def as_double(number: Column) -> Column:
+    return F.round(number_sentinel_to_null(number), 5)
+
+
+def as_whole(number: Column) -> Column:
+    kept = number_sentinel_to_null(number)
+    return F.when(kept == F.floor(kept), kept.try_cast("bigint"))
 
 
 def lenient_number(cell: Column) -> Column:
     """Whole numbers as they are, others to five decimals, NULL for anything else."""
-    text = F.when(cell == "Baseline(1)", F.lit("1")).otherwise(cell)
-    return F.round(number_sentinel_to_null(to_exact(number_text_to_null(text))), 5).cast("double")
+    return as_double(to_number(told_number(cell)))
 
 
 def whole_number(cell: Column) -> Column:
     """Whole numbers as bigint, NULL for anything else (also for a fraction)."""
-    number = to_exact(number_text_to_null(F.when(cell == "Baseline(1)", F.lit("1")).otherwise(cell)))
-    kept = number_sentinel_to_null(number)
-    return F.when(kept == F.floor(kept), kept.try_cast("bigint"))
+    return as_whole(to_number(told_number(cell)))
 
 
 def band(number: Column, bands: tuple[tuple[float | None, str], ...], current: Column) -> Column:
@@ -95,8 +112,7 @@ def band(number: Column, bands: tuple[tuple[float | None, str], ...], current: C
 
 def row_mean(*cells: Column) -> Column:
     """Mean over the columns of a row, ignoring NULLs; NULL if there are none."""
-    exact = [to_exact(cell) for cell in cells]
-    zero = F.lit(0).cast(EXACT)
-    total = reduce(lambda left, right: left + right, [F.coalesce(cell, zero).cast("double") for cell in exact])
-    count = reduce(lambda left, right: left + right, [cell.isNotNull().cast("int") for cell in exact])
+    numbers = [to_number(cell) for cell in cells]
+    total = reduce(lambda left, right: left + right, [F.coalesce(number, F.lit(0.0)) for number in numbers])
+    count = reduce(lambda left, right: left + right, [number.isNotNull().cast("int") for number in numbers])
     return F.try_divide(total, count)

@@ -6,25 +6,31 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+# What counts as white space at the ends of a text, beyond ASCII too.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def dash(cell: Column) -> Column:
     """En dash to hyphen."""
-    return F.translate(cell, "–", "-")
+    return F.replace(cell, F.lit("–"), F.lit("-"))
 
 
 def strip(cell: Column) -> Column:
     """Remove white space (tabs and line ends too) at both ends."""
-    return F.regexp_replace(cell, r"^\s+|\s+$", "")
+    return F.trim(cell, F.lit(WHITE_SPACE))
 
 
 def canonical(cell: Column) -> Column:
     """Compare form of a text: stripped, without single quotes, NULL if nothing is left."""
-    return F.nullif(F.translate(strip(cell), "'", ""), F.lit(""))
+    return F.nullif(F.replace(strip(cell), F.lit("'"), F.lit("")), F.lit(""))
 
 
 def strip_trailing_zero(cell: Column) -> Column:
     """``10.0`` to ``10``; ``10.05`` stays."""
-    return F.regexp_replace(cell, r"\.0$", "")
+    return F.when(cell.endswith(".0"), F.substring(cell, F.lit(1), F.length(cell) - 2)).otherwise(cell)
 
 
 def recode(cell: Column, mapping: dict[str, str]) -> Column:
@@ -43,14 +49,24 @@ def remove_literals(cell: Column, literals: tuple[str, ...]) -> Column:
     return F.regexp_replace(cell, "|".join(re.escape(text) for text in literals), "")
 
 
+def _is_digit(character: Column) -> Column:
+    return character.between("0", "9")
+
+
 def pad_aliquot_id(cell: Column) -> Column:
     """Normalise a 13-character parent, ``_`` and a number.
 
     At most two digits are kept, text after the digits goes, one digit gets a leading zero.
     """
-    two_digits = F.regexp_replace(cell, r"^(.{14}[0-9]{2}).*$", "$1")
-    one_digit = F.regexp_replace(two_digits, r"^(.{14}[0-9])([^0-9].*)?$", "$1")
-    return F.regexp_replace(one_digit, r"^(.{13})_([0-9])$", "$1_0$2")
+    first, second = F.substring(cell, 15, 1), F.substring(cell, 16, 1)
+    single = F.when(
+        F.substring(cell, 14, 1) == "_", F.concat(F.substring(cell, 1, 13), F.lit("_0"), first)
+    ).otherwise(F.substring(cell, 1, 15))
+    return (
+        F.when(_is_digit(first) & _is_digit(second), F.substring(cell, 1, 16))
+        .when(_is_digit(first), single)
+        .otherwise(cell)
+    )
 
 
 def site_prefix(cell: Column) -> Column:

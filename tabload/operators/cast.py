@@ -17,52 +17,76 @@ def base_type(declared: str) -> str:
 
 def typed(cell: Column, declared: str) -> Column:
     """One text cell in its declared type, NULL where it does not fit."""
+    told, parse, value, _ = _steps(declared)
+    return value(parse(told(cell)))
+
+
+def _steps(declared: str):
+    """How to read a cell: text that is due a value, parsed value, stored value, and the failure test
+    on (text, parsed, stored)."""
     kind = base_type(declared)
+
+    def unparsed(text, parsed, stored):
+        return text.isNotNull() & parsed.isNull()
+
+    def not_whole(text, parsed, stored):
+        return text.isNotNull() & (parsed.isNull() | (stored.isNull() & nulls.number_sentinel_to_null(parsed).isNotNull()))
+
+    def same(cell):
+        return cell
+
     if kind in INTEGERS:
-        return numbers.whole_number(cell)
+        return numbers.told_number, numbers.to_number, numbers.as_whole, not_whole
     if kind in NUMBERS:
-        return numbers.lenient_number(cell)
+        return numbers.told_number, numbers.to_number, numbers.as_double, unparsed
     if kind == "DATE":
-        return dates.parse_date(cell)
+        return nulls.date_text_to_null, dates.parse_date, same, unparsed
     if kind in ("DATETIME", "TIMESTAMP"):
-        return dates.parse_timestamp(cell)
+        return nulls.date_text_to_null, dates.parse_timestamp, same, unparsed
     if kind == "TIME":
-        return dates.parse_time(cell)
-    return cell
-
-
-def expected(cell: Column, declared: str) -> Column:
-    """The cell where a value of the declared type is due, NULL where its text means "none"."""
-    kind = base_type(declared)
-    if kind in INTEGERS + NUMBERS:
-        text = nulls.number_text_to_null(cell)
-        number = numbers.to_exact(text)
-        return F.when(number.isNull() | nulls.number_sentinel_to_null(number).isNotNull(), text)
-    if kind in ("DATE", "DATETIME", "TIMESTAMP"):
-        return nulls.date_text_to_null(cell)
-    return nulls.blank_tokens(cell)
+        return nulls.blank_tokens, dates.parse_time, same, unparsed
+    return same, same, same, None
 
 
 def schema_cast(df: DataFrame, spec: CastSpec) -> DataFrame:
-    """Type every column in one projection; columns without a declared type stay text.
+    """Type every column; columns without a declared type stay text.
 
     Cells that hold a value but not one of the declared type become NULL, and the names of their
-    columns are listed in the reject column.
+    columns are listed in the reject column. Texts, parsed values and stored values are separate
+    projections, so each cell is parsed once.
     """
-    outputs, failed = [], []
-    for name in df.columns:
+    texts, parsed, stored, failed = [], [], [], []
+    for at, name in enumerate(df.columns):
         declared = spec.types.get(name, "VARCHAR(255)")
-        raw = F.col(f"`{name}`").cast("string")
-        cell = numbers.uncensor(raw) if name in spec.censored else raw
-        if name in spec.one_decimal:
-            cell = F.coalesce(numbers.round_measure(cell, 1).cast("string"), cell)
+        told, parse, value, fails = _steps(declared)
+        cell = F.col(f"`{name}`").cast("string")
+        if name in spec.censored:
+            cell = numbers.uncensor(cell)
         if name in spec.dilution and spec.dilution_requires in df.columns:
-            value, wanted = numbers.dilution(cell), nulls.blank_tokens(cell)
-        else:
-            value, wanted = typed(cell, declared), expected(cell, declared)
-        outputs.append(value.alias(name))
-        failed.append(F.when(wanted.isNotNull() & value.isNull(), F.lit(name)))
-    return df.select(*outputs, F.array_compact(F.array(*failed)).alias(spec.reject_column))
+            told, parse, value, fails = nulls.blank_tokens, numbers.dilution, lambda c: c, lambda t, p, s: t.isNotNull() & p.isNull()
+        elif name in spec.one_decimal and fails is not None:
+            told, parse = _after_top_code(told), _one_decimal(parse)
+        elif name in spec.one_decimal:
+            cell = F.coalesce(numbers.round_measure(cell, 1).cast("string"), cell)
+        text, number, kept = F.col(f"_t{at}"), F.col(f"_p{at}"), F.col(f"`{name}`")
+        texts.append(told(cell).alias(f"_t{at}"))
+        parsed += [text, parse(text).alias(f"_p{at}")] if fails else [text]
+        stored += [text, number, value(number).alias(name)] if fails else [text.alias(name)]
+        if fails:
+            failed.append(F.when(fails(text, number, kept), F.lit(name)))
+    rejects = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    return (
+        df.select(*texts).select(*parsed).select(*stored)
+        .select(*[F.col(f"`{c}`") for c in df.columns], rejects.alias(spec.reject_column))
+    )
+
+
+def _after_top_code(told):
+    return lambda cell: told(numbers.drop_top_code(cell))
+
+
+def _one_decimal(parse):
+    return lambda text: F.round(parse(text), 1)
 
 
 def split_rejects(df: DataFrame, spec: CastSpec) -> tuple[DataFrame, DataFrame]:

@@ -36,7 +36,7 @@ def _differs(incoming: DataFrame, columns: list[str]) -> Column:
         if isinstance(kind, StringType):
             new, old = text.canonical(new), text.canonical(old)
         elif isinstance(kind, (FractionalType, DecimalType)):
-            new, old = numbers.compare_form(new), numbers.compare_form(old)
+            new, old = numbers.compare_number(new.cast("double")), numbers.compare_number(old.cast("double"))
         tests.append(~new.eqNullSafe(old))
     return reduce(lambda one, other: one | other, tests) if tests else F.lit(False)
 

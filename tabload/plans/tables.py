@@ -248,7 +248,7 @@ def assemble(run: Run, table: str, kind: str, rows: DataFrame) -> DataFrame:
     if set(config.DURATION_COLUMNS) <= set(rows.columns):
         rows = rows.withColumn(
             "Average_Duration_Of_Test",
-            numbers.row_mean(*[numbers.compare_form(F.col(c)) for c in config.DURATION_COLUMNS]),
+            numbers.row_mean(*[numbers.compare_form(F.col(c).cast("string")) for c in config.DURATION_COLUMNS]),
         )
     if table == CONTAINER_TABLE:
         rows = clean.rename_by_part(rows, {

@@ -67,7 +67,7 @@ def fill_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("trim_all", r"""
-    select doc_id, regexp_replace(chr(9) || '  ' || text || ' ' || chr(10), '^\s+|\s+$', '', 'g') as text,
+    select doc_id, trim(chr(9) || '  ' || text || ' ' || chr(10), ' ' || chr(9) || chr(10) || chr(13) || chr(160)) as text,
            regexp_replace(' ' || source || chr(9), '^\s+|\s+$', '', 'g') as source
     from documents""")
 def trim_all(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,7 +130,7 @@ def regex_strip(spark: SparkSession, folder: str) -> DataFrame:
 @query("dash_normalise", """
     select doc_id, replace(replace(text, ',', '–'), '–', '-') as text, lang from documents""")
 def dash_normalise(spark: SparkSession, folder: str) -> DataFrame:
-    dashed = table(spark, folder, "documents").select("doc_id", F.translate("text", ",", "–").alias("text"), "lang")
+    dashed = table(spark, folder, "documents").select("doc_id", F.replace(F.col("text"), F.lit(","), F.lit("–")).alias("text"), "lang")
     return clean.normalise_dashes(dashed)
 
 

@@ -28,11 +28,8 @@ def lenient_cast(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.format_string("%.2f", "o_totalprice"))
     )
     rows = table(spark, folder, "orders").select("o_orderkey", said.alias("said"))
-    wanted = cast.expected(F.col("said"), "DOUBLE")
-    return rows.withColumn("number", numbers.lenient_number(F.col("said"))).select(
-        "o_orderkey", "number",
-        F.coalesce(wanted.isNotNull() & F.col("number").isNull(), F.lit(False)).alias("rejected"),
-    )
+    typed = cast.schema_cast(rows.withColumnRenamed("said", "number"), CastSpec({"o_orderkey": "BIGINT", "number": "DOUBLE"}))
+    return typed.select("o_orderkey", "number", F.array_contains("_bad", "number").alias("rejected"))
 
 
 @query("schema_cast", f"""
@@ -98,7 +95,7 @@ def numeric_canonical(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_type")
     said = F.when(kind == "error", "Not Reported").when(kind == "signup", "none").otherwise(F.col("value").cast("string"))
     return table(spark, folder, "events").select(
-        "event_id", numbers.compare_form(said).cast("double").alias("value")
+        "event_id", numbers.compare_form(said).alias("value")
     )
 
 
