@@ -50,8 +50,22 @@ ONE_DECIMAL_COLUMNS = (
 # Columns whose text keeps a trailing ".0".
 KEEP_TRAILING_ZERO = ("Derived_Result", "Raw_Result", "BMI", "Sample_Dilution")
 
-DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "yyyy/MM/dd", "d-MMM-yyyy", "MMM d, yyyy", "yyyyMMdd")
-TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
+# Date and time layouts, each with the shape of a text that is tried in it.
+DATE_FORMATS = (
+    ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+    ("d-MMM-yyyy", r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"),
+    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
+    ("yyyyMMdd", r"^\d{8}$"),
+)
+TIMESTAMP_FORMATS = (
+    ("yyyy-M-d H:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$"),
+    ("yyyy-M-d H:mm:ss.SSSSSS", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}\.\d{6}$"),
+    ("yyyy-M-d'T'H:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{2}:\d{2}$"),
+    ("M/d/yyyy H:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$"),
+    ("M/d/yyyy H:mm:ss", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$"),
+)
 SUBMISSION_TIME_FORMATS = ("HH-mm-ss-MM-dd-yyyy", "yyyy-MM-dd-HH-mm-ss")
 
 # Participants whose id starts with one of these keep the cohort of each record.

@@ -8,15 +8,23 @@ from tabload.config import DATE_FORMATS, SUBMISSION_TIME_FORMATS, TIMESTAMP_FORM
 from tabload.functions.nulls import date_text_to_null
 
 
-def parse_date(cell: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """First format that fits, NULL if none does."""
-    text = date_text_to_null(cell)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(pattern)).cast("date") for pattern in formats])
+Formats = tuple[tuple[str, str], ...]
 
 
-def parse_timestamp(cell: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS + DATE_FORMATS) -> Column:
-    text = date_text_to_null(cell)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(pattern)) for pattern in formats])
+def _by_shape(text: Column, formats: Formats) -> Column:
+    """Parse in the layout whose shape the text has; one attempt per cell, NULL if none fits."""
+    chain = F.when(text.isNull(), F.lit(None).cast("timestamp"))
+    for layout, shape in formats:
+        chain = chain.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout)))
+    return chain
+
+
+def parse_date(cell: Column, formats: Formats = DATE_FORMATS) -> Column:
+    return _by_shape(date_text_to_null(cell), formats).cast("date")
+
+
+def parse_timestamp(cell: Column, formats: Formats = TIMESTAMP_FORMATS + DATE_FORMATS) -> Column:
+    return _by_shape(date_text_to_null(cell), formats)
 
 
 def submission_time(part: Column) -> Column:

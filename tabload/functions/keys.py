@@ -9,14 +9,12 @@ from tabload.functions.text import strip
 
 def visit_number(cell: Column) -> Column:
     """Canonical text of a visit number: ``Baseline(1)`` is 1, ``01`` and ``1.0`` are ``1``."""
-    text = strip(cell.cast("string"))
-    number = F.regexp_extract(text, r"^0*([0-9]+)(?:\.0)?$", 1)
-    return F.when(text == "Baseline(1)", "1").otherwise(F.coalesce(F.nullif(number, F.lit("")), text))
+    return F.regexp_replace(strip(cell.cast("string")), r"^(?:0*([0-9]+)(?:\.0)?|Baseline\((1)\))$", "$1$2")
 
 
 def padded_visit(cell: Column) -> Column:
     """Visits 1 to 9 with a leading zero; all others (10 and up, -1, texts) as they are."""
-    return F.when(cell.rlike("^[1-9]$"), F.concat(F.lit("0"), cell)).otherwise(cell)
+    return F.regexp_replace(cell, "^([1-9])$", "0$1")
 
 
 def visit_key(participant: Column, visit_type: Column, number: Column) -> Column:

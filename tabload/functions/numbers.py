@@ -39,19 +39,24 @@ def round_measure(cell: Column, digits: int = 1) -> Column:
 
 def scientific(cell: Column) -> Column:
     """Three significant digits as ``4.00E+2``: ties go to the even digit, no zero leads the exponent."""
-    digits = F.format_string("%.14E", to_number(cell))
-    mantissa = F.bround(F.regexp_extract(digits, "^(-?[0-9.]+)E", 1).try_cast(DecimalType(17, 14)), 2)
-    exponent = F.regexp_extract(digits, "E([+-][0-9]+)$", 1).try_cast("int")
-    carried = F.abs(mantissa) >= 10
-    shown = F.when(carried, mantissa / 10).otherwise(mantissa).cast(DecimalType(4, 2)).cast("string")
-    power = exponent + carried.cast("int")
-    return F.concat(shown, F.when(power < 0, "E-").otherwise("E+"), F.abs(power).cast("string"))
+
+    def rounded(digits: Column) -> Column:
+        mantissa = F.bround(F.regexp_extract(digits, "^(-?[0-9.]+)E", 1).try_cast(DecimalType(17, 14)), 2)
+        return F.struct(mantissa.alias("m"), F.regexp_extract(digits, "E([+-][0-9]+)$", 1).try_cast("int").alias("e"))
+
+    def shown(parts: Column) -> Column:
+        carried = F.abs(parts["m"]) >= 10
+        mantissa = F.when(carried, parts["m"] / 10).otherwise(parts["m"]).cast(DecimalType(4, 2)).cast("string")
+        power = parts["e"] + carried.cast("int")
+        return F.concat(mantissa, F.when(power < 0, "E-").otherwise("E+"), F.abs(power).cast("string"))
+
+    digits = F.array(F.format_string("%.14E", to_number(cell)))
+    return F.get(F.transform(F.transform(digits, rounded), shown), F.lit(0))
 
 
 def dilution(cell: Column) -> Column:
-    """Undiluted (``none``) is 1; NULL stays NULL."""
-    number = F.when(cell == "none", F.lit("1")).otherwise(cell)
-    return F.when(to_number(number).isNotNull(), scientific(number))
+    """Undiluted (``none``) is 1; NULL and texts without a number are NULL."""
+    return scientific(F.when(cell == "none", F.lit("1")).otherwise(cell))
 
 
 def uncensor(cell: Column) -> Column:

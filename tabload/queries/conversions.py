@@ -94,9 +94,8 @@ def top_coded(spark: SparkSession, folder: str) -> DataFrame:
 def numeric_canonical(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_type")
     said = F.when(kind == "error", "Not Reported").when(kind == "signup", "none").otherwise(F.col("value").cast("string"))
-    return table(spark, folder, "events").select(
-        "event_id", numbers.compare_form(said).alias("value")
-    )
+    rows = table(spark, folder, "events").select("event_id", said.alias("value"))
+    return rows.withColumn("value", numbers.compare_form(F.col("value")))
 
 
 @query("sci_format", r"""
@@ -208,9 +207,8 @@ def zero_pad_suffix(spark: SparkSession, folder: str) -> DataFrame:
         ),
         tail,
     )
-    return table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.pad_aliquot_id(said).alias("aliquot_id")
-    )
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", said.alias("said"))
+    return rows.withColumn("aliquot_id", text.pad_aliquot_id(F.col("said"))).drop("said")
 
 
 @query("composite_key", """
@@ -274,7 +272,7 @@ def conform_to_schema(spark: SparkSession, folder: str) -> DataFrame:
     from lineitem""")
 def volume_cleanup(spark: SparkSession, folder: str) -> DataFrame:
     said = F.when(F.col("l_returnflag") == "N", "N/A").otherwise(F.col("l_quantity").cast("string"))
-    return table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        numbers.lenient_number(F.regexp_replace(said, "N/A", "0")).alias("volume"),
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.regexp_replace(said, "N/A", "0").alias("volume")
     )
+    return rows.withColumn("volume", numbers.lenient_number(F.col("volume")))
