@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabload.operators.joins import lookup_by_hot_key, join_on
+from tabload.operators.joins import join_on
 
 
 def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -92,15 +92,20 @@ def flag_superseded(
 def harmonise_latest(
     df: DataFrame, key: str, value: str, order: list[str], exempt: Column | None = None
 ) -> DataFrame:
-    """Give all rows of a key the value of its last row; exempt keys stay as they are.
+    """Give all rows of a key the value of its last row; exempt rows neither count nor change.
 
-    Only keys with more than one value take part, and a key with very many rows is salted.
+    Only keys with more than one value are joined back. The rows of a key with very many of them
+    meet their single entry in a null-safe join, which adaptive execution splits.
     """
-    counted = df if exempt is None else df.filter(~F.coalesce(exempt, F.lit(False)))
-    per_key = counted.groupBy(key).agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_latest"),
-        F.count(F.lit(1)).alias("_rows"),
+    counts = F.lit(True) if exempt is None else ~F.coalesce(exempt, F.lit(False))
+    wanted = F.struct(F.col(value).alias("value"))
+    mixed = (
+        df.filter(counts)
+        .groupBy(key)
+        .agg(F.max_by(wanted, F.struct(*order)).alias("_latest"), F.min(wanted).alias("_low"), F.max(wanted).alias("_high"))
+        .filter(F.col("_low") != F.col("_high"))
+        .select(key, "_latest")
     )
-    joined = lookup_by_hot_key(df, per_key, [key], "_rows")
-    harmonised = F.when(F.col("_latest").isNull(), F.col(value)).otherwise(F.col("_latest.v"))
-    return joined.withColumn(value, harmonised).drop("_latest")
+    joined = join_on(df, mixed, [key], "left")
+    latest = F.when(counts & F.col("_latest").isNotNull(), F.col("_latest.value")).otherwise(F.col(value))
+    return joined.withColumn(value, latest).drop("_latest")

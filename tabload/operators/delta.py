@@ -2,8 +2,7 @@
 
 Incoming and current rows are unique per key (incoming rows are versioned first), so no step has
 a skewed key. The snapshot is the large side. Rows are classified against only those snapshot rows
-whose key comes in (a semi join that Spark can broadcast while the incoming keys are few), and the
-merge is a left join of the snapshot to the updates plus a union of the inserts, so a small delta
+whose key comes in while the incoming keys are few enough to broadcast, and the merge is a left join of the snapshot to the updates plus a union of the inserts, so a small delta
 moves no snapshot row through a shuffle. A full outer join could do neither.
 """
 
@@ -41,6 +40,15 @@ def _differs(incoming: DataFrame, columns: list[str]) -> Column:
     return reduce(lambda one, other: one | other, tests) if tests else F.lit(False)
 
 
+def _label(new: Column, incoming: DataFrame, columns: list[str], spec: DeltaSpec) -> Column:
+    """Operation of an incoming row next to its current one."""
+    label = F.when(new, "insert")
+    if spec.version in columns:
+        # A replayed or late row never overwrites a newer one.
+        label = label.when(F.col(spec.version) < F.col(f"{CURRENT}{spec.version}"), "stale")
+    return label.when(_differs(incoming, columns), "update").otherwise("same")
+
+
 def classify(incoming: DataFrame, current: DataFrame, spec: DeltaSpec, few_keys: bool = False) -> DataFrame:
     """Incoming rows with the operation each one needs: insert, update, same or stale.
 
@@ -50,17 +58,12 @@ def classify(incoming: DataFrame, current: DataFrame, spec: DeltaSpec, few_keys:
     """
     keys = list(spec.keys)
     columns = compared_columns(incoming, current, spec)
-    incoming_keys = incoming.select(*keys)
-    hit = semi(current, F.broadcast(incoming_keys) if few_keys else incoming_keys, keys)
+    hit = semi(current, F.broadcast(incoming.select(*keys)), keys) if few_keys else current
     old = hit.select(
         *keys, *[F.col(f"`{c}`").alias(f"{CURRENT}{c}") for c in columns], F.lit(True).alias("_held")
     )
     joined = join_on(incoming, old, keys, "left")
-    label = F.when(F.col("_held").isNull(), "insert")
-    if spec.version in columns:
-        # A replayed or late row never overwrites a newer one.
-        label = label.when(F.col(spec.version) < F.col(f"{CURRENT}{spec.version}"), "stale")
-    label = label.when(_differs(incoming, columns), "update").otherwise("same")
+    label = _label(F.col("_held").isNull(), incoming, columns, spec)
     return joined.select(*[F.col(f"`{c}`") for c in incoming.columns], label.alias(spec.label))
 
 
@@ -108,6 +111,36 @@ def merge_snapshot(current: DataFrame, classified: DataFrame, spec: DeltaSpec, f
     return kept.unionByName(added)
 
 
+def upsert(current: DataFrame, incoming: DataFrame, spec: DeltaSpec) -> DataFrame:
+    """The next snapshot straight from incoming rows: one join, for deltas as large as the snapshot.
+
+    Gives the rows of ``merge_snapshot`` over ``classify``, without the classified rows in between.
+    """
+    keys = list(spec.keys)
+    written = [c for c in incoming.columns if c in current.columns and c not in {*keys, *spec.ignore}]
+    old = current.select(
+        *[F.col(f"`{c}`").alias(f"{CURRENT}{c}") for c in current.columns], F.lit(True).alias("_held")
+    )
+    new = incoming.withColumn("_came", F.lit(True))
+    equal = reduce(lambda one, other: one & other, [new[k].eqNullSafe(old[f"{CURRENT}{k}"]) for k in keys])
+    joined = new.join(old, equal, "full_outer")
+    op = _label(F.col("_held").isNull(), incoming, compared_columns(incoming, current, spec), spec)
+    labelled = joined.withColumn("_op", F.when(F.col("_came").isNotNull(), op).otherwise("same"))
+    outputs = []
+    for f in current.schema.fields:
+        before = F.col(f"`{CURRENT}{f.name}`")
+        if f.name in written or f.name in keys:
+            value = F.when(F.col("_op").isin("insert", "update"), F.col(f"`{f.name}`").cast(f.dataType)).otherwise(before)
+        elif f.name in incoming.columns:
+            value = F.when(F.col("_op") == "insert", F.col(f"`{f.name}`").cast(f.dataType)).otherwise(before)
+        elif spec.absent_columns == "null" and f.name not in spec.ignore:
+            value = F.when(F.col("_op") != "update", before)
+        else:
+            value = before
+        outputs.append(value.alias(f.name))
+    return labelled.select(*outputs)
+
+
 def diff_report(incoming: DataFrame, current: DataFrame, spec: DeltaSpec) -> DataFrame:
     """Keys by where they occur: left_only (new or changed), both (equal) or right_only."""
     keys = list(spec.keys)

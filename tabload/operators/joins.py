@@ -1,7 +1,9 @@
 """Joins on named keys. NULL keys match each other, as they do in a natural merge.
 
 No side is hinted to be broadcast here: Spark's own size check decides, and beyond that size
-the join shuffles both sides, where adaptive execution splits a skewed key.
+the join shuffles both sides, where adaptive execution splits a skewed key. A null-safe key is
+hashed by its value and its null flag, so a join to an aggregate on the same key has an exchange
+of its own on both sides; that is what lets adaptive execution split the large side there too.
 """
 
 from __future__ import annotations
@@ -17,15 +19,21 @@ def _renamed_keys(right: DataFrame, keys: list[str]) -> DataFrame:
     return right.withColumnsRenamed({key: f"{MARK}{key}" for key in keys})
 
 
-def _condition(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    equal = [left[key].eqNullSafe(right[f"{MARK}{key}"]) for key in keys]
+def _condition(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
+    pairs = [(left[key], right[f"{MARK}{key}"]) for key in keys]
+    equal = [one.eqNullSafe(other) if null_safe else one == other for one, other in pairs]
     return reduce(lambda one, other: one & other, equal)
 
 
-def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join with null-safe keys; the keys appear once, taken from the left side."""
+def join_on(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", null_safe: bool = True
+) -> DataFrame:
+    """Join on keys, which appear once, taken from the left side.
+
+    Without ``null_safe`` (for keys that are never NULL) an earlier partitioning by the keys is kept.
+    """
     renamed = _renamed_keys(right, keys)
-    joined = left.join(renamed, _condition(left, renamed, keys), how)
+    joined = left.join(renamed, _condition(left, renamed, keys, null_safe), how)
     return joined.drop(*[f"{MARK}{key}" for key in keys])
 
 
@@ -38,14 +46,14 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return join_on(left, right, shared_columns(left, right), how)
 
 
-def anti(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def anti(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``."""
-    return join_on(left, right.select(*keys), keys, "left_anti")
+    return join_on(left, right.select(*keys), keys, "left_anti", null_safe)
 
 
-def semi(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def semi(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool = True) -> DataFrame:
     """Rows of ``left`` whose key is in ``right``."""
-    return join_on(left, right.select(*keys), keys, "left_semi")
+    return join_on(left, right.select(*keys), keys, "left_semi", null_safe)
 
 
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], found: str | None = None) -> DataFrame:
@@ -104,22 +112,3 @@ def fits_broadcast(rows: DataFrame, max_rows: int = 1_000_000, max_bytes: int =
         return False
     measured = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
     return (measured.bytes or 0) <= max_bytes
-
-
-def lookup_by_hot_key(
-    facts: DataFrame, per_key: DataFrame, keys: list[str], rows: str, max_hot_keys: int = 1000
-) -> DataFrame:
-    """Left join of ``facts`` to an aggregate of itself, safe for a key that holds most rows.
-
-    ``per_key`` has one row per key and its row count in column ``rows``. Such a join reuses the
-    partitioning of the aggregate, so adaptive execution cannot split a skewed key. Here a key
-    with more than one ``max_hot_keys``-th of all rows is hot: fewer than ``max_hot_keys`` keys
-    can be, whatever the data, so their entries are broadcast and their rows never shuffle. The
-    rows of all other keys take the shuffled join.
-    """
-    limit = per_key.agg((F.sum(rows) / F.lit(max_hot_keys)).alias("limit")).scalar()
-    is_hot = F.col(rows) > limit
-    hot = F.broadcast(per_key.filter(is_hot).drop(rows))
-    cold = per_key.filter(~is_hot).drop(rows)
-    rare = join_on(facts, hot.select(*keys), keys, "left_anti")
-    return join_on(facts, hot, keys, "inner").unionByName(join_on(rare, cold, keys, "left"))

@@ -12,9 +12,12 @@ def link_table(
     items: DataFrame, base: DataFrame, on: list[str], pair: list[str],
     stored: DataFrame, known: DataFrame, known_key: str,
 ) -> DataFrame:
-    """New (owner, item id) pairs: items joined with their base table, minus stored, owners known."""
-    pairs = join_on(items, base, on).select(*pair).distinct()
-    return semi(anti(pairs, stored, pair), known, [known_key])
+    """New (owner, item id) pairs: items joined with their base table, minus stored, owners known.
+
+    A pair with a missing half is none; so the distinct pairs stay where they are for the anti join.
+    """
+    pairs = join_on(items, base, on).select(*pair).na.drop("any").distinct()
+    return semi(anti(pairs, stored, pair, null_safe=False), known, [known_key], null_safe=False)
 
 
 def number_rows(df: DataFrame, order: list[str | Column], name: str, start: int | Column = 1) -> DataFrame:

@@ -235,9 +235,7 @@ def find_container(run: Run, table: str, rows: DataFrame) -> DataFrame:
     types = {c.replace("Tube", prefix): t for c, t in run.job.catalog.types(CONTAINER_TABLE).items()}
     keyed = rows.withColumns({c: cast.typed(F.col(c).cast("string"), types[c]) for c in on})
     one = renamed.groupBy(*on).agg(F.min(f"{prefix}_ID").alias(f"{prefix}_ID"))
-    # The aggregate would pin the join to its own partitioning, which a frequent container skews.
-    spread = joins.join_on(keyed, one.select(*on, f"{prefix}_ID"), on, "left")
-    return spread.withColumnsRenamed({"Collection_Tube_ID": "Biospecimen_Tube_ID"})
+    return joins.lookup(keyed, one, on).withColumnsRenamed({"Collection_Tube_ID": "Biospecimen_Tube_ID"})
 
 
 def assemble(run: Run, table: str, kind: str, rows: DataFrame) -> DataFrame:

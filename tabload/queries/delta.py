@@ -79,6 +79,17 @@ def delta_diff_outer(spark: SparkSession, folder: str) -> DataFrame:
            coalesce(i.o_totalprice, c.o_totalprice) as o_totalprice, c.o_orderpriority
     from incoming i full join current_rows c on i.o_orderkey = c.o_orderkey""")
 def merge_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    return delta.upsert(snapshot(spark, folder), arrivals(spark, folder), SPEC)
+
+
+@query("merge_classified", f"""
+    with {_INPUT_SQL}
+    select c.o_orderkey, coalesce(i.o_custkey, c.o_custkey) as o_custkey,
+           coalesce(i.o_totalprice, c.o_totalprice) as o_totalprice, c.o_orderpriority
+    from current_rows c left join incoming i on i.o_orderkey = c.o_orderkey
+    union all
+    select o_orderkey, o_custkey, o_totalprice, null from classified where op = 'insert'""")
+def merge_classified(spark: SparkSession, folder: str) -> DataFrame:
     return delta.merge_snapshot(snapshot(spark, folder), classified(spark, folder), SPEC)
 
 
@@ -88,8 +99,7 @@ def merge_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     from classified i left join current_rows c on i.o_orderkey = c.o_orderkey""")
 def merge_snapshot_null_absent(spark: SparkSession, folder: str) -> DataFrame:
     spec = DeltaSpec(keys=("o_orderkey",), absent_columns="null")
-    changes = delta.classify(arrivals(spark, folder), snapshot(spark, folder), spec)
-    return delta.merge_snapshot(snapshot(spark, folder), changes, spec)
+    return delta.upsert(snapshot(spark, folder), arrivals(spark, folder), spec)
 
 
 @query("run_summary", f"""

@@ -53,6 +53,16 @@ def test_merge_is_idempotent(spark):
     assert rows(delta.merge_snapshot(merged, again, SPEC)) == rows(merged)
 
 
+@pytest.mark.parametrize("absent", ["keep", "null"])
+def test_one_join_gives_the_same_snapshot(spark, absent):
+    spec = DeltaSpec(keys=("k",), absent_columns=absent)
+    current, incoming = current_rows(spark), incoming_rows(spark)
+    two_steps = delta.merge_snapshot(current, delta.classify(incoming, current, spec), spec)
+    assert rows(delta.upsert(current, incoming, spec)) == rows(two_steps)
+    only_current = delta.upsert(current, incoming.filter("k = 4"), spec)
+    assert rows(only_current) == sorted([*rows(current), (4, "e", 4.0, None)], key=repr)
+
+
 def test_every_incoming_row_has_one_class(spark):
     pick = random.Random(3)
     now = frame(spark, [(k, pick.choice("ab")) for k in range(300) if pick.random() < 0.6], "k int, s string")
@@ -144,6 +154,31 @@ def test_hot_key_gets_the_same_result(spark, hot_share):
     assert dedup.harmonise_latest(df, "p", "c", ["i"]).count() == n
 
 
+def test_a_hot_key_is_split(spark, tmp_path):
+    """A key with two thirds of the rows is read by several tasks in the join back."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    key = F.when(F.col("id") % 3 < 2, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 500))
+    df = spark.range(0, 60000, 1, 16).select(key.alias("p"), F.col("id").alias("i"), F.concat(F.lit("v"), F.col("id") % 11).alias("c"))
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        got = dedup.harmonise_latest(df, "p", "c", ["i"])
+        got.write.parquet(str(tmp_path / "out"))
+        executed = got.groupBy().count()
+        assert executed.collect()[0][0] == 60000
+        assert "skew=true" in plan(executed)
+        want = df.filter("p = 'hot'").agg(F.max_by("c", "i")).first()[0]
+        stored = spark.read.parquet(str(tmp_path / "out")).filter("p = 'hot'")
+        assert stored.select("c").distinct().collect()[0][0] == want and stored.count() == 40000
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+
+
 def test_one_row_per_key_is_reduced_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 as k", "id as i")
     for kept in (dedup.keep_last(df, ["k"], ["i"]), dedup.keep_first(df, ["k"], ["i"])):
