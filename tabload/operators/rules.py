@@ -7,26 +7,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabload import config
 from tabload.functions import numbers, text
 from tabload.operators import dedup
-from tabload.operators.joins import lookup
+from tabload.operators.joins import compare_stored, lookup
 
 
 def covid_branch(status: Column, symptomatic: Column) -> Column:
     """Branch of a covid-history row; NULL where no branch applies."""
-    positive = status.contains("Positive")
     return (
         F.when(status.isin(*config.NO_COVID_STATUSES), "none")
-        .when(status.contains("Negative") & ~positive, "negative")
-        .when(positive & (symptomatic == "Yes"), "symptoms")
-        .when(positive & (symptomatic == "No"), "no_symptoms")
-        .when(positive & (symptomatic == "Unknown"), "unknown_symptoms")
+        .when(
+            status.contains("Positive"),
+            F.when(symptomatic == "Yes", "symptoms").when(symptomatic == "No", "no_symptoms")
+            .when(symptomatic == "Unknown", "unknown_symptoms"),
+        )
+        .when(status.contains("Negative"), "negative")
     )
 
 
 def apply_covid_tree(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Columns implied by the covid status, and the rows that fall in no branch."""
-    status = text.recode(F.col("COVID_Status"), {"No COVID Event Reported": config.NO_COVID_STATUSES[0]})
-    branched = df.withColumn("COVID_Status", status)
-    branched = branched.withColumn("_branch", covid_branch(F.col("COVID_Status"), F.col("Symptomatic_COVID")))
+    said = F.col("COVID_Status")
+    status = F.when(said == "No COVID Event Reported", config.NO_COVID_STATUSES[0]).otherwise(said)
+    branched = df.withColumn("COVID_Status", status).withColumn(
+        "_branch", covid_branch(F.col("COVID_Status"), F.col("Symptomatic_COVID"))
+    )
     branch, none = F.col("_branch"), F.lit("N/A")
     no_event = branch.isin("none", "negative")
     variant = F.col("`SARS-CoV-2_Variant`")
@@ -110,6 +113,12 @@ def normalise_codes(
     return lookup(terms, dictionary, [term], found)
 
 
+def missing_codes(normalised: DataFrame, stored: DataFrame, key: str, term: str, value: str) -> DataFrame:
+    """Normalised terms that are not stored yet."""
+    compared = compare_stored(normalised, stored, [key, term], value)
+    return compared.filter(F.col("status") == "missing").drop("status", f"stored_{value}")
+
+
 def fill_assay_quality(df: DataFrame) -> DataFrame:
     """Blank quality-control cells are labelled, blank comments stay blank."""
     named = [c for c in df.columns if c != "Comments"]
