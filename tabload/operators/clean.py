@@ -100,22 +100,35 @@ def exclude_keys(df: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame
     return anti(df, listed, keys)
 
 
-def exclude_containing(df: DataFrame, column: str, listed: DataFrame, piece: str) -> DataFrame:
-    """Drop rows whose id contains any listed id; rows without an id drop too.
+def exclude_pieces(df: DataFrame, columns: list[str], pieces: tuple[str, ...]) -> DataFrame:
+    """Drop rows with an id that contains one of a few pieces; rows without an id drop too."""
+    for c in columns:
+        hit = reduce(lambda one, other: one | other, [F.col(c).contains(piece) for piece in pieces], F.lit(False))
+        df = df.filter(F.col(c).isNotNull() & ~hit)
+    return df
+
 
-    The list may be long: instead of testing every row against every entry, each distinct id is
-    cut into all pieces as long as some listed id, and the pieces meet the list in an equi join.
+def exclude_containing(df: DataFrame, columns: list[str], listed: DataFrame, piece: str) -> DataFrame:
+    """Drop rows with an id that contains any listed piece; rows without an id drop too.
+
+    The list may be long: instead of testing every row against every entry, each distinct id (of
+    all columns at once) is cut into all pieces as long as some listed one, and the pieces meet the
+    list in an equi join.
     """
     entries = listed.select(F.col(piece).alias("_piece")).filter(F.length("_piece") > 0).distinct()
     lengths = entries.agg(F.collect_set(F.length("_piece")).alias("lengths")).scalar()
     starts = F.sequence(F.lit(1), F.length("_id") - F.col("_size") + 1)
-    ids = df.select(F.col(column).alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+    told = df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("_id"))
+    ids = told.filter(F.col("_id").isNotNull()).distinct()
     sized = ids.select("_id", F.explode(lengths).alias("_size")).filter(F.length("_id") >= F.col("_size"))
     cut = sized.select("_id", "_size", F.explode(starts).alias("_at")).select(
         "_id", F.substring(F.col("_id"), F.col("_at"), F.col("_size")).alias("_piece")
     )
-    hits = cut.join(entries, "_piece", "left_semi").select(F.col("_id").alias(column))
-    return anti(df.filter(F.col(column).isNotNull()), hits, [column])
+    hits = cut.join(entries, "_piece", "left_semi").select("_id")
+    kept = df
+    for c in columns:
+        kept = anti(kept.filter(F.col(c).isNotNull()), hits.withColumnRenamed("_id", c), [c])
+    return kept
 
 
 def keep_matching_ids(df: DataFrame, column: str, pattern: str) -> DataFrame:

@@ -171,9 +171,15 @@ def run_summary(classified: DataFrame, spec: DeltaSpec, table: str) -> DataFrame
     )
 
 
-def orphans(child: DataFrame, parent: DataFrame, links: dict[str, str]) -> DataFrame:
-    """Child rows whose reference (child column to parent column) has no parent; NULL refers to none."""
+def orphans(child: DataFrame, parent: DataFrame, links: dict[str, str], few_rows: bool = False) -> DataFrame:
+    """Child rows whose reference (child column to parent column) has no parent; NULL refers to none.
+
+    Pass ``few_rows`` only after a check of the size of the child's references; they are then
+    broadcast to the parent, whose other rows take no part.
+    """
     names = list(links)
     referring = child.na.drop("any", subset=names)
     targets = parent.select(*[F.col(links[c]).alias(c) for c in names])
+    if few_rows:
+        targets = semi(targets, F.broadcast(referring.select(*names)), names)
     return anti(referring, targets, names)

@@ -112,3 +112,15 @@ def fits_broadcast(rows: DataFrame, max_rows: int = 1_000_000, max_bytes: int =
         return False
     measured = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
     return (measured.bytes or 0) <= max_bytes
+
+
+def reachable(large: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a large table whose key occurs in a small one, found by broadcasting the small one's keys.
+
+    A table whose keys are too many to broadcast (checked, which runs jobs) leaves the large one as it
+    is: the join that follows then shuffles both.
+    """
+    wanted = small.select(*keys)
+    if not fits_broadcast(wanted):
+        return large
+    return join_on(large, F.broadcast(wanted), keys, "left_semi")

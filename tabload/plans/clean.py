@@ -13,13 +13,27 @@ from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN
 BOOKKEEPING = (PATH_COLUMN, MALFORMED_COLUMN, "Submission_Index", "Submission_CBC", "intent", "submission")
 
 
+# Up to so many listed ids are tested as expressions; a longer list is joined.
+FEW_PIECES = 100
+
+
+def few_pieces(excluded_ids: DataFrame | None) -> tuple[str, ...] | None:
+    """The listed ids if they are few, None if they are many (runs a job)."""
+    if excluded_ids is None:
+        return ()
+    found = excluded_ids.select("id").filter(F.length("id") > 0).distinct().limit(FEW_PIECES + 1).collect()
+    return tuple(row.id for row in found) if len(found) <= FEW_PIECES else None
+
+
 def clean_landed(
-    landed: DataFrame, spec: CleanSpec, excluded_ids: DataFrame | None = None, excluded_ages: DataFrame | None = None
+    landed: DataFrame, spec: CleanSpec, excluded_ids: DataFrame | None = None, excluded_ages: DataFrame | None = None,
+    pieces: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Null markers, blank and template rows, excluded records, recodes.
 
-    ``excluded_ids`` (column ``id``) drops rows whose ids contain a listed id; ``excluded_ages``
-    (Research_Participant_ID, Age) drops known wrong pairs.
+    ``excluded_ids`` (column ``id``) drops rows whose ids contain a listed id; a list known to be
+    short is given as ``pieces`` instead. ``excluded_ages`` (Research_Participant_ID, Age) drops
+    known wrong pairs.
     """
     rows = landed.transform(partial(clean.normalise_nulls, tokens=spec.null_tokens))
     rows = rows.transform(clean.drop_unnamed_columns)
@@ -34,8 +48,9 @@ def clean_landed(
         pairs = excluded_ages.select("Research_Participant_ID", F.col("Age").cast("string").alias("Age"))
         rows = clean.exclude_keys(rows, pairs, ["Research_Participant_ID", "Age"])
     rows = clean.require(rows, *[c for c in spec.required_ids if c in rows.columns])
-    if excluded_ids is not None:
-        for column in spec.excludable_ids:
-            if column in rows.columns:
-                rows = clean.exclude_containing(rows, column, excluded_ids, "id")
+    ids = [c for c in spec.excludable_ids if c in rows.columns]
+    if ids and pieces is not None:
+        rows = clean.exclude_pieces(rows, ids, pieces) if pieces else rows
+    elif ids and excluded_ids is not None:
+        rows = clean.exclude_containing(rows, ids, excluded_ids, "id")
     return clean.recode_columns(rows, spec.recodes)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tabload.functions import text
 from tabload.operators import clean, submissions
-from tabload.operators.joins import join_on, lookup, semi
-from tabload.plans.clean import clean_landed
+from tabload.operators.joins import fits_broadcast, join_on, lookup, semi
+from tabload.plans.clean import clean_landed, few_pieces
 from tabload.plans.tables import LoadJob, Run, RunResult, apply_kind_rules, load_tables, version_kind
 from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN, read_headers, read_kinds, read_pairs
 from tabload.sources.listing import comparable_path
@@ -73,6 +73,10 @@ def submission_rows(run: Run, pending: DataFrame) -> DataFrame:
     return lookup(rows, sites, ["Submission_CBC_Name"])
 
 
+def folder_of(path: Column) -> Column:
+    return comparable_path(text.path_parent(path))
+
+
 def landed_kinds(run: Run, files: DataFrame, pending: DataFrame) -> dict[str, DataFrame]:
     """Cleaned rows of every file kind, with submission number, site code and intent."""
     job = run.job
@@ -80,15 +84,19 @@ def landed_kinds(run: Run, files: DataFrame, pending: DataFrame) -> dict[str, Da
     data_files = files.filter(F.col("key").endswith(".csv") & ~name.contains("study_design") & ~name.contains("submission"))
     listed = data_files.select("path", "key", text.path_parent(F.col("key")).alias("submission"), clean.kind_alias(name).alias("kind"))
     wanted = run.stage(semi(listed, pending, ["submission"]), "files")
-    owners = wanted.select(comparable_path(F.col("path")).alias("_file"), "submission")
     about = pending.select("submission", "Submission_Index", F.col("site_code").alias("Submission_CBC"), "intent")
-    tags = join_on(owners, about, ["submission"]).select("_file", "Submission_Index", "Submission_CBC", "intent")
+    folders = wanted.select(folder_of(F.col("path")).alias("_folder"), "submission").distinct()
+    tags = run.stage(join_on(folders, about, ["submission"]).drop("submission"), "folders")
+    # One row per submission folder; a broadcast leaves the landed rows where they were read.
+    tags = F.broadcast(tags) if fits_broadcast(tags) else tags
+    pieces = few_pieces(job.excluded_ids)
     frames = {}
     for kind, rows in read_kinds(wanted).items():
         run.reject(rows.filter(F.col(MALFORMED_COLUMN).isNotNull()), kind, "line has too few or too many cells")
-        tagged = rows.withColumn("_file", comparable_path(F.col(PATH_COLUMN))).join(tags, "_file")
+        tagged = rows.withColumn("_folder", folder_of(F.col(PATH_COLUMN))).join(tags, "_folder")
         cleaned = clean_landed(
-            tagged.drop("_file", PATH_COLUMN, MALFORMED_COLUMN), job.clean_spec, job.excluded_ids, job.excluded_ages
+            tagged.drop("_folder", PATH_COLUMN, MALFORMED_COLUMN),
+            job.clean_spec, job.excluded_ids, job.excluded_ages, pieces,
         )
         if "Age" in cleaned.columns:
             cleaned = cleaned.withColumn("Data_Release_Version", F.lit(job.data_release))

@@ -217,6 +217,7 @@ def resolve_visits(run: Run, table: str, kind: str, rows: DataFrame) -> DataFram
         "Visit_Info_ID", "Research_Participant_ID", keys.visit_number(F.col("Visit_Number")).alias("Visit_Number")
     )
     on = joins.shared_columns(rows, visits)
+    visits = joins.reachable(visits, rows, on)
     found, lost = joins.resolve_or_reject(rows, visits, on)
     run.reject(lost, f"{kind} > {table}", "no such visit")
     return found
@@ -378,20 +379,34 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
         return
     few = bool(counts.get("update")) and joins.fits_broadcast(delta.updates(changes, spec))
     merged = run.stage(delta.merge_snapshot(current, changes, spec, few), f"tables/{table}")
-    check = validate(merged, spec, table).first()
-    if check.repeated_keys or check.missing_keys:
-        run.note(table, "check", check.n_rows, f"{check.repeated_keys} repeated and {check.missing_keys} missing keys")
+    count = merged.count()
+    check_merge(run, table, spec, changes, count, current.count() + counts.get("insert", 0))
     run.staged[table] = merged
-    run.counts[table] = check.n_rows
+    run.counts[table] = count
     for parent, refs in job.catalog.references(table).items():
         if set(refs) <= set(incoming.columns):
-            lost = delta.orphans(incoming, run.current(parent), refs)
-            count = lost.count()
-            if count:
-                run.note(table, "orphan", count)
+            small = joins.fits_broadcast(incoming.select(*refs))
+            lost = run.stage(delta.orphans(incoming, run.current(parent), refs, small), f"orphans/{table}/{parent}")
+            orphaned = lost.count()
+            if orphaned:
+                run.note(table, "orphan", orphaned)
                 run.reject(lost, table, f"no such row in {parent}")
 
 
+def check_merge(run: Run, table: str, spec: DeltaSpec, changes: DataFrame, count: int, due: int) -> None:
+    """Log an error unless the next snapshot is sound.
+
+    Its keys are unique and present if those of the changes are and its size is as due, since the
+    current keys were checked when they came in. So no snapshot row is shuffled for the check.
+    """
+    applied = changes.filter(F.col(spec.label).isin("insert", "update"))
+    found = validate(applied, spec, table).first()
+    if found.repeated_keys or found.missing_keys:
+        run.note(table, "check", count, f"{found.repeated_keys} repeated and {found.missing_keys} missing keys")
+    if count != due:
+        run.note(table, "check", count, f"{count} rows instead of {due}")
+
+
 def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
     """Link rows (specimen, lab item) of one item table."""
     job = run.job
@@ -416,6 +431,7 @@ def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
     if count:
         spec = DeltaSpec(keys=("Biospecimen_ID", index))
         merged = run.stage(delta.merge_snapshot(stored, changes, spec), f"tables/{table}")
+        check_merge(run, table, spec, changes, merged.count(), stored.count() + count)
         run.staged[table] = merged
         run.counts[table] = merged.count()
 

@@ -206,7 +206,7 @@ def id_pattern_filter(spark: SparkSession, folder: str) -> DataFrame:
 def exclude_ids_substring(spark: SparkSession, folder: str) -> DataFrame:
     listed = table(spark, folder, "nation").select(F.concat(F.lit("0"), "n_nationkey", F.lit("9")).alias("piece"))
     names = table(spark, folder, "customer").select("c_custkey", "c_name")
-    return clean.exclude_containing(names, "c_name", listed, "piece")
+    return clean.exclude_containing(names, ["c_name"], listed, "piece")
 
 
 @query("exclude_keys", """

@@ -83,17 +83,13 @@ def read_kinds(files: DataFrame, multi_line: bool = False) -> dict[str, DataFram
     ``multi_line`` is for kinds whose quoted cells hold line ends; such files cannot be split.
     """
     spark = files.sparkSession
-    shapes = (
-        read_headers(files.select("path", "kind"))
-        .groupBy("kind", "header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("kind", "header")
-        .collect()
-    )
+    shapes: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for row in read_headers(files.select("path", "kind")).collect():
+        if row.header:
+            shapes.setdefault((row.kind, tuple(row.header)), []).append(row.path)
     by_kind: dict[str, list[DataFrame]] = {}
-    for shape in shapes:
-        if shape.header:
-            by_kind.setdefault(shape.kind, []).append(read_shape(spark, shape.header, shape.paths, multi_line))
+    for (kind, header), paths in sorted(shapes.items()):
+        by_kind.setdefault(kind, []).append(read_shape(spark, list(header), sorted(paths), multi_line))
     return {kind: union_all(frames) for kind, frames in by_kind.items()}
 
 

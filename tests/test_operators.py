@@ -227,14 +227,24 @@ def test_code_lists(spark):
 def test_excluded_pieces(spark):
     df = frame(spark, [("27_300089_1",), ("x27_300089",), ("27_30008",), (None,), ("",)], "id string")
     listed = frame(spark, [("27_300089",), ("zz",), ("",)], "piece string")
-    got = clean.exclude_containing(df, "id", listed, "piece")
+    got = clean.exclude_containing(df, ["id"], listed, "piece")
     assert rows(got) == [("",), ("27_30008",)]
     assert "NestedLoop" not in plan(got) and "CartesianProduct" not in plan(got)
 
 
+def test_excluded_pieces_in_several_columns(spark):
+    values = [(f"p{k % 40}", f"s{k}") for k in range(200)] + [(None, "s1"), ("p1", None)]
+    df = frame(spark, values, "p string, s string")
+    pieces = ("1", "p3", "7")
+    listed = frame(spark, [(x,) for x in pieces], "piece string")
+    want = sorted((p, s) for p, s in values if p and s and not any(x in p or x in s for x in pieces))
+    assert rows(clean.exclude_containing(df, ["p", "s"], listed, "piece")) == want
+    assert rows(clean.exclude_pieces(df, ["p", "s"], pieces)) == want
+
+
 def test_nothing_listed_excludes_nothing(spark):
     df = frame(spark, [("a",), (None,)], "id string")
-    assert rows(clean.exclude_containing(df, "id", frame(spark, [], "piece string"), "piece")) == [("a",)]
+    assert rows(clean.exclude_containing(df, ["id"], frame(spark, [], "piece string"), "piece")) == [("a",)]
 
 
 def test_blank_and_template_rows(spark):
