@@ -7,6 +7,7 @@ short, nothing is held in executor memory, and a lost executor costs one step at
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -279,7 +280,7 @@ def assemble(run: Run, table: str, kind: str, rows: DataFrame) -> DataFrame:
     if any(told.get(c, "VARCHAR(255)") != spec.types.get(c, "VARCHAR(255)") for c in rows.columns):
         # Only a column that tables type differently can fail here and not before.
         run.reject(bad, f"{kind} > {table}", "cell does not fit its column type")
-    return typed.distinct()
+    return typed
 
 
 def canonical_rows(table: str, rows: DataFrame) -> DataFrame:
@@ -341,12 +342,11 @@ def incoming_rows(run: Run, table: str, frames: dict[str, DataFrame], key: list[
     missing = [c for c in key if c not in rows.columns]
     if missing:
         raise ValueError(f"{table}: key columns {missing} are in none of {kinds}")
-    if key:
-        nameless = rows.filter(F.greatest(*[F.col(c).isNull() for c in key]) if len(key) > 1 else F.col(key[0]).isNull())
-        run.reject(nameless, table, "missing key")
-        rows = clean.require(rows, *key)
-        rows = dedup.keep_last(rows, key, total_order(rows, ["Submission_Index"], key))
-    return rows.distinct()
+    if not key:
+        return rows.distinct()
+    staged = run.stage(rows, f"assembled/{table}")
+    run.reject(staged.filter(reduce(lambda one, other: one | other, [F.col(c).isNull() for c in key])), table, "missing key")
+    return dedup.keep_last(clean.require(staged, *key), key, total_order(staged, ["Submission_Index"], key))
 
 
 def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:

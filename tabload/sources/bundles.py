@@ -13,9 +13,7 @@ from tabload import config
 from tabload.functions import text
 from tabload.operators import clean, joins, reshape, rules
 from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN, read_delimited
-from tabload.sources.listing import file_class, metadata_path  # noqa: F401
-
-Q = "`{}`".format
+from tabload.sources.listing import comparable_path, latest_assay_files
 
 
 def sheets(files: DataFrame, workbook: str, sheet: str) -> DataFrame:
@@ -46,8 +44,6 @@ def clean_assays(rows: DataFrame, pattern: str = config.ASSAY_ID_PATTERN) -> Dat
 
 def assay_bundle(files: DataFrame) -> dict[str, DataFrame]:
     """Newest assay, target, quality-control and conversion file of every folder, per kind."""
-    from tabload.sources.listing import latest_assay_files
-
     newest = latest_assay_files(workbook_files(files), config.SKIPPED_ASSAY_MARK)
     kinds = {"assay": "assay_data.csv", "target": "assay_target.csv", "qc": "assay_qc.csv", "conversion": "assay_conversion.csv"}
     bundle = {}
@@ -78,16 +74,11 @@ def study_design(files: DataFrame) -> DataFrame | None:
     if rows is None:
         return None
     listing = chosen.select(F.col("path").alias("_file"), text.path_part(F.col("key"), 1).alias("CBC_Name"))
-    named = rows.join(listing, same_file(F.col(PATH_COLUMN), F.col("_file")), "left")
+    same_file = comparable_path(F.col(PATH_COLUMN)) == comparable_path(F.col("_file"))
+    named = rows.join(listing, same_file, "left")
     return clean.normalise_nulls(named.drop("_file", PATH_COLUMN, MALFORMED_COLUMN))
 
 
-def same_file(one, other):
-    from tabload.sources.listing import comparable_path
-
-    return comparable_path(one) == comparable_path(other)
-
-
 def biorepository_maps(files: DataFrame, workbook: str) -> dict[str, DataFrame]:
     """Parent and child sheet of a study's map."""
     found = {
@@ -108,7 +99,6 @@ def panel_results(files: DataFrame, child_aliquots: DataFrame) -> DataFrame | No
         return None
     rows = clean.normalise_nulls(rows.drop(PATH_COLUMN, MALFORMED_COLUMN))
     children = child_aliquots.select("Biorepository_ID", "Subaliquot_ID", "CGR_Aliquot_ID")
-    outside = F.col("Subaliquot_ID").rlike("FD|FS")
     keyed = rows.withColumn("_id", F.col("Subaliquot_ID")).drop("Subaliquot_ID")
     return joins.split_route(
         keyed, F.col("_id").rlike("FD|FS"),

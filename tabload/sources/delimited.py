@@ -79,17 +79,20 @@ def read_shape(spark: SparkSession, header: list[str], paths: list[str], multi_l
 def read_kinds(files: DataFrame, multi_line: bool = False) -> dict[str, DataFrame]:
     """One all-text table per file kind from a listing with ``path`` and ``kind``.
 
-    Only paths and header lines reach the driver; Spark's own file index holds the same paths.
+    Only paths and distinct header lines reach the driver; Spark's own file index holds the same
+    paths.
     ``multi_line`` is for kinds whose quoted cells hold line ends; such files cannot be split.
     """
     spark = files.sparkSession
-    shapes: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for row in read_headers(files.select("path", "kind")).collect():
-        if row.header:
-            shapes.setdefault((row.kind, tuple(row.header)), []).append(row.path)
+    headed = read_headers(files.select("path", "kind")).withColumn("shape", F.md5(F.to_json("header")))
+    headers = {row.shape: row.header for row in headed.select("shape", "header").distinct().collect()}
+    groups: dict[tuple[str, str], list[str]] = {}
+    for row in headed.select("kind", "shape", "path").collect():
+        groups.setdefault((row.kind, row.shape), []).append(row.path)
     by_kind: dict[str, list[DataFrame]] = {}
-    for (kind, header), paths in sorted(shapes.items()):
-        by_kind.setdefault(kind, []).append(read_shape(spark, list(header), sorted(paths), multi_line))
+    for (kind, shape), paths in sorted(groups.items()):
+        if headers[shape]:
+            by_kind.setdefault(kind, []).append(read_shape(spark, headers[shape], sorted(paths), multi_line))
     return {kind: union_all(frames) for kind, frames in by_kind.items()}
 
 
