@@ -1,10 +1,12 @@
-"""Spark session settings and the checkpoint folder."""
+"""Spark session settings and the shared folder for intermediate data."""
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are written for. Anything a cluster sets itself wins, because
 # build_session() only applies them to a session it creates.
@@ -29,14 +31,35 @@ def build_session(app_name: str = "tabload", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate data that driver and executors share.
 
-    Only where neither that setting nor a folder set on the context exists (single-machine
-    tests) is a temporary folder used.
+    It is the one the cluster names in ``spark.checkpoint.dir`` or, failing that, the folder set on
+    the context. Only a single-machine session (``local``, as in tests) gets a temporary folder of its
+    own; elsewhere the executors would not see it, so its absence is an error.
     """
     context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir():
-        return
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tabload-checkpoint-"))
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if found:
+        return found
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    own = tempfile.mkdtemp(prefix="tabload-checkpoint-")
+    context.setCheckpointDir(own)
+    return own
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint()`` write to the shared folder."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write rows as Parquet to the shared folder and read them back: this runs a job and cuts lineage.
+
+    Later reads survive lost executors. The folder belongs to the cluster, which empties it.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
