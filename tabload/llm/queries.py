@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm import language, mixing, pieces, simhash, urlfilter
+from tabload.llm import language, mixing, pieces, simhash, suffixes, urlfilter
 from tabload.llm.urlfilter import HostWord, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,34 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_suffix_dedup", """
+    with recursive bytes as (select doc_id, hex(encode(coalesce(text, ''))) as x, octet_length(encode(coalesce(text, ''))) as n from documents),
+    starts as (select doc_id, p, substr(x, 2 * p + 1, 100) as s from bytes, range(n - 49) t(p) where n >= 50),
+    firsts as (select s, min(doc_id) as first from starts group by s having count(distinct doc_id) > 1),
+    hits as (select doc_id, p from starts join firsts using (s) where doc_id > first),
+    marked as (select doc_id, p, case when p > max(p) over (partition by doc_id order by p rows between unbounded preceding and 1 preceding) + 50
+                                      then 1 when row_number() over (partition by doc_id order by p) = 1 then 1 else 0 end as fresh from hits),
+    numbered as (select doc_id, p, sum(fresh) over (partition by doc_id order by p) as g from marked),
+    spans as (select doc_id, g, min(p) as a, max(p) + 50 as b from numbered group by doc_id, g),
+    edges as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as before,
+                     lead(a) over (partition by doc_id order by a) as after from spans),
+    kept as (select e.doc_id, count(*) as n_spans, sum(b - a) as n_removed,
+                    string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' order by a)
+                    || substr(any_value(x), 2 * max(b) + 1) as k
+             from edges e join bytes using (doc_id) group by e.doc_id)
+    select doc_id, cast(n as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+           cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(k, x))) as kept_sha256
+    from bytes left join kept using (doc_id)""")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = suffixes.remove_copies(docs)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    return found.select(
+        "doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op4_mix_sources")
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
