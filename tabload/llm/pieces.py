@@ -25,8 +25,8 @@ from pyspark.sql import Column, functions as F
 from tabload.llm.common import ragged, slices
 
 MARK = "▁"
-TABLE_CHARS = 8_000_000  # characters of distinct chunks a task keeps
-SLICE_CHARS = 4_000_000  # characters worked on at once
+TABLE_CHARS = 3_000_000  # characters of distinct chunks a task keeps
+SLICE_CHARS = 1_000_000  # characters worked on at once
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -135,6 +135,9 @@ def decode(ids: Column, model: str) -> Column:
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = sentencepiece.SentencePieceProcessor(model_file=model)
         for batch in batches:
-            yield pa.array([processor.decode(x) if x else "" for x in batch.to_pylist()], pa.string())
+            values, ends = batch.values.to_numpy(), batch.offsets.to_numpy()
+            # one list of Python integers at a time: a batch of them would take ten times the memory of its ids
+            texts = (processor.decode(values[a:b].tolist()) if b > a else "" for a, b in zip(ends[:-1], ends[1:], strict=True))
+            yield pa.array(texts, pa.string(), size=len(batch))
 
     return text_of(ids)

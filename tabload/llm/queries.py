@@ -12,6 +12,8 @@ from tabload.llm.urlfilter import HostWord, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -92,19 +94,22 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op6_sentencepiece")
-def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = docs.select("doc_id", pieces.encode(F.col("text"), model).alias("ids"))
-    both = encoded.withColumn("decoded", pieces.decode(F.col("ids"), model))
+def token_digests(both: DataFrame, *more: str) -> DataFrame:
+    """``doc_id`` with counts and digests of ``ids`` and ``decoded``."""
     return both.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more,
     )
 
 
+@query("op6_sentencepiece")
+def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = docs.select("doc_id", pieces.encode(F.col("text"), PIECE_MODEL).alias("ids"))
+    return token_digests(encoded.withColumn("decoded", pieces.decode(F.col("ids"), PIECE_MODEL)))
+
+
 URL_RULES = [
     Rule("com", "/", "allow"),
     Rule("example.com", "/en/", "block"),

@@ -394,3 +394,36 @@ def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         })
         .drop(key, stretches, result)
     )
+
+
+def trim_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the later copies cut out of their texts, in whole characters.
+
+    A character goes if all its bytes go. Texts of which nothing is left go with their rows; a text that was empty or null stays.
+    """
+    found = remove_copies(docs.withColumnRenamed(text_col, text_col), id_col, text_col)
+
+    @F.arrow_udf("string")
+    def whole(text: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for own, some in zip(text.to_pylist(), spans.to_pylist(), strict=True):
+            if own is None:
+                out.append(None)
+                continue
+            kept, at = [], 0
+            for start, stop in ((x["start"], x["stop"]) for x in some):
+                while start < stop and own[start] & 0xC0 == 0x80:
+                    start += 1
+                while stop < len(own) and own[stop] & 0xC0 == 0x80:
+                    stop -= 1
+                if start < stop:
+                    kept.append(own[at:start])
+                    at = stop
+            out.append(b"".join([*kept, own[at:]]).decode("utf-8", "replace"))
+        return pa.array(out, pa.string())
+
+    spans = found["spans"]
+    cut = F.when(F.size(spans) > 0, F.col(text_col).cast("binary"))
+    kept = F.when(F.size(spans) > 0, whole(cut, spans)).otherwise(F.col(text_col))
+    emptied = (F.size(spans) > 0) & (F.length(text_col) == 0)
+    return found.withColumn(text_col, kept).filter(~F.coalesce(emptied, F.lit(False)))
