@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm import language, mixing, pieces, simhash, suffixes, urlfilter
+from tabload.llm import language, minhash, mixing, pieces, simhash, suffixes, urlfilter
 from tabload.llm.urlfilter import HostWord, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,19 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+@query("op1_fingerprints")
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    both = minhash.add_fingerprint(minhash.splice_next(docs), "edited", "edited_fp")
+    near = lambda other: F.coalesce(minhash.likeness("fp", other), F.lit(0.0))
+    return both.select(
+        F.col("id").alias("doc_id"), F.char_length("text").cast("bigint").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"), minhash.as_text(F.col("fp")).alias("fingerprint"),
+        minhash.as_text(F.col("edited_fp")).alias("edited_fingerprint"),
+        near("edited_fp").alias("near_edited"), near("next_fp").alias("near_next"),
+    )
+
+
 @query("op2_simhash")
 def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
