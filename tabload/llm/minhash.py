@@ -3,8 +3,8 @@
 The shingles of a text are hashed once; the upper bits of a hash choose one of ``BINS`` bins, and each bin keeps its smallest hash.
 An empty bin takes the value of another: it draws bins by hashes of its own number and the attempt until one is
 not empty (optimal densification); after ``DRAWS`` attempts the non-empty bin with the smallest hash of both numbers is taken,
-which is where a random order of all bins would end, so no text loops. Of each value the low ``BITS`` bits are stored,
-packed into 64-bit words. Two fingerprints agree in a bin by chance once in 2^BITS; ``likeness`` corrects for that.
+which is where a random order of all bins would end, so no text loops. Of each value, hashed with the number of its bin so that
+values that fill many bins do not collide in all of them, the low ``BITS`` bits are stored, packed into 64-bit words. Two fingerprints agree in a bin by chance once in 2^BITS; ``likeness`` corrects for that.
 
 All of it is built-in functions on arrays within a row: no shuffle, no Python.
 
@@ -54,12 +54,11 @@ def add_fingerprint(docs: DataFrame, text_col: str, name: str, words: int = WORD
                  else transform(sequence(0, size({h}) - {words}), i -> xxhash64({gets})) end"""))
         .withColumn(a, F.sort_array(F.concat(F.col(s), empties)))
         .withColumn(f, F.expr(f"filter({a}, (x, i) -> i = 0 or shiftright(x, {_SHIFT}) <> shiftright(get({a}, i - 1), {_SHIFT}))"))
-        .withColumn(v, F.expr(f"transform({f}, x -> if((x & {_EMPTY}L) = {_EMPTY}L, null, x & {(1 << BITS) - 1}L))"))
+        .withColumn(v, F.expr(f"transform({f}, x -> if((x & {_EMPTY}L) = {_EMPTY}L, null, x & {_EMPTY}L))"))
         .withColumn(o, F.expr(f"filter(sequence(0, {BINS - 1}), j -> get({v}, j) is not null)"))
         .withColumn(f, F.expr(f"""
             case when size({o}) = 0 then array_repeat(0L, {BINS})
-                 when size({o}) = {BINS} then {v}
-                 else transform({v}, (x, i) -> coalesce(x, {draws}, {last})) end"""))
+                 else transform({v}, (x, i) -> xxhash64(coalesce(x, {draws}, {last}), i) & {(1 << BITS) - 1}L) end"""))
         .withColumn(name, F.expr(f"""
             transform(sequence(0, {BINS // PER_WORD - 1}),
                       w -> aggregate({chunk}, 0L, (held, x) -> shiftleft(held, {BITS}) | x))"""))
