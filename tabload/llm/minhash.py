@@ -44,7 +44,8 @@ def add_fingerprint(docs: DataFrame, text_col: str, name: str, words: int = WORD
     draws = ", ".join(f"get({v}, cast(pmod(xxhash64(i, {at}), {BINS}) as int))" for at in range(1, DRAWS + 1))
     last = f"array_min(transform({o}, j -> struct(xxhash64(i, j), get({v}, j)))).col2"
     chunk = f"slice({f}, w * {PER_WORD} + 1, {PER_WORD})"
-    # one step each: what a lambda reads more than once is computed before it
+    # One step each: what a lambda reads is computed before it. The optimiser puts a column that is named only once in
+    # place of its name, and so into the lambda; each of these is named twice.
     return (
         docs.withColumn(w, F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \t\n\x0b\f\r]+")))
         .withColumn(h, F.transform(w, lambda x: F.xxhash64(x)))
@@ -60,7 +61,7 @@ def add_fingerprint(docs: DataFrame, text_col: str, name: str, words: int = WORD
             case when size({o}) = 0 then array_repeat(0L, {BINS})
                  else transform({v}, (x, i) -> xxhash64(coalesce(x, {draws}, {last}), i) & {(1 << BITS) - 1}L) end"""))
         .withColumn(name, F.expr(f"""
-            transform(sequence(0, {BINS // PER_WORD - 1}),
+            transform(sequence(0, cast(size({f}) / {PER_WORD} as int) - 1),
                       w -> aggregate({chunk}, 0L, (held, x) -> shiftleft(held, {BITS}) | x))"""))
         .drop(w, h, s, a, f, v, o)
     )
