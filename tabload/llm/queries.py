@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm import language, minhash, mixing, pieces, simhash, suffixes, urlfilter
+from tabload.llm import language, minhash, mixing, pieces, simhash, suffixes, urlfilter, vectors
 from tabload.llm.urlfilter import HostWord, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +152,20 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     rules = [*URL_RULES, *(HostWord(word, "block") for word in HOST_WORDS)]
     return urlfilter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op10_embedding_groups", """
+    with recursive vectors as (
+        select vec_id, embedding::double[] as e from embeddings
+        where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links as (select a.vec_id as a, b.vec_id as b from vectors a join vectors b
+              on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.9),
+    reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+    counts as (select a, count(*) as n from links group by a),
+    least_of as (select a, min(b) as b from reach group by a)
+    select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(l.b, vec_id)) as component_id,
+           vec_id = least(vec_id, coalesce(l.b, vec_id)) as kept
+    from embeddings left join counts c on c.a = vec_id left join least_of l on l.a = vec_id""")
+def embedding_groups(spark: SparkSession, folder: str) -> DataFrame:
+    found = vectors.near_duplicates(table(spark, folder, "embeddings"), threshold=0.9)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
