@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm import language, minhash, mixing, pieces, simhash, suffixes, urlfilter, vectors
+from tabload.llm import language, minhash, mixing, pieces, quality, simhash, suffixes, toxicity, urlfilter, vectors
 from tabload.llm.urlfilter import HostWord, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +123,28 @@ def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(encoded.withColumn("decoded", pieces.decode(F.col("ids"), PIECE_MODEL)))
 
 
+def _judged(docs: DataFrame, held_out: Column, score: Column) -> DataFrame:
+    return docs.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn(
+        "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    )
+
+
+@query("op7_quality")
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = quality.train(docs, table(spark, folder, "labels").filter(~held_out))
+    return _judged(docs, held_out, quality.score(spark, model, F.col("text")))
+
+
+@query("op9_toxicity")
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, table(spark, folder, "labels").filter(~held_out))
+    return _judged(docs, held_out, toxicity.score(spark, model, F.col("text")))
+
+
 URL_RULES = [
     Rule("com", "/", "allow"),
     Rule("example.com", "/en/", "block"),
