@@ -356,8 +356,13 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return whole.unionByName(edges)
 
 
-def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``spans`` (maximal removed stretches of bytes) and ``kept`` (the other bytes, in order)."""
+def remove_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spans_col: str = "spans", kept_col: str = "kept",
+) -> DataFrame:
+    """``docs`` with the maximal removed stretches of bytes and the other bytes, in order.
+
+    The two result columns take the place of columns of their names.
+    """
     found = later_copies(docs, id_col, text_col)
     per_doc = found.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
     key, stretches, result = fresh(docs, "copy_of"), fresh(docs, "stretches"), fresh(docs, "result")
@@ -389,8 +394,8 @@ def remove_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         docs.join(per_doc, F.col(id_col) == F.col(key), "left")
         .withColumn(result, cut(touched, F.col(stretches)))
         .withColumns({
-            "spans": F.coalesce(F.col(f"{result}.spans"), F.expr("cast(array() as array<struct<start:int,stop:int>>)")),
-            "kept": F.coalesce(F.col(f"{result}.kept"), text),
+            spans_col: F.coalesce(F.col(f"{result}.spans"), F.expr("cast(array() as array<struct<start:int,stop:int>>)")),
+            kept_col: F.coalesce(F.col(f"{result}.kept"), text),
         })
         .drop(key, stretches, result)
     )
@@ -401,7 +406,8 @@ def trim_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A character goes if all its bytes go. Texts of which nothing is left go with their rows; a text that was empty or null stays.
     """
-    found = remove_copies(docs.withColumnRenamed(text_col, text_col), id_col, text_col)
+    spans_col, kept_col = fresh(docs, "spans"), fresh(docs, "kept")
+    found = remove_copies(docs, id_col, text_col, spans_col, kept_col)
 
     @F.arrow_udf("string")
     def whole(text: pa.Array, spans: pa.Array) -> pa.Array:
@@ -422,8 +428,8 @@ def trim_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             out.append(b"".join([*kept, own[at:]]).decode("utf-8", "replace"))
         return pa.array(out, pa.string())
 
-    spans = found["spans"]
+    spans = F.col(spans_col)
     cut = F.when(F.size(spans) > 0, F.col(text_col).cast("binary"))
     kept = F.when(F.size(spans) > 0, whole(cut, spans)).otherwise(F.col(text_col))
     emptied = (F.size(spans) > 0) & (F.length(text_col) == 0)
-    return found.withColumn(text_col, kept).filter(~F.coalesce(emptied, F.lit(False)))
+    return found.withColumn(text_col, kept).filter(~F.coalesce(emptied, F.lit(False))).drop(spans_col, kept_col)

@@ -153,8 +153,9 @@ def fit(texts: list[str], labels: np.ndarray, sizes: tuple[int, int]) -> Model:
     tokens, owner = held.read(texts)
     sentence, doc = sentences(tokens, owner)
     words = tokens[tokens >= len(_STOPS)]
-    # one row per word and sentence, whatever its number of features
-    learn = (np.arange(len(texts)) % KEPT_BACK) != 0
+    learn = np.ones(len(texts), dtype=bool)
+    for which in (0, 1):
+        learn[np.flatnonzero(labels == which)[KEPT_BACK - 1::KEPT_BACK]] = False
     in_fit = learn[doc[sentence]] if len(sentence) else np.zeros(0, bool)
     balance = np.where(labels == 1, 0.5 / max(1, (labels[learn] == 1).sum()), 0.5 / max(1, (labels[learn] == 0).sum())) * learn
     reach = reach_of(np.unique(doc[sentence] * len(held.buckets) + words), held.buckets, labels, learn)
@@ -232,7 +233,11 @@ def score(spark: SparkSession, model: Model, text: Column) -> Column:
 
 
 def locate(spark: SparkSession, model: Model, text: Column, least: float = 0.5) -> Column:
-    """The offending sentences of a text: array of (start, stop, score), in code points, with a score of at least ``least``."""
+    """The offending sentences of a text: array of (start, stop, score), in code points.
+
+    A sentence's score is that of a document of this sentence alone. Where no sentence reaches ``least`` but all of them
+    together do, the likeliest is given.
+    """
     shared = spark.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("score", pa.float64())]))
 
@@ -248,10 +253,14 @@ def locate(spark: SparkSession, model: Model, text: Column, least: float = 0.5)
 def _offending(model: Model, held: Tokens, text: str, least: float) -> list[dict]:
     if model.constant is not None:
         return []
-    logits, _ = model.sentence_logits(held, [text])
+    logits, doc = model.sentence_logits(held, [text])
+    if not len(logits):
+        return []
     spans = [found.span() for found in re.finditer(r"[^.!?\n]*[^\W_][^.!?\n]*[.!?]?", text)]
-    chances = _logistic(logits)
+    chances = _logistic(logits - model.shift)
+    if chances.max() < least <= _logistic(_logit(noisy_or(logits, doc, 1)) - model.shift)[0]:
+        least = chances.max()
     return [
         {"start": start, "stop": stop, "score": float(chance)}
-        for (start, stop), chance in zip(spans, chances, strict=False) if chance >= least
+        for (start, stop), chance in zip(spans, chances, strict=True) if chance >= least
     ]
