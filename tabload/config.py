@@ -58,7 +58,9 @@ DATE_FORMATS = (
     ("d-MMM-yyyy", r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"),
     ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
     ("yyyyMMdd", r"^\d{8}$"),
+    ("M/d/yy", r"^\d{1,2}/\d{1,2}/\d{2}$"),
 )
+LAST_SHORT_YEAR = 2068  # two-digit years up to 68 are of this century, 69 and up of the last
 TIMESTAMP_FORMATS = (
     ("yyyy-M-d H:mm:ss", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$"),
     ("yyyy-M-d H:mm:ss.SSSSSS", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}\.\d{6}$"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tabload.config import DATE_FORMATS, SUBMISSION_TIME_FORMATS, TIMESTAMP_FORMATS
+from tabload.config import DATE_FORMATS, LAST_SHORT_YEAR, SUBMISSION_TIME_FORMATS, TIMESTAMP_FORMATS
 from tabload.functions.nulls import date_text_to_null
 
 
@@ -15,11 +15,18 @@ def _by_shape(text: Column, formats: Formats) -> Column:
     """Parse in the layout whose shape the text has; one attempt per cell, NULL if none fits."""
     chain = F.when(text.isNull(), F.lit(None).cast("timestamp"))
     for layout, shape in formats:
-        chain = chain.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout)))
+        parsed = F.try_to_timestamp(text, F.lit(layout))
+        if layout.endswith("/yy"):
+            short = F.regexp_extract(text, r"(\d{2})$", 1).try_cast("int")
+            century = F.when(short <= LAST_SHORT_YEAR % 100, "20").otherwise("19")
+            whole = F.concat(F.regexp_replace(text, r"\d{2}$", ""), century, F.regexp_extract(text, r"(\d{2})$", 1))
+            parsed = F.try_to_timestamp(whole, F.lit(layout + "yy"))
+        chain = chain.when(text.rlike(shape), parsed)
     return chain
 
 
-def parse_date(cell: Column, formats: Formats = DATE_FORMATS) -> Column:
+def parse_date(cell: Column, formats: Formats = DATE_FORMATS + TIMESTAMP_FORMATS) -> Column:
+    """The day of a date, also of one that is given with a time."""
     return _by_shape(date_text_to_null(cell), formats).cast("date")
 
 

@@ -14,7 +14,7 @@ def visit_number(cell: Column) -> Column:
 
 def padded_visit(cell: Column) -> Column:
     """Visits 1 to 9 with a leading zero; all others (10 and up, -1, texts) as they are."""
-    return F.regexp_replace(cell, "^([1-9])$", "0$1")
+    return F.when((F.length(cell) == 1) & cell.between("1", "9"), F.concat(F.lit("0"), cell)).otherwise(cell)
 
 
 def visit_key(participant: Column, visit_type: Column, number: Column) -> Column:

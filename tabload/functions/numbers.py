@@ -12,6 +12,7 @@ from tabload.functions.text import strip
 
 
 EXACT = DecimalType(30, 10)
+WIDE = DecimalType(38, 10)  # whole numbers up to 28 digits
 
 
 def to_number(cell: Column) -> Column:
@@ -92,6 +93,16 @@ def as_double(number: Column) -> Column:
     return F.round(number_sentinel_to_null(number), 5)
 
 
+def to_exact(cell: Column) -> Column:
+    """Text or number as a decimal without passing through a double, NULL where it is none."""
+    return cell.try_cast(WIDE)
+
+
+def as_decimal(kind: DecimalType):
+    """How a number is stored in a decimal column: sentinels to NULL, rounded half up to its scale."""
+    return lambda number: number_sentinel_to_null(number).try_cast(kind)
+
+
 def as_whole(number: Column) -> Column:
     kept = number_sentinel_to_null(number)
     return F.when(kept == F.floor(kept), kept.try_cast("bigint"))
@@ -104,7 +115,7 @@ def lenient_number(cell: Column) -> Column:
 
 def whole_number(cell: Column) -> Column:
     """Whole numbers as bigint, NULL for anything else (also for a fraction)."""
-    return as_whole(to_number(told_number(cell)))
+    return as_whole(to_exact(told_number(cell)))
 
 
 def band(number: Column, bands: tuple[tuple[float | None, str], ...], current: Column) -> Column:

@@ -53,17 +53,24 @@ def _is_digit(character: Column) -> Column:
     return character.between("0", "9")
 
 
+def has_third_digit(cell: Column) -> Column:
+    """Whether the number after a 13-character parent and ``_`` has more than two digits."""
+    return _is_digit(F.substring(cell, 15, 1)) & _is_digit(F.substring(cell, 16, 1)) & _is_digit(F.substring(cell, 17, 1))
+
+
 def pad_aliquot_id(cell: Column) -> Column:
     """Normalise a 13-character parent, ``_`` and a number.
 
-    At most two digits are kept, text after the digits goes, one digit gets a leading zero.
+    Text after one or two digits goes, one digit gets a leading zero. An id with a third digit stays as
+    it is: without that digit it would be another record's (``has_third_digit`` tells).
     """
     first, second = F.substring(cell, 15, 1), F.substring(cell, 16, 1)
     single = F.when(
         F.substring(cell, 14, 1) == "_", F.concat(F.substring(cell, 1, 13), F.lit("_0"), first)
     ).otherwise(F.substring(cell, 1, 15))
     return (
-        F.when(_is_digit(first) & _is_digit(second), F.substring(cell, 1, 16))
+        F.when(has_third_digit(cell), cell)
+        .when(_is_digit(first) & _is_digit(second), F.substring(cell, 1, 16))
         .when(_is_digit(first), single)
         .otherwise(cell)
     )

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DecimalType
 
 from tabload.config import CastSpec
 from tabload.functions import dates, nulls, numbers
@@ -15,6 +18,12 @@ def base_type(declared: str) -> str:
     return declared.split("(")[0].strip().upper()
 
 
+def decimal_type(declared: str) -> DecimalType | None:
+    """Precision and scale of ``DECIMAL(p, s)``; None for other types and for a bare ``DECIMAL``."""
+    found = re.fullmatch(r"\s*(?:DECIMAL|NUMERIC)\s*\(\s*(\d+)\s*(?:,\s*(\d+)\s*)?\)\s*", declared, re.IGNORECASE)
+    return DecimalType(int(found[1]), int(found[2] or 0)) if found else None
+
+
 def typed(cell: Column, declared: str) -> Column:
     """One text cell in its declared type, NULL where it does not fit."""
     told, parse, value, _ = _steps(declared)
@@ -36,7 +45,9 @@ def _steps(declared: str):
         return cell
 
     if kind in INTEGERS:
-        return numbers.told_number, numbers.to_number, numbers.as_whole, not_whole
+        return numbers.told_number, numbers.to_exact, numbers.as_whole, not_whole
+    if exact := decimal_type(declared):
+        return numbers.told_number, numbers.to_exact, numbers.as_decimal(exact), not_whole
     if kind in NUMBERS:
         return numbers.told_number, numbers.to_number, numbers.as_double, unparsed
     if kind == "DATE":

@@ -59,11 +59,13 @@ def last_value_first_version(df: DataFrame, keys: list[str], version: str, order
     ``order`` breaks ties within a version.
     """
     values = [c for c in df.columns if c not in keys and c != version]
-    last = F.max_by(F.struct(*values), F.struct(version, *order)) if values else None
+    # One struct: what orders the versions is among the values, so nothing is shuffled twice.
+    named = [c.strip("`") for c in order]
+    last = F.max(F.struct(version, *order, *[F.col(f"`{c}`") for c in values if c not in named])) if values else None
     folded = df.groupBy(*keys).agg(
         *([last.alias("_last")] if values else []), F.min(version).alias("_first_version")
     )
-    chosen = [F.col(f"_last.{c}").alias(c) for c in values]
+    chosen = [F.col(f"_last.`{c}`").alias(c) for c in values]
     picked = {c: chosen[i] for i, c in enumerate(values)}
     picked[version] = F.col("_first_version").alias(version)
     return folded.select(*[picked.get(c, F.col(c)) for c in df.columns])
@@ -97,15 +99,16 @@ def harmonise_latest(
     Only keys with more than one value are joined back. The rows of a key with very many of them
     meet their single entry in a null-safe join, which adaptive execution splits.
     """
-    counts = F.lit(True) if exempt is None else ~F.coalesce(exempt, F.lit(False))
+    counted = df if exempt is None else df.filter(~F.coalesce(exempt, F.lit(False)))
     wanted = F.struct(F.col(value).alias("value"))
     mixed = (
-        df.filter(counts)
-        .groupBy(key)
+        counted.groupBy(key)
         .agg(F.max_by(wanted, F.struct(*order)).alias("_latest"), F.min(wanted).alias("_low"), F.max(wanted).alias("_high"))
         .filter(F.col("_low") != F.col("_high"))
         .select(key, "_latest")
     )
-    joined = join_on(df, mixed, [key], "left")
-    latest = F.when(counts & F.col("_latest").isNotNull(), F.col("_latest.value")).otherwise(F.col(value))
-    return joined.withColumn(value, latest).drop("_latest")
+    joined = join_on(counted, mixed, [key], "left")
+    latest = F.when(F.col("_latest").isNotNull(), F.col("_latest.value")).otherwise(F.col(value))
+    changed = joined.withColumn(value, latest).drop("_latest")
+    # Exempt rows take no part in the join, so they cannot crowd one of its keys.
+    return changed if exempt is None else changed.unionByName(df.filter(F.coalesce(exempt, F.lit(False))))

@@ -34,7 +34,9 @@ def _differs(incoming: DataFrame, columns: list[str]) -> Column:
         kind = incoming.schema[name].dataType
         if isinstance(kind, StringType):
             new, old = text.canonical(new), text.canonical(old)
-        elif isinstance(kind, (FractionalType, DecimalType)):
+        elif isinstance(kind, DecimalType):
+            new, old = F.round(numbers.number_sentinel_to_null(new), 4), F.round(numbers.number_sentinel_to_null(old), 4)
+        elif isinstance(kind, FractionalType):
             new, old = numbers.compare_number(new.cast("double")), numbers.compare_number(old.cast("double"))
         tests.append(~new.eqNullSafe(old))
     return reduce(lambda one, other: one | other, tests) if tests else F.lit(False)
@@ -171,6 +173,15 @@ def run_summary(classified: DataFrame, spec: DeltaSpec, table: str) -> DataFrame
     )
 
 
+def split_orphans(
+    child: DataFrame, parent: DataFrame, links: dict[str, str], few_rows: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Child rows that may be merged, and those whose reference has no parent (see ``orphans``)."""
+    names = list(links)
+    lost = orphans(child, parent, links, few_rows)
+    return anti(child, lost.select(*names).distinct(), names), lost
+
+
 def orphans(child: DataFrame, parent: DataFrame, links: dict[str, str], few_rows: bool = False) -> DataFrame:
     """Child rows whose reference (child column to parent column) has no parent; NULL refers to none.
 

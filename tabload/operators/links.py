@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabload.operators.joins import anti, join_on, semi
-from tabload.session import ensure_checkpoint_dir
+
+SAMPLED_KEYS = 4096
+RANGES = 256
 
 
 def link_table(
@@ -21,30 +23,33 @@ def link_table(
 
 
 def number_rows(df: DataFrame, order: list[str | Column], name: str, start: int | Column = 1) -> DataFrame:
-    """Dense numbers from ``start`` in the given order, without a single-task sort.
+    """Dense numbers from ``start`` in the given order, which must be total, without a single-task sort.
 
-    Rows are range partitioned and sorted, numbered within their partition, and shifted by the
-    size of the partitions before it. That list has one row per partition, so it may be broadcast.
-    The sorted rows are checkpointed (this runs a job): both uses then see the same partitions,
-    also after an executor is lost.
+    Range bounds come from a sample of the sort keys (those with the smallest hashes) by a scalar subquery, so a row's
+    range is an expression of its key alone: no job runs while the plan is built, and a lost executor changes
+    nothing. Rows are numbered within their range and shifted by the sizes of the ranges before it; that
+    list has at most ``RANGES`` rows, so it may be broadcast.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    # The upper 31 bits of this id are the partition, the lower 33 the position in it.
-    placed = ranged.withColumn("_at", F.monotonically_increasing_id()).checkpoint()
-    place = placed.withColumns(
-        {"_part": F.shiftright("_at", 33), "_pos": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}
+    key = F.struct(*order)
+    keyed = df.withColumn("_key", key)
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key")).limit(SAMPLED_KEYS)
+    step = SAMPLED_KEYS // RANGES
+    listed = sample.agg(F.sort_array(F.collect_list("_key")).alias("keys")).select(
+        F.filter("keys", lambda _, at: at % step == step - 1).alias("bounds")
     )
-    sizes = place.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    ranged = keyed.withColumn("_bounds", listed.scalar()).withColumn(
+        "_range", F.size(F.filter("_bounds", lambda bound: bound <= F.col("_key")))
+    ).drop("_bounds")
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     first = start if isinstance(start, Column) else F.lit(start)
     return (
-        place.join(F.broadcast(offsets), "_part")
-        .withColumn(name, (F.col("_before") + F.col("_pos") + first).cast("bigint"))
-        .drop("_part", "_pos", "_at", "_before")
+        ranged.withColumn("_place", place)
+        .join(F.broadcast(offsets), "_range")
+        .withColumn(name, (F.col("_before") + F.col("_place") - 1 + first).cast("bigint"))
+        .drop("_range", "_place", "_key", "_before")
     )
 
 

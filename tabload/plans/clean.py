@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabload.config import CleanSpec
 from tabload.operators import clean
-from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN
+from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN, SHORT_COLUMN
 
-BOOKKEEPING = (PATH_COLUMN, MALFORMED_COLUMN, "Submission_Index", "Submission_CBC", "intent", "submission")
+BOOKKEEPING = (PATH_COLUMN, MALFORMED_COLUMN, SHORT_COLUMN, "Submission_Index", "Submission_CBC", "intent", "submission")
 
 
 # Up to so many listed ids are tested as expressions; a longer list is joined.
@@ -31,6 +31,7 @@ def clean_landed(
 ) -> DataFrame:
     """Null markers, blank and template rows, excluded records, recodes.
 
+    Rows without one of the excludable ids drop, whether or not anything is listed.
     ``excluded_ids`` (column ``id``) drops rows whose ids contain a listed id; a list known to be
     short is given as ``pieces`` instead. ``excluded_ages`` (Research_Participant_ID, Age) drops
     known wrong pairs.
@@ -49,6 +50,8 @@ def clean_landed(
         rows = clean.exclude_keys(rows, pairs, ["Research_Participant_ID", "Age"])
     rows = clean.require(rows, *[c for c in spec.required_ids if c in rows.columns])
     ids = [c for c in spec.excludable_ids if c in rows.columns]
+    for c in ids:
+        rows = rows.filter(F.col(c).isNotNull())
     if ids and pieces is not None:
         rows = clean.exclude_pieces(rows, ids, pieces) if pieces else rows
     elif ids and excluded_ids is not None:

@@ -10,7 +10,7 @@ from tabload.operators import clean, submissions
 from tabload.operators.joins import fits_broadcast, join_on, lookup, semi
 from tabload.plans.clean import clean_landed, few_pieces
 from tabload.plans.tables import LoadJob, Run, RunResult, apply_kind_rules, load_tables, version_kind
-from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN, read_headers, read_kinds, read_pairs
+from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN, SHORT_COLUMN, read_headers, read_kinds, read_pairs
 from tabload.sources.listing import comparable_path
 
 DONE_COLUMNS = ("Submission_S3_Path", "Submission_Index")
@@ -91,11 +91,18 @@ def landed_kinds(run: Run, files: DataFrame, pending: DataFrame) -> dict[str, Da
     tags = F.broadcast(tags) if fits_broadcast(tags) else tags
     pieces = few_pieces(job.excluded_ids)
     frames = {}
-    for kind, rows in read_kinds(wanted).items():
-        run.reject(rows.filter(F.col(MALFORMED_COLUMN).isNotNull()), kind, "line has too few or too many cells")
-        tagged = rows.withColumn("_folder", folder_of(F.col(PATH_COLUMN))).join(tags, "_folder")
+    for kind, rows in read_kinds(wanted, job.multi_line).items():
+        # Parsed once; a line is either rejected or goes on, so both add up to the lines landed.
+        tagged = run.stage(rows.withColumn("_folder", folder_of(F.col(PATH_COLUMN))).join(tags, "_folder", "left"), f"landed/{kind}")
+        known, good = F.col("intent").isNotNull(), F.col(MALFORMED_COLUMN).isNull()
+        run.reject(tagged.filter(~good), kind, "line has too many cells")
+        run.reject(tagged.filter(good & ~known), kind, "line is of no listed submission")
+        found = tagged.agg(F.count(F.lit(1)).alias("landed"), F.count(SHORT_COLUMN).alias("short")).first()
+        run.note(kind, "landed", found.landed)
+        if found.short:
+            run.note(kind, "short line, missing cells read as NULL", found.short)
         cleaned = clean_landed(
-            tagged.drop("_folder", PATH_COLUMN, MALFORMED_COLUMN),
+            tagged.filter(good & known).drop("_folder", PATH_COLUMN, MALFORMED_COLUMN, SHORT_COLUMN),
             job.clean_spec, job.excluded_ids, job.excluded_ages, pieces,
         )
         if "Age" in cleaned.columns:
@@ -104,22 +111,37 @@ def landed_kinds(run: Run, files: DataFrame, pending: DataFrame) -> dict[str, Da
     return frames
 
 
-def run_load(job: LoadJob, files: DataFrame, run_id: str) -> RunResult:
-    """Load all new submissions among the listed files. A run that was published is not repeated."""
+def run_load(job: LoadJob, files: DataFrame, run_id: str, arrived: DataFrame | None = None) -> RunResult:
+    """Load all new submissions among the listed files. A run that was published is not repeated.
+
+    ``arrived`` (column ``key``): files that have landed just now; those of a submission that was
+    loaded before are listed as rejects. An error in any step is logged, and the run is then not published.
+    """
     if job.store.is_published(run_id):
         empty = job.spark.createDataFrame([], StructType([StructField("source", StringType())]))
         return RunResult(run_id, True, job.store.spark.read.parquet(f"{job.store.root}/run_log").filter(F.col("run_id") == run_id), empty)
     run = Run(job, run_id)
+    try:
+        load_submissions(run, files, arrived)
+    except Exception as error:  # noqa: BLE001 - recorded; the run is then not published
+        run.note("run", "error", 0, f"{type(error).__name__}: {error}")
+    return run.finish()
+
+
+def load_submissions(run: Run, files: DataFrame, arrived: DataFrame | None) -> None:
+    if arrived is not None:
+        done = run.current("Submission").select(F.col("Submission_S3_Path").alias("submission")).distinct()
+        late = semi(arrived.withColumn("submission", text.path_parent(F.col("key"))), done, ["submission"])
+        run.reject(run.stage(late, "late"), "submission", "file landed after its submission was loaded")
     pending, other = submissions.split_by_intent(pending_submissions(run, files))
     run.reject(other, "submission.csv", "intent is neither Create nor Update")
     if pending.isEmpty():
         run.note("Submission", "absent", 0)
-        return run.finish()
+        return
     frames = {kind: run.stage(version_kind(run, kind, rows), f"kinds/{kind}") for kind, rows in landed_kinds(run, files, pending).items()}
     frames = apply_kind_rules(run, frames)
     frames["submission.csv"] = submission_rows(run, pending)
     load_tables(run, frames)
-    return run.finish()
 
 
 def run_refresh(job: LoadJob, bundle: dict[str, DataFrame], run_id: str) -> RunResult:

@@ -15,13 +15,14 @@ from tabload import config
 from tabload.config import CastSpec, DeltaSpec
 from tabload.functions import keys, numbers, text
 from tabload.operators import cast, clean, dedup, delta, joins, links, reshape, rules
-from tabload.sinks.publish import SnapshotStore, validate
+from tabload.sinks.publish import SnapshotStore, StaleRun, validate
 from tabload.sources.catalog import Catalog
 from tabload.sources.tables import kinds_of
 
 VISIT_TABLE = "Participant_Visit_Info"
 CONTAINER_TABLE = "Tube"
 LAB_ITEMS = ("Consumable", "Equipment", "Reagent")
+ALIQUOT_COLUMNS = {"aliquot.csv": ("Aliquot_ID",), "shipping_manifest.csv": ("Current Label",)}
 UNSTRIPPED_TABLES = ("Tube", "Aliquot", *LAB_ITEMS)
 
 
@@ -32,13 +33,14 @@ class LoadJob:
     store: SnapshotStore
     catalog: Catalog
     mapping: dict[str, list[str]]
-    sites: DataFrame | None = None
+    sites: DataFrame
     clean_spec: config.CleanSpec = field(default_factory=config.CleanSpec)
     excluded_ids: DataFrame | None = None
     excluded_ages: DataFrame | None = None
     excluded_keys: dict[str, DataFrame] = field(default_factory=dict)
     absent_columns: str = "keep"
     data_release: str = config.DATA_RELEASE
+    multi_line: tuple[str, ...] = ()  # file kinds whose quoted cells hold line ends
 
     @property
     def spark(self) -> SparkSession:
@@ -60,7 +62,7 @@ class Run:
         self.job = job
         self.run_id = run_id
         self.staged: dict[str, DataFrame] = {}
-        self.published = job.store.locations()
+        self.heads = job.store.heads()
         self.counts: dict[str, int] = {}
         self.log: list[tuple[str, str, str, int, str | None]] = []
         self.rejected: list[DataFrame] = []
@@ -69,7 +71,7 @@ class Run:
         """The table as this run left it, else as it was published."""
         if table not in self.staged:
             schema = self.job.catalog.schema(table)
-            self.staged[table] = self.job.store.open(self.published.get(table), schema)
+            self.staged[table] = self.job.store.open(self.heads.get(table, (0, None))[1], schema)
         return self.staged[table]
 
     def stage(self, rows: DataFrame, part: str) -> DataFrame:
@@ -92,7 +94,11 @@ class Run:
         rejects = self.stage(reshape.union_all([empty, *self.rejected]), "rejects")
         ok = not self.failed()
         if ok and self.counts:
-            self.job.store.publish(self.run_id, self.counts)
+            try:
+                self.job.store.publish(self.run_id, self.counts, self.heads)
+            except StaleRun as error:
+                self.note("manifest", "error", 0, str(error))
+                ok = False
         log = self.job.store.log(self.log)
         return RunResult(self.run_id, ok, log, rejects)
 
@@ -137,7 +143,7 @@ def prepare_kind(kind: str, rows: DataFrame) -> DataFrame:
         rows = rules.obesity_bands(rows)
     if kind == "shipping_manifest.csv":
         rows = clean.require_label(rows, "Current Label")
-    for column in {"aliquot.csv": ["Aliquot_ID"], "shipping_manifest.csv": ["Current Label"]}.get(kind, []):
+    for column in ALIQUOT_COLUMNS.get(kind, ()):
         rows = rows.withColumn(column, text.pad_aliquot_id(F.col(f"`{column}`")))
     for column in {"aliquot.csv": ["Aliquot_Volume"], "shipping_manifest.csv": ["Volume"]}.get(kind, []):
         if column in rows.columns:
@@ -149,6 +155,10 @@ def version_kind(run: Run, kind: str, rows: DataFrame) -> DataFrame:
     """Typed rows of a file kind, one per key: values of the last submission, index of the first."""
     job = run.job
     spec = cast_spec(job.catalog.types(*job.mapping.get(kind, [])))
+    for column in ALIQUOT_COLUMNS.get(kind, ()):
+        if column in rows.columns:
+            long = F.coalesce(text.has_third_digit(F.col(f"`{column}`")), F.lit(False))
+            run.reject(rows.filter(long), kind, "aliquot number has more than two digits; the id is kept as it is")
     typed = run.stage(cast.schema_cast(prepare_kind(kind, rows), spec), f"typed/{kind}")
     typed, bad = cast.split_rejects(typed, spec)
     run.reject(bad, kind, "cell does not fit its column type")
@@ -156,6 +166,7 @@ def version_kind(run: Run, kind: str, rows: DataFrame) -> DataFrame:
         typed = typed.withColumn("Submission_Index", F.col("Submission_Index").cast("bigint"))
     by_participant = {"Cohort", "Research_Participant_ID", "Submission_Index"} <= set(typed.columns)
     if by_participant:
+        run.reject(typed.filter(F.col("Cohort").isNull()), kind, "no cohort")
         typed = typed.filter(F.col("Cohort").isNotNull())
         exempt = text.site_prefix(F.col("Research_Participant_ID")).isin(*config.COHORT_EXEMPT_SITES)
         typed = dedup.harmonise_latest(
@@ -358,6 +369,7 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
         run.note(table, "absent", 0)
         return
     incoming = run.stage(rows, f"incoming/{table}")
+    incoming = drop_orphans(run, table, incoming)
     current = run.current(table)
     auto = job.catalog.auto_column(table)
     if not key and auto:
@@ -383,14 +395,28 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
     check_merge(run, table, spec, changes, count, current.count() + counts.get("insert", 0))
     run.staged[table] = merged
     run.counts[table] = count
-    for parent, refs in job.catalog.references(table).items():
-        if set(refs) <= set(incoming.columns):
-            small = joins.fits_broadcast(incoming.select(*refs))
-            lost = run.stage(delta.orphans(incoming, run.current(parent), refs, small), f"orphans/{table}/{parent}")
-            orphaned = lost.count()
-            if orphaned:
-                run.note(table, "orphan", orphaned)
-                run.reject(lost, table, f"no such row in {parent}")
+
+
+def drop_orphans(run: Run, table: str, incoming: DataFrame) -> DataFrame:
+    """Incoming rows whose references exist; the others are logged and rejected, not merged.
+
+    A table that refers to itself may also refer to rows that come in with it.
+    """
+    for parent, refs in run.job.catalog.references(table).items():
+        if not set(refs) <= set(incoming.columns):
+            continue
+        targets = run.current(parent)
+        if parent == table:
+            targets = targets.select(*refs.values()).unionByName(incoming.select(*refs.values()))
+        small = joins.fits_broadcast(incoming.select(*refs))
+        kept, lost = delta.split_orphans(incoming, targets, refs, small)
+        lost = run.stage(lost, f"orphans/{table}/{parent}")
+        orphaned = lost.count()
+        if orphaned:
+            run.note(table, "orphan", orphaned)
+            run.reject(lost, table, f"no such row in {parent}")
+            incoming = run.stage(kept, f"incoming/{table}/with {parent}")
+    return incoming
 
 
 def check_merge(run: Run, table: str, spec: DeltaSpec, changes: DataFrame, count: int, due: int) -> None:
@@ -415,11 +441,16 @@ def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
     if kind not in frames or table not in job.catalog.tables() or "Biospecimen_ID" not in frames[kind].columns:
         return
     types = cast_spec(job.catalog.types(item))
-    items = cast.schema_cast(clean.trim_all(frames[kind]), types).drop(types.reject_column)
+    items, bad = cast.split_rejects(cast.schema_cast(clean.trim_all(frames[kind]), types), types)
+    run.reject(bad, f"{kind} > {table}", "cell does not fit its column type")
     items = canonical_rows(item, items)
     base = run.current(item)
-    base = base.select(*[c for c in base.columns if "Comments" not in c])
-    on = joins.shared_columns(items, base)
+    on = [c for c in joins.shared_columns(items, base) if "Comments" not in c and c != index]
+    if not on:
+        run.note(table, "error", 0, f"{kind} shares no column with {item}")
+        return
+    # One id per set of attributes, so no specimen gets several.
+    base = base.groupBy(*on).agg(F.min(index).alias(index))
     stored = run.current(table)
     pairs = links.link_table(
         items.select("Biospecimen_ID", *[c for c in on if c != "Biospecimen_ID"]), base, on,
@@ -439,11 +470,16 @@ def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
 def load_tables(run: Run, frames: dict[str, DataFrame]) -> None:
     """All target tables the frames feed, parents first. A failure is logged and blocks publishing."""
     job = run.job
+    for kind in sorted(set(frames) - set(job.mapping)):
+        run.note(kind, "unmapped", 0)
+    known = set(job.catalog.tables())
     link_tables = {f"Biospecimen_{item}" for item in LAB_ITEMS}
     wanted = {
         table for kind, tables in job.mapping.items() if kind in frames and "_sql.csv" not in kind for table in tables
     } - link_tables
-    parents = {table: job.catalog.parents(table) for table in wanted if table in job.catalog.tables()}
+    for table in sorted(wanted - known):
+        run.note(table, "not in catalog", 0)
+    parents = {table: job.catalog.parents(table) for table in wanted & known}
     for wave in links.load_order(parents):
         for table in wave:
             try:

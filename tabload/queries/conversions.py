@@ -167,20 +167,47 @@ def seconds_to_time(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("parse_dates", """
-    select o_orderkey, case when o_orderstatus = 'P' or strftime(o_orderdate, '%Y-%m-%d') = '2000-01-01'
+    select o_orderkey, case when o_orderpriority = '3-MEDIUM' or strftime(o_orderdate, '%Y-%m-%d') = '2000-01-01'
                                  and o_orderstatus = 'O' then null
                             else strftime(o_orderdate, '%Y-%m-%d') end as day
     from orders""")
 def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
-    status = F.col("o_orderstatus")
+    status, day = F.col("o_orderstatus"), F.col("o_orderdate")
     said = (
-        F.when(status == "P", "not a date").when(status == "F", F.date_format("o_orderdate", "M/d/yyyy"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        F.when(F.col("o_orderpriority") == "3-MEDIUM", "not a date")
+        .when((status == "F") & (F.col("o_orderpriority") == "1-URGENT"), F.date_format(day, "M/d/yy"))
+        .when(status == "F", F.date_format(day, "M/d/yyyy")).when(status == "P", F.date_format(day, "yyyy-MM-dd 13:05:09"))
+        .otherwise(F.date_format(day, "yyyy-MM-dd"))
     )
     rows = table(spark, folder, "orders").select("o_orderkey", said.alias("said"))
     return rows.select("o_orderkey", F.date_format(dates.parse_date(F.col("said")), "yyyy-MM-dd").alias("day"))
 
 
+@query("whole_number_exact", """
+    select o_orderkey, 9007199254740992 + o_orderkey as big, o_custkey % 3 = 0 as rejected,
+           case when o_custkey % 3 <> 0 then cast(o_custkey as bigint) end as whole
+    from orders""")
+def whole_number_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys beyond 2^53, whole numbers with a zero fraction, and fractions, which are rejected."""
+    customer = F.col("o_custkey")
+    landed = table(spark, folder, "orders").select(
+        "o_orderkey", (F.lit(2**53) + F.col("o_orderkey")).cast("string").alias("big"),
+        F.concat(customer.cast("string"), F.when(customer % 3 == 0, ".25").otherwise(".0")).alias("whole"),
+    )
+    typed = cast.schema_cast(landed, CastSpec({"o_orderkey": "BIGINT", "big": "BIGINT", "whole": "INTEGER"}))
+    return typed.select("o_orderkey", "big", "whole", F.array_contains("_bad", "whole").alias("rejected"))
+
+
+@query("decimal_exact", """
+    select o_orderkey, cast(cast(9007199254740993 + o_orderkey as varchar) || '.125' as varchar) as price
+    from orders""")
+def decimal_exact(spark: SparkSession, folder: str) -> DataFrame:
+    said = F.concat((F.lit(2**53 + 1) + F.col("o_orderkey")).cast("string"), F.lit(".1250"))
+    landed = table(spark, folder, "orders").select("o_orderkey", said.alias("price"))
+    typed = cast.schema_cast(landed, CastSpec({"o_orderkey": "BIGINT", "price": "DECIMAL(25, 3)"}))
+    return typed.select("o_orderkey", F.col("price").cast("string").alias("price"))
+
+
 @query("parse_two_formats", """
     select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as submitted_at from events""")
 def parse_two_formats(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,21 +221,27 @@ def parse_two_formats(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("zero_pad_suffix", """
     select l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           printf('%02d_%06d_%03d_%02d', l_suppkey % 100, l_orderkey % 1000000, l_partkey % 1000, l_linenumber)
-               as aliquot_id
+           printf('%02d_%06d_%03d_', l_suppkey % 100, l_orderkey % 1000000, l_partkey % 1000)
+           || case when l_returnflag = 'R' and l_quantity < 5 then cast(100 + l_linenumber as varchar)
+                   when l_returnflag = 'R' then cast(10 + l_linenumber as varchar) else printf('%02d', l_linenumber) end as aliquot_id,
+           l_returnflag = 'R' and l_quantity < 5 as rejected
     from lineitem""")
 def zero_pad_suffix(spark: SparkSession, folder: str) -> DataFrame:
-    flag = F.col("l_returnflag")
-    tail = F.when(flag == "A", "").when(flag == "N", " ml").otherwise("x")
+    """Numbers of one, two and three digits, some with text after them."""
+    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
+    three = (flag == "R") & (F.col("l_quantity") < 5)
+    digits = lambda value, size: F.lpad(value.cast("string"), size, "0")
+    number = F.when(three, line + 100).when(flag == "R", line + 10).otherwise(line).cast("string")
+    tail = F.when((flag == "A") | three, "").when(flag == "N", " ml").otherwise("x")
     said = F.concat(
-        F.format_string(
-            "%02d_%06d_%03d_%d", F.col("l_suppkey") % 100, F.col("l_orderkey") % 1000000, F.col("l_partkey") % 1000,
-            F.col("l_linenumber"),
-        ),
-        tail,
+        digits(F.col("l_suppkey") % 100, 2), F.lit("_"), digits(F.col("l_orderkey") % 1000000, 6), F.lit("_"),
+        digits(F.col("l_partkey") % 1000, 3), F.lit("_"), number, tail,
     )
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", said.alias("said"))
-    return rows.withColumn("aliquot_id", text.pad_aliquot_id(F.col("said"))).drop("said")
+    return rows.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.pad_aliquot_id(F.col("said")).alias("aliquot_id"),
+        text.has_third_digit(F.col("said")).alias("rejected"),
+    )
 
 
 @query("composite_key", """

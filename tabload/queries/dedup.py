@@ -53,10 +53,7 @@ def latest_value_broadcast(spark: SparkSession, folder: str) -> DataFrame:
     """Rows whose properties hold a 7 stand for the exempt site: they neither count nor change."""
     events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "props")
     exempt = F.col("props").contains("7")
-    key = F.when(~exempt, F.col("user_id"))
-    harmonised = dedup.harmonise_latest(
-        events.withColumn("_who", key), "_who", "event_type", ["ts", "event_id"], F.col("_who").isNull()
-    )
+    harmonised = dedup.harmonise_latest(events, "user_id", "event_type", ["ts", "event_id"], exempt)
     return harmonised.select("event_id", "user_id", "event_type")
 
 

@@ -130,13 +130,13 @@ def publish_validate(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("link_table", """
     select distinct l_orderkey, item_id from lineitem join (
-        select p_partkey, p_partkey + 1000 as item_id from part where p_size > 10) on l_partkey = p_partkey
+        select p_partkey, p_partkey + 1000 as item_id from part) on l_partkey = p_partkey
     where l_orderkey in (select o_orderkey from orders where o_orderpriority <> '4-NOT SPECIFIED')
       and not exists (select 1 from lineitem s where s.l_orderkey = lineitem.l_orderkey
                       and s.l_partkey = lineitem.l_partkey and s.l_returnflag = 'A')""")
 def link_table(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
-    base = table(spark, folder, "part").filter("p_size > 10").select(
+    base = table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), (F.col("p_partkey") + 1000).alias("item_id")
     )
     stored = lines.filter("l_returnflag = 'A'").select("l_orderkey", (F.col("l_partkey") + 1000).alias("item_id"))
@@ -147,12 +147,14 @@ def link_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("assign_surrogates", """
-    select brand, type, 100 + row_number() over (order by brand, type) as container_id
+    select brand, type, (select coalesce(max(length(p_brand) * 7 + try_cast(p_brand[-1:] as integer)), 0) from part where p_type = 'PROMO')
+                        + row_number() over (order by brand, type) as container_id
     from (select distinct p_brand as brand, p_type as type from part)
     where type <> 'PROMO'""")
 def assign_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     containers = table(spark, folder, "part").select(F.col("p_brand").alias("brand"), F.col("p_type").alias("type"))
-    existing = containers.filter("type = 'PROMO'").distinct().withColumn("container_id", F.lit(100).cast("bigint"))
+    numbered = containers.filter("type = 'PROMO'").distinct()
+    existing = numbered.withColumn("container_id", (F.length("brand") * 7 + F.substring("brand", -1, 1).try_cast("int")).cast("bigint"))
     return links.assign_surrogates(containers, existing, ["brand", "type"], "container_id")
 
 
@@ -193,3 +195,17 @@ def load_slice(spark: SparkSession, folder: str) -> DataFrame:
     latest = dedup.last_value_first_version(typed, ["o_orderkey"], "version", [])
     current = snapshot(spark, folder).select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("price"))
     return delta.run_summary(delta.classify(latest, current, SPEC), SPEC, "orders")
+
+
+@query("orphan_split", f"""
+    with {_INPUT_SQL}
+    select l_orderkey, l_linenumber, l_partkey, l_suppkey,
+           case when l_orderkey % 7 = 0 or l_orderkey in (select o_orderkey from current_rows) then 'merged' else 'rejected' end as status
+    from lineitem""")
+def orphan_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines whose order is not in the snapshot are rejected; a line that names no order refers to none."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    rows = lines.withColumn("order", F.when(F.col("l_orderkey") % 7 != 0, F.col("l_orderkey")))
+    kept, lost = delta.split_orphans(rows, snapshot(spark, folder), {"order": "o_orderkey"})
+    both = kept.withColumn("status", F.lit("merged")).unionByName(lost.withColumn("status", F.lit("rejected")))
+    return both.drop("order")

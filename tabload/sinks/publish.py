@@ -1,8 +1,9 @@
 """All-or-nothing publishing of snapshots.
 
 A run writes its tables below ``runs/<run_id>/`` and, when every check has passed, one manifest
-row per table. Readers take the newest manifest row of a table, so a failed run changes nothing,
-and a table without changes stays where it is.
+row per table, with the version that follows the one the run has read. Readers take the row with the
+highest version of a table, so a failed run changes nothing, and a table without changes stays where it
+is. A run whose tables moved on since it read them is refused (``StaleRun``).
 """
 
 from __future__ import annotations
@@ -20,9 +21,14 @@ MANIFEST_SCHEMA = StructType([
     StructField("table_name", StringType()),
     StructField("path", StringType()),
     StructField("n_rows", LongType()),
+    StructField("version", LongType()),
     StructField("published_at", TimestampType()),
 ])
 
+
+class StaleRun(Exception):
+    """Another run has published one of the tables since this run read it."""
+
 LOG_SCHEMA = StructType([
     StructField("run_id", StringType()),
     StructField("table_name", StringType()),
@@ -65,13 +71,19 @@ class SnapshotStore:
     def manifest(self) -> DataFrame:
         try:
             return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/manifest")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
+    def heads(self) -> dict[str, tuple[int, str]]:
+        """Current version and path per table."""
+        newest = self.manifest().groupBy("table_name").agg(F.max(F.struct("version", "path")).alias("head"))
+        return {row.table_name: (row.head.version, row.head.path) for row in newest.collect()}
+
     def locations(self) -> dict[str, str]:
-        """Newest path per table."""
-        newest = self.manifest().groupBy("table_name").agg(F.max_by("path", F.struct("published_at", "run_id")).alias("path"))
-        return {row.table_name: row.path for row in newest.collect()}
+        """Current path per table."""
+        return {name: path for name, (_, path) in self.heads().items()}
 
     def is_published(self, run_id: str) -> bool:
         return not self.manifest().filter(F.col("run_id") == run_id).isEmpty()
@@ -94,10 +106,21 @@ class SnapshotStore:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def publish(self, run_id: str, tables: dict[str, int]) -> None:
-        """Make the run's staged tables the current ones: the last write of a run."""
+    def publish(self, run_id: str, tables: dict[str, int], read: dict[str, tuple[int, str]] | None = None) -> None:
+        """Make the run's staged tables the current ones: the last write of a run.
+
+        ``read`` holds the heads the run has read; without it the heads of this moment count.
+        """
+        heads = self.heads()
+        read = heads if read is None else read
+        moved = sorted(name for name in tables if heads.get(name) != read.get(name))
+        if moved:
+            raise StaleRun(f"{', '.join(moved)}: published by another run meanwhile")
         now = datetime.now()
-        rows = [(run_id, name, self.staging(run_id, f"tables/{name}"), count, now) for name, count in tables.items()]
+        rows = [
+            (run_id, name, self.staging(run_id, f"tables/{name}"), count, heads[name][0] + 1 if name in heads else 1, now)
+            for name, count in tables.items()
+        ]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
 
     def log(self, rows: list[tuple[str, str, str, int, str | None]]) -> DataFrame:

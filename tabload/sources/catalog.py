@@ -10,7 +10,7 @@ from pyspark.sql.types import (
 )
 
 from tabload.config import SERVER_COLUMNS
-from tabload.operators.cast import INTEGERS, NUMBERS, base_type
+from tabload.operators.cast import INTEGERS, NUMBERS, base_type, decimal_type
 from tabload.operators.joins import join_on
 
 CATALOG_SCHEMA = StructType([
@@ -58,6 +58,8 @@ def spark_type(declared: str) -> DataType:
     kind = base_type(declared)
     if kind in INTEGERS:
         return LongType()
+    if exact := decimal_type(declared):
+        return exact
     if kind in NUMBERS:
         return DoubleType()
     if kind == "DATE":

@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tabload.operators.reshape import union_all
+from tabload.session import stage
 from tabload.sources.listing import literal_path, metadata_path
 
 PATH_COLUMN = "_path"
 MALFORMED_COLUMN = "_malformed"
+SHORT_COLUMN = "_short"
 
 
 def _open(path: str):
@@ -61,7 +63,11 @@ def column_names(header: list[str]) -> list[str]:
 
 
 def read_shape(spark: SparkSession, header: list[str], paths: list[str], multi_line: bool = False) -> DataFrame:
-    """All files with one header: every column as text, plus path and malformed record."""
+    """All files with one header: every column as text, plus path and malformed records.
+
+    A line with too many cells is ``MALFORMED_COLUMN``: its cells may stand in the wrong columns. One with too
+    few is ``SHORT_COLUMN``: the missing cells are NULL.
+    """
     names = column_names(header)
     fields = [StructField(name, StringType()) for name in [*names, MALFORMED_COLUMN]]
     rows = (
@@ -73,18 +79,25 @@ def read_shape(spark: SparkSession, header: list[str], paths: list[str], multi_l
         .option("multiLine", str(multi_line).lower())
         .csv([literal_path(path) for path in paths])
     )
-    return rows.select("*", metadata_path().alias(PATH_COLUMN))
+    line = F.col(MALFORMED_COLUMN)
+    unquoted = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    few = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1 < len(names)
+    return rows.withColumns({
+        MALFORMED_COLUMN: F.when(~few, line), SHORT_COLUMN: F.when(few, line), PATH_COLUMN: metadata_path(),
+    })
 
 
-def read_kinds(files: DataFrame, multi_line: bool = False) -> dict[str, DataFrame]:
+def read_kinds(files: DataFrame, multi_line: bool | tuple[str, ...] = False) -> dict[str, DataFrame]:
     """One all-text table per file kind from a listing with ``path`` and ``kind``.
 
     Only paths and distinct header lines reach the driver; Spark's own file index holds the same
     paths.
-    ``multi_line`` is for kinds whose quoted cells hold line ends; such files cannot be split.
+    ``multi_line`` (for all kinds, or a list of them) is for kinds whose quoted cells hold line ends; such
+    files cannot be split. The headers are read once: the listing with its headers is staged.
     """
     spark = files.sparkSession
     headed = read_headers(files.select("path", "kind")).withColumn("shape", F.md5(F.to_json("header")))
+    headed = stage(headed, "headers")
     headers = {row.shape: row.header for row in headed.select("shape", "header").distinct().collect()}
     groups: dict[tuple[str, str], list[str]] = {}
     for row in headed.select("kind", "shape", "path").collect():
@@ -92,7 +105,8 @@ def read_kinds(files: DataFrame, multi_line: bool = False) -> dict[str, DataFram
     by_kind: dict[str, list[DataFrame]] = {}
     for (kind, shape), paths in sorted(groups.items()):
         if headers[shape]:
-            by_kind.setdefault(kind, []).append(read_shape(spark, headers[shape], sorted(paths), multi_line))
+            whole = multi_line if isinstance(multi_line, bool) else kind in multi_line
+            by_kind.setdefault(kind, []).append(read_shape(spark, headers[shape], sorted(paths), whole))
     return {kind: union_all(frames) for kind, frames in by_kind.items()}
 
 

@@ -23,7 +23,7 @@ def stream_load(job: LoadJob, root: str, checkpoint: str, prefix: str = "stream"
         # A batch may hold part of a submission only: the folders it touches are listed whole.
         touched = files.select(text.path_parent(F.col("path")).alias("folder")).distinct().collect()
         listed = list_files(job.spark, root, folders=[row.folder for row in touched])
-        results.append(run_load(job, listed, f"{prefix}-{batch_id}"))
+        results.append(run_load(job, listed, f"{prefix}-{batch_id}", files))
 
     run_available(stream_files(job.spark, root), checkpoint, handle)
     return results
