@@ -27,7 +27,7 @@ ORDERS = (1, 2, 3)
 PER_LANGUAGE = 5_000
 SMOOTHING = 0.5
 WEIGHT_OF = 100  # a text's evidence counts as that of this many n-grams at most, so scores stay gradual
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 500_000
 UNKNOWN = "und"
 
 _LETTER: list[np.ndarray] = []

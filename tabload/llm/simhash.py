@@ -35,7 +35,7 @@ SEED = 42
 PARTS = 4
 WIDTH = 64 // PARTS
 BLOCK = 1024  # rows of one kind in a grid cell of a frequent value, about
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 SLICE_PAIRS = 2_000_000
 ROW_COST = 30.0  # of shuffling a probe, in verified pairs
 

@@ -37,7 +37,7 @@ LENGTH = 50
 ANCHOR = 20
 CROWDED = 1000  # different runs of one anchor beyond which their windows are sent one by one
 CHUNK_BYTES = 1_000_000  # bytes hashed at once
-KEPT_RUNS = 1_000_000  # runs a task gathers before it drops repeats and sends the rest
+KEPT_RUNS = 500_000  # runs a task gathers before it drops repeats and sends the rest
 SORTED_WINDOWS = 400_000  # windows sorted at once; a group is never cut
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -356,6 +356,44 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return whole.unionByName(edges)
 
 
+def _without(texts: pa.Array, stretches: pa.Array, characters: bool) -> tuple[list[bytes | None], np.ndarray, np.ndarray, np.ndarray]:
+    """What is kept of each text, and the united stretches: how many each text has, their starts and stops.
+
+    With ``characters`` a stretch shrinks to the characters that lie in it whole. Null texts stay null.
+    """
+    offsets = stretches.offsets.to_numpy()
+    flat = stretches.values
+    starts, stops = (flat.field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("start", "stop"))
+    used = slice(offsets[0], offsets[-1])
+    owner, starts, stops = _spans(np.repeat(np.arange(len(texts)), np.diff(offsets)), starts[used], stops[used])
+    edges = np.searchsorted(owner, np.arange(len(texts) + 1))
+    kept: list[bytes | None] = []
+    for doc, scalar in enumerate(texts):
+        text = scalar.as_py()
+        if text is None:
+            kept.append(None)
+            continue
+        pieces, at = [], 0
+        for start, stop in zip(starts[edges[doc]: edges[doc + 1]].tolist(), stops[edges[doc]: edges[doc + 1]].tolist(), strict=True):
+            if characters:
+                while start < stop and text[start] & 0xC0 == 0x80:
+                    start += 1
+                while start < stop < len(text) and text[stop] & 0xC0 == 0x80:
+                    stop -= 1
+            pieces.append(text[at:start])
+            at = stop
+        kept.append(b"".join([*pieces, text[at:]]))
+    return kept, np.diff(edges), starts, stops
+
+
+def _with_stretches(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """``docs`` with the list of its stretches (null: none), and the name of that column."""
+    found = later_copies(docs, id_col, text_col)
+    per_doc = found.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
+    key, stretches = fresh(docs, "copy_of"), fresh(docs, "stretches")
+    return docs.join(per_doc.toDF(key, stretches), F.col(id_col) == F.col(key), "left").drop(key), stretches
+
+
 def remove_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spans_col: str = "spans", kept_col: str = "kept",
 ) -> DataFrame:
@@ -363,41 +401,25 @@ def remove_copies(
 
     The two result columns take the place of columns of their names.
     """
-    found = later_copies(docs, id_col, text_col)
-    per_doc = found.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("found"))
-    key, stretches, result = fresh(docs, "copy_of"), fresh(docs, "stretches"), fresh(docs, "result")
-    per_doc = per_doc.toDF(key, stretches)
+    found, stretches = _with_stretches(docs, id_col, text_col)
+    result = fresh(found, "result")
 
     @F.arrow_udf("struct<spans:array<struct<start:int,stop:int>>,kept:binary>")
     def cut(text: pa.Array, stretches: pa.Array) -> pa.Array:
-        out = []
-        for own, some in zip(text.to_pylist(), stretches.to_pylist(), strict=True):
-            if own is None or some is None:
-                out.append(None)
-                continue
-            spans: list[list[int]] = []
-            for start, stop in sorted((x["start"], x["stop"]) for x in some):
-                if spans and start <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], stop)
-                else:
-                    spans.append([start, stop])
-            edges = [0, *(at for span in spans for at in span), len(own)]
-            kept = b"".join(own[edges[at]: edges[at + 1]] for at in range(0, len(edges), 2))
-            out.append({"spans": [{"start": a, "stop": b} for a, b in spans], "kept": kept})
-        return pa.array(out, pa.struct([
-            ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), ("kept", pa.binary()),
-        ]))
+        kept, counts, starts, stops = _without(text, stretches, characters=False)
+        span = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], ["start", "stop"])
+        ends = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, span), pa.array(kept, pa.binary())], ["spans", "kept"])
 
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     touched = F.when(F.col(stretches).isNotNull(), text)  # a text without copies stays in the JVM
     return (
-        docs.join(per_doc, F.col(id_col) == F.col(key), "left")
-        .withColumn(result, cut(touched, F.col(stretches)))
+        found.withColumn(result, cut(touched, F.col(stretches)))
         .withColumns({
             spans_col: F.coalesce(F.col(f"{result}.spans"), F.expr("cast(array() as array<struct<start:int,stop:int>>)")),
             kept_col: F.coalesce(F.col(f"{result}.kept"), text),
         })
-        .drop(key, stretches, result)
+        .drop(stretches, result)
     )
 
 
@@ -406,30 +428,18 @@ def trim_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A character goes if all its bytes go. Texts of which nothing is left go with their rows; a text that was empty or null stays.
     """
-    spans_col, kept_col = fresh(docs, "spans"), fresh(docs, "kept")
-    found = remove_copies(docs, id_col, text_col, spans_col, kept_col)
+    found, stretches = _with_stretches(docs, id_col, text_col)
 
     @F.arrow_udf("string")
-    def whole(text: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for own, some in zip(text.to_pylist(), spans.to_pylist(), strict=True):
-            if own is None:
-                out.append(None)
-                continue
-            kept, at = [], 0
-            for start, stop in ((x["start"], x["stop"]) for x in some):
-                while start < stop and own[start] & 0xC0 == 0x80:
-                    start += 1
-                while stop < len(own) and own[stop] & 0xC0 == 0x80:
-                    stop -= 1
-                if start < stop:
-                    kept.append(own[at:start])
-                    at = stop
-            out.append(b"".join([*kept, own[at:]]).decode("utf-8", "replace"))
-        return pa.array(out, pa.string())
-
-    spans = F.col(spans_col)
-    cut = F.when(F.size(spans) > 0, F.col(text_col).cast("binary"))
-    kept = F.when(F.size(spans) > 0, whole(cut, spans)).otherwise(F.col(text_col))
-    emptied = (F.size(spans) > 0) & (F.length(text_col) == 0)
-    return found.withColumn(text_col, kept).filter(~F.coalesce(emptied, F.lit(False))).drop(spans_col, kept_col)
+    def whole(text: pa.Array, stretches: pa.Array) -> pa.Array:
+        kept, *_ = _without(text, stretches, characters=True)
+        return pa.array([x if x is None else x.decode("utf-8", "replace") for x in kept], pa.string())
+
+    touched = F.col(stretches).isNotNull()
+    cut = whole(F.when(touched, F.col(text_col).cast("binary")), F.col(stretches))
+    kept = F.when(touched, cut).otherwise(F.col(text_col))
+    return (
+        found.withColumn(text_col, kept)
+        .filter(F.col(stretches).isNull() | (F.length(text_col) > 0))
+        .drop(stretches)
+    )
