@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as driver
+from tabload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Windows without a partition run over one row per partition of a range exchange only.
@@ -13,7 +13,7 @@ NUMBERED = {"assign_surrogates", "submission_sequence"}
 def plans(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        built = {name: run(spark, FOLDER) for name, run in driver.queries().items() if name != "stream_ingest_equals_batch"}
+        built = {name: run(spark, FOLDER) for name, run in QUERIES.items() if name != "stream_ingest_equals_batch"}
         return {name: df._jdf.queryExecution().executedPlan().toString() for name, df in built.items()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
