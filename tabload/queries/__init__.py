@@ -28,4 +28,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-from tabload.queries import cleaning, conversions, dedup, delta, joins, rules, submissions  # noqa: E402,F401
+from tabload.queries import (  # noqa: E402,F401
+    cleaning, conversions, dedup, delta, joins, load_rules, rules, submissions,
+)
