@@ -19,14 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tabload.llm.common import ragged, slices
 
 MARK = "▁"
 TABLE_CHARS = 3_000_000  # characters of distinct chunks a task keeps
-SLICE_CHARS = 1_000_000  # characters worked on at once
+SLICE_BYTES = 1_000_000  # of texts worked on at once
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -108,24 +110,30 @@ class ChunkTable:
         chunks.clear()
 
 
-def encode(text: Column, model: str) -> Column:
-    """Ids of a text (array of int), as the library's encode gives them."""
+def tokenize(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, ids, decoded`` per row: the ids of the text as the library's encode gives them, and their text as its decode does.
 
-    @F.arrow_udf("array<int>")
-    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    One Python step per task does both and hands out small batches, so neither the ids nor the texts of a large batch are
+    held twice.
+    """
+    schema = StructType([
+        docs.schema[id_col], StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType()),
+    ])
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model)
         for batch in batches:
-            texts = [x or "" for x in batch.to_pylist()]
-            ids, counts = [], []
-            for part in slices([len(x) for x in texts], SLICE_CHARS):
-                found, n = table.encode(texts[part])
-                ids.append(found)
-                counts.append(n)
-            ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.concatenate(counts or [np.empty(0, np.int64)]))])
-            values = np.concatenate(ids or [np.empty(0, np.int32)])
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+            keys, column = batch.column(0), batch.column(1)
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            for part in slices(sizes, SLICE_BYTES):
+                texts = [x or "" for x in column[part].to_pylist()]
+                ids, counts = table.encode(texts)
+                ends = np.concatenate(([0], np.cumsum(counts)))
+                decoded = [table.model.decode(ids[a:b].tolist()) if b > a else "" for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([keys[part], lists, pa.array(decoded, pa.string())], schema.names)
 
-    return ids_of(text)
+    return docs.select(id_col, text_col).mapInArrow(both, schema)
 
 
 def decode(ids: Column, model: str) -> Column:
@@ -136,7 +144,6 @@ def decode(ids: Column, model: str) -> Column:
         processor = sentencepiece.SentencePieceProcessor(model_file=model)
         for batch in batches:
             values, ends = batch.values.to_numpy(), batch.offsets.to_numpy()
-            # one list of Python integers at a time: a batch of them would take ten times the memory of its ids
             texts = (processor.decode(values[a:b].tolist()) if b > a else "" for a, b in zip(ends[:-1], ends[1:], strict=True))
             yield pa.array(texts, pa.string(), size=len(batch))
 

@@ -118,9 +118,7 @@ def token_digests(both: DataFrame, *more: str) -> DataFrame:
 
 @query("op6_sentencepiece")
 def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = docs.select("doc_id", pieces.encode(F.col("text"), PIECE_MODEL).alias("ids"))
-    return token_digests(encoded.withColumn("decoded", pieces.decode(F.col("ids"), PIECE_MODEL)))
+    return token_digests(pieces.tokenize(table(spark, folder, "documents"), PIECE_MODEL))
 
 
 def _judged(docs: DataFrame, held_out: Column, score: Column) -> DataFrame:

@@ -36,8 +36,8 @@ from tabload.session import stage
 LENGTH = 50
 ANCHOR = 20
 CROWDED = 1000  # different runs of one anchor beyond which their windows are sent one by one
-CHUNK_BYTES = 1_000_000  # bytes hashed at once
-KEPT_RUNS = 500_000  # runs a task gathers before it drops repeats and sends the rest
+CHUNK_BYTES = 500_000  # bytes hashed at once
+KEPT_RUNS = 300_000  # runs a task gathers before it drops repeats and sends the rest
 SORTED_WINDOWS = 400_000  # windows sorted at once; a group is never cut
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)

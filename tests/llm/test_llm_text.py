@@ -175,10 +175,11 @@ def test_pieces_equal_the_library(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
     found = [*cases.texts(), "a  b\tc\n d ", "  ", "▁", "\x00a \x00", "<s> </s> <0x41>", "ﬁ ① Å", "x" * 3000]
     docs = spark.createDataFrame(list(enumerate(found)), "i int, text string")
-    encoded = docs.withColumn("ids", pieces.encode(F.col("text"), PIECE_MODEL))
-    for row in encoded.withColumn("back", pieces.decode(F.col("ids"), PIECE_MODEL)).collect():
-        want = library.encode(row["text"] or "")
-        assert row["ids"] == want and row["back"] == library.decode(want), row["text"]
+    encoded = pieces.tokenize(docs, PIECE_MODEL, "i").withColumn("back", pieces.decode(F.col("ids"), PIECE_MODEL)).collect()
+    assert sorted(row["i"] for row in encoded) == list(range(len(found)))
+    for row in encoded:
+        want = library.encode(found[row["i"]] or "")
+        assert row["ids"] == want and row["decoded"] == row["back"] == library.decode(want), found[row["i"]]
     table = pieces.ChunkTable(PIECE_MODEL)
     for text in found:  # the table forgets in between
         ids, _ = table.encode([text or "", "", text or ""])
@@ -189,7 +190,7 @@ def test_pieces_equal_the_library(spark):
 def test_digests_of_an_empty_text(spark):
     from tabload.llm.queries import token_digests
 
-    docs = spark.createDataFrame([(1, "")], "doc_id bigint, text string").withColumn("ids", pieces.encode(F.col("text"), PIECE_MODEL))
-    row = token_digests(docs.withColumn("decoded", pieces.decode(F.col("ids"), PIECE_MODEL))).first()
+    docs = spark.createDataFrame([(1, "")], "doc_id bigint, text string")
+    row = token_digests(pieces.tokenize(docs, PIECE_MODEL)).first()
     nothing = hashlib.sha256(b"").hexdigest()
     assert tuple(row) == (1, 0, nothing, nothing)
