@@ -15,7 +15,7 @@ from tabload import config
 from tabload.config import CastSpec, DeltaSpec
 from tabload.functions import keys, numbers, text
 from tabload.operators import cast, clean, dedup, delta, joins, links, reshape, rules
-from tabload.sinks.publish import SnapshotStore, StaleRun, validate
+from tabload.sinks.publish import SnapshotStore, StaleRun, bucket_of, validate
 from tabload.sources.catalog import Catalog
 from tabload.sources.tables import kinds_of
 
@@ -63,7 +63,7 @@ class Run:
         self.run_id = run_id
         self.staged: dict[str, DataFrame] = {}
         self.heads = job.store.heads()
-        self.counts: dict[str, int] = {}
+        self.counts: dict[str, int | dict[int, int]] = {}
         self.log: list[tuple[str, str, str, int, str | None]] = []
         self.rejected: list[DataFrame] = []
 
@@ -71,9 +71,32 @@ class Run:
         """The table as this run left it, else as it was published."""
         if table not in self.staged:
             schema = self.job.catalog.schema(table)
-            self.staged[table] = self.job.store.open(self.heads.get(table, (0, None))[1], schema)
+            head = self.heads.get(table)
+            self.staged[table] = self.job.store.open(list(head.paths.values()) if head else None, schema)
         return self.staged[table]
 
+    def touched(self, table: str, incoming: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[int, str]]:
+        """The published rows of the buckets that incoming keys fall in, and the folders of the other buckets.
+
+        A table that was published whole counts as touched whole.
+        """
+        schema = self.job.catalog.schema(table)
+        head = self.heads.get(table)
+        if head is None or not head.bucketed:
+            return self.current(table), {}
+        hit = {row[0] for row in incoming.select(bucket_of(keys)).distinct().collect()}  # at most BUCKETS
+        paths = [path for at, path in head.paths.items() if at in hit]
+        return self.job.store.open(paths, schema), {at: path for at, path in head.paths.items() if at not in hit}
+
+    def put(self, table: str, rows: DataFrame, keys: list[str], rest: dict[int, str]) -> int:
+        """Stage the next rows of the touched buckets; their number."""
+        written = self.job.store.stage_buckets(rows, self.run_id, table, keys)
+        part = self.job.store.open(list(written.values()), rows.schema)
+        counts = {row[0]: row[1] for row in part.groupBy(bucket_of(keys).alias("at")).count().collect()}
+        self.staged[table] = self.job.store.open([*rest.values(), *written.values()], rows.schema)
+        self.counts[table] = counts
+        return sum(counts.values())
+
     def stage(self, rows: DataFrame, part: str) -> DataFrame:
         return self.job.store.stage(rows, self.run_id, part)
 
@@ -370,14 +393,14 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
         return
     incoming = run.stage(rows, f"incoming/{table}")
     incoming = drop_orphans(run, table, incoming)
-    current = run.current(table)
     auto = job.catalog.auto_column(table)
     if not key and auto:
-        natural = incoming.columns
-        fresh = links.assign_surrogates(incoming, current, natural, auto)
+        fresh = links.assign_surrogates(incoming, run.current(table), incoming.columns, auto)
         changes = run.stage(fresh.withColumn("op", F.lit("insert")), f"changes/{table}")
         spec = DeltaSpec(keys=(auto,))
+        current, rest = run.touched(table, changes, [auto])
     else:
+        current, rest = run.touched(table, incoming, key) if key else (run.current(table), {})
         version = "Submission_Index" if "Submission_Index" not in key else None
         spec = DeltaSpec(keys=tuple(key), version=version, absent_columns=job.absent_columns)
         labelled = delta.classify(incoming, current, spec, joins.fits_broadcast(incoming.select(*key)))
@@ -390,11 +413,8 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
     if not counts.get("insert", 0) + counts.get("update", 0):
         return
     few = bool(counts.get("update")) and joins.fits_broadcast(delta.updates(changes, spec))
-    merged = run.stage(delta.merge_snapshot(current, changes, spec, few), f"tables/{table}")
-    count = merged.count()
+    count = run.put(table, delta.merge_snapshot(current, changes, spec, few), list(spec.keys), rest)
     check_merge(run, table, spec, changes, count, current.count() + counts.get("insert", 0))
-    run.staged[table] = merged
-    run.counts[table] = count
 
 
 def drop_orphans(run: Run, table: str, incoming: DataFrame) -> DataFrame:
@@ -461,10 +481,9 @@ def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
     run.note(table, "insert", count)
     if count:
         spec = DeltaSpec(keys=("Biospecimen_ID", index))
-        merged = run.stage(delta.merge_snapshot(stored, changes, spec), f"tables/{table}")
-        check_merge(run, table, spec, changes, merged.count(), stored.count() + count)
-        run.staged[table] = merged
-        run.counts[table] = merged.count()
+        part, rest = run.touched(table, changes, list(spec.keys))
+        merged = run.put(table, delta.merge_snapshot(part, changes, spec), list(spec.keys), rest)
+        check_merge(run, table, spec, changes, merged, part.count() + count)
 
 
 def load_tables(run: Run, frames: dict[str, DataFrame]) -> None:

@@ -1,17 +1,19 @@
 """All-or-nothing publishing of snapshots.
 
 A run writes its tables below ``runs/<run_id>/`` and, when every check has passed, one manifest
-row per table, with the version that follows the one the run has read. Readers take the row with the
-highest version of a table, so a failed run changes nothing, and a table without changes stays where it
-is. A run whose tables moved on since it read them is refused (``StaleRun``).
+row per table or bucket, with the version that follows the one the run has read. A table with keys lies in
+``BUCKETS`` folders by a hash of its key, and a run writes only the buckets its changes touch; readers take the
+newest row of each bucket. So a failed run changes nothing, and what did not change stays where it is. A
+run whose tables moved on since it read them is refused (``StaleRun``).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 from pyspark.errors import AnalysisException
 
 from tabload.config import DeltaSpec
@@ -19,6 +21,7 @@ from tabload.config import DeltaSpec
 MANIFEST_SCHEMA = StructType([
     StructField("run_id", StringType()),
     StructField("table_name", StringType()),
+    StructField("bucket", IntegerType()),
     StructField("path", StringType()),
     StructField("n_rows", LongType()),
     StructField("version", LongType()),
@@ -26,6 +29,27 @@ MANIFEST_SCHEMA = StructType([
 ])
 
 
+BUCKETS = 64
+BUCKET_COLUMN = "_bucket"
+
+
+@dataclass(frozen=True)
+class Head:
+    """Current version of a table and the folder of each bucket (None: of the whole table)."""
+
+    version: int
+    paths: dict[int | None, str]
+
+    @property
+    def bucketed(self) -> bool:
+        return None not in self.paths
+
+
+def bucket_of(keys: list[str]) -> Column:
+    """The bucket of a row, from the texts of its key."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{key}`").cast("string") for key in keys]), F.lit(BUCKETS)).cast("int")
+
+
 class StaleRun(Exception):
     """Another run has published one of the tables since this run read it."""
 
@@ -76,14 +100,25 @@ class SnapshotStore:
                 raise
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
-    def heads(self) -> dict[str, tuple[int, str]]:
-        """Current version and path per table."""
-        newest = self.manifest().groupBy("table_name").agg(F.max(F.struct("version", "path")).alias("head"))
-        return {row.table_name: (row.head.version, row.head.path) for row in newest.collect()}
-
-    def locations(self) -> dict[str, str]:
-        """Current path per table."""
-        return {name: path for name, (_, path) in self.heads().items()}
+    def heads(self) -> dict[str, Head]:
+        """Current version and folders per table: at most one row per table and bucket."""
+        newest = self.manifest().groupBy("table_name", "bucket").agg(F.max(F.struct("version", "path")).alias("head"))
+        rows = newest.collect()
+        found: dict[str, Head] = {}
+        for name in {row.table_name for row in rows}:
+            own = [row for row in rows if row.table_name == name]
+            # A table written whole replaces the buckets before it.
+            since = max((row.head.version for row in own if row.bucket is None), default=0)
+            last = max(row.head.version for row in own)
+            paths = {row.bucket: row.head.path for row in own if row.head.version >= since}
+            if last > since:
+                paths.pop(None, None)
+            found[name] = Head(last, paths)
+        return found
+
+    def locations(self) -> dict[str, list[str]]:
+        """Current folders per table."""
+        return {name: list(head.paths.values()) for name, head in self.heads().items()}
 
     def is_published(self, run_id: str) -> bool:
         return not self.manifest().filter(F.col("run_id") == run_id).isEmpty()
@@ -92,10 +127,10 @@ class SnapshotStore:
         """Current table; an empty one with the given schema if it was never published."""
         return self.open(self.locations().get(table), schema)
 
-    def open(self, path: str | None, schema: StructType) -> DataFrame:
-        if path is None:
+    def open(self, paths: list[str] | None, schema: StructType) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def staging(self, run_id: str, part: str) -> str:
         return f"{self.root}/runs/{run_id}/{part}"
@@ -106,21 +141,33 @@ class SnapshotStore:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def publish(self, run_id: str, tables: dict[str, int], read: dict[str, tuple[int, str]] | None = None) -> None:
+    def stage_buckets(self, rows: DataFrame, run_id: str, table: str, keys: list[str]) -> dict[int, str]:
+        """Write rows to the run's folder by bucket; the folder of each bucket that has rows."""
+        path = self.staging(run_id, f"tables/{table}")
+        placed = rows.withColumn(BUCKET_COLUMN, bucket_of(keys))
+        placed.repartition(BUCKET_COLUMN).write.mode("overwrite").partitionBy(BUCKET_COLUMN).parquet(path)
+        found = self.spark.read.parquet(path).select(BUCKET_COLUMN).distinct().collect()
+        return {row[0]: f"{path}/{BUCKET_COLUMN}={row[0]}" for row in found}
+
+    def publish(self, run_id: str, tables: dict[str, int | dict[int, int]], read: dict[str, Head] | None = None) -> None:
         """Make the run's staged tables the current ones: the last write of a run.
 
-        ``read`` holds the heads the run has read; without it the heads of this moment count.
+        ``tables`` holds the rows of each table or of each of its written buckets, ``read`` the heads the
+        run has read; without it the heads of this moment count.
         """
         heads = self.heads()
         read = heads if read is None else read
-        moved = sorted(name for name in tables if heads.get(name) != read.get(name))
+        moved = sorted(name for name in tables if _version(heads, name) != _version(read, name))
         if moved:
             raise StaleRun(f"{', '.join(moved)}: published by another run meanwhile")
         now = datetime.now()
-        rows = [
-            (run_id, name, self.staging(run_id, f"tables/{name}"), count, heads[name][0] + 1 if name in heads else 1, now)
-            for name, count in tables.items()
-        ]
+        rows = []
+        for name, count in tables.items():
+            path, version = self.staging(run_id, f"tables/{name}"), _version(heads, name) + 1
+            if isinstance(count, dict):
+                rows += [(run_id, name, at, f"{path}/{BUCKET_COLUMN}={at}", n, version, now) for at, n in count.items()]
+            else:
+                rows.append((run_id, name, None, path, count, version, now))
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
 
     def log(self, rows: list[tuple[str, str, str, int, str | None]]) -> DataFrame:
@@ -128,3 +175,7 @@ class SnapshotStore:
         logged = self.spark.createDataFrame(rows, LOG_SCHEMA)
         logged.coalesce(1).write.mode("append").parquet(f"{self.root}/run_log")
         return logged
+
+
+def _version(heads: dict[str, Head], name: str) -> int:
+    return heads[name].version if name in heads else 0
