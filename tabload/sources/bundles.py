@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabload import config
 from tabload.functions import text
 from tabload.operators import clean, joins, reshape, rules
-from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN, read_delimited
+from tabload.sources.delimited import MALFORMED_COLUMN, PATH_COLUMN, SHORT_COLUMN, read_delimited
 from tabload.sources.listing import comparable_path, latest_assay_files
 
 
@@ -25,7 +25,7 @@ def read_sheet(files: DataFrame, workbook: str, sheet: str, keep_texts: bool = F
     rows = read_delimited(sheets(files, workbook, sheet))
     if rows is None:
         return None
-    rows = rows.drop(MALFORMED_COLUMN)
+    rows = rows.drop(MALFORMED_COLUMN, SHORT_COLUMN)
     return rows.drop(PATH_COLUMN) if keep_texts else clean.normalise_nulls(rows.drop(PATH_COLUMN))
 
 
@@ -51,7 +51,7 @@ def assay_bundle(files: DataFrame) -> dict[str, DataFrame]:
         rows = read_delimited(newest.filter(F.col("file_class") == name))
         if rows is None:
             continue
-        rows = rows.drop(PATH_COLUMN, MALFORMED_COLUMN)
+        rows = rows.drop(PATH_COLUMN, MALFORMED_COLUMN, SHORT_COLUMN)
         if name != "conversion":
             rows = clean_assays(rows)
         if name == "qc":
@@ -64,7 +64,7 @@ def assay_bundle(files: DataFrame) -> dict[str, DataFrame]:
 
 def validation_assays(files: DataFrame) -> DataFrame | None:
     rows = read_delimited(files.filter(F.col("key").contains("validation_panel_assays.xlsx/")))
-    return None if rows is None else rows.drop(PATH_COLUMN, MALFORMED_COLUMN)
+    return None if rows is None else rows.drop(PATH_COLUMN, MALFORMED_COLUMN, SHORT_COLUMN)
 
 
 def study_design(files: DataFrame) -> DataFrame | None:
@@ -76,7 +76,7 @@ def study_design(files: DataFrame) -> DataFrame | None:
     listing = chosen.select(F.col("path").alias("_file"), text.path_part(F.col("key"), 1).alias("CBC_Name"))
     same_file = comparable_path(F.col(PATH_COLUMN)) == comparable_path(F.col("_file"))
     named = rows.join(listing, same_file, "left")
-    return clean.normalise_nulls(named.drop("_file", PATH_COLUMN, MALFORMED_COLUMN))
+    return clean.normalise_nulls(named.drop("_file", PATH_COLUMN, MALFORMED_COLUMN, SHORT_COLUMN))
 
 
 def biorepository_maps(files: DataFrame, workbook: str) -> dict[str, DataFrame]:
@@ -97,7 +97,7 @@ def panel_results(files: DataFrame, child_aliquots: DataFrame) -> DataFrame | No
     rows = read_delimited(chosen)
     if rows is None:
         return None
-    rows = clean.normalise_nulls(rows.drop(PATH_COLUMN, MALFORMED_COLUMN))
+    rows = clean.normalise_nulls(rows.drop(PATH_COLUMN, MALFORMED_COLUMN, SHORT_COLUMN))
     children = child_aliquots.select("Biorepository_ID", "Subaliquot_ID", "CGR_Aliquot_ID")
     keyed = rows.withColumn("_id", F.col("Subaliquot_ID")).drop("Subaliquot_ID")
     return joins.split_route(
@@ -114,7 +114,7 @@ def confirmatory_results(files: DataFrame, antibodies: tuple[str, ...] = ("IgM",
         chosen = files.filter(F.col("key").endswith(f".xlsx/{antibody}.csv"))
         rows = read_delimited(chosen)
         if rows is not None:
-            rows = clean.normalise_nulls(rows.drop(MALFORMED_COLUMN), config.NULL_TOKENS)
+            rows = clean.normalise_nulls(rows.drop(MALFORMED_COLUMN, SHORT_COLUMN), config.NULL_TOKENS)
             stamp = F.regexp_extract(PATH_COLUMN, r"(.{8})\.xlsx/[^/]+$", 1)
             parts[antibody] = rows.withColumn("file_date", stamp)
     if not parts:

@@ -21,7 +21,7 @@ def apply(spark, expression, *values):
 def test_aliquot_ids(spark):
     said = ["99_000001_101_1", "99_000001_101_2 ml", "99_000001_101_1x", "99_000001_101_123", "99_000001_101_ab", "short"]
     assert apply(spark, text.pad_aliquot_id, *said) == [
-        "99_000001_101_01", "99_000001_101_02", "99_000001_101_01", "99_000001_101_12", "99_000001_101_ab", "short",
+        "99_000001_101_01", "99_000001_101_02", "99_000001_101_01", "99_000001_101_123", "99_000001_101_ab", "short",
     ]
 
 
