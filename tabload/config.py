@@ -134,6 +134,7 @@ class DeltaSpec:
     version: str | None = None
     absent_columns: str = "keep"
     label: str = "op"
+    null_keys: bool = True  # whether a key may be NULL; without such keys an earlier partitioning is kept
 
 
 @dataclass(frozen=True)

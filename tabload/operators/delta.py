@@ -60,11 +60,11 @@ def classify(incoming: DataFrame, current: DataFrame, spec: DeltaSpec, few_keys:
     """
     keys = list(spec.keys)
     columns = compared_columns(incoming, current, spec)
-    hit = semi(current, F.broadcast(incoming.select(*keys)), keys) if few_keys else current
+    hit = semi(current, F.broadcast(incoming.select(*keys)), keys, spec.null_keys) if few_keys else current
     old = hit.select(
         *keys, *[F.col(f"`{c}`").alias(f"{CURRENT}{c}") for c in columns], F.lit(True).alias("_held")
     )
-    joined = join_on(incoming, old, keys, "left")
+    joined = join_on(incoming, old, keys, "left", spec.null_keys)
     label = _label(F.col("_held").isNull(), incoming, columns, spec)
     return joined.select(*[F.col(f"`{c}`") for c in incoming.columns], label.alias(spec.label))
 
@@ -91,7 +91,7 @@ def merge_snapshot(current: DataFrame, classified: DataFrame, spec: DeltaSpec, f
     changes = updates(classified, spec).select(
         *keys, F.struct(*[F.col(f"`{c}`") for c in written], F.lit(True).alias("_hit")).alias("_new")
     )
-    joined = join_on(current, F.broadcast(changes) if few_changes else changes, keys, "left")
+    joined = join_on(current, F.broadcast(changes) if few_changes else changes, keys, "left", spec.null_keys)
     hit = F.col("_new").isNotNull()
     outputs = []
     for name in current.columns:

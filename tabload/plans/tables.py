@@ -397,12 +397,12 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
     if not key and auto:
         fresh = links.assign_surrogates(incoming, run.current(table), incoming.columns, auto)
         changes = run.stage(fresh.withColumn("op", F.lit("insert")), f"changes/{table}")
-        spec = DeltaSpec(keys=(auto,))
+        spec = DeltaSpec(keys=(auto,), null_keys=False)
         current, rest = run.touched(table, changes, [auto])
     else:
         current, rest = run.touched(table, incoming, key) if key else (run.current(table), {})
         version = "Submission_Index" if "Submission_Index" not in key else None
-        spec = DeltaSpec(keys=tuple(key), version=version, absent_columns=job.absent_columns)
+        spec = DeltaSpec(keys=tuple(key), version=version, absent_columns=job.absent_columns, null_keys=False)
         labelled = delta.classify(incoming, current, spec, joins.fits_broadcast(incoming.select(*key)))
         is_new = F.col("op") == "insert"
         kept = reshape.union_all([labelled.filter(~is_new), insert_rules(job, table, labelled.filter(is_new))])
@@ -480,7 +480,7 @@ def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
     count = changes.count()
     run.note(table, "insert", count)
     if count:
-        spec = DeltaSpec(keys=("Biospecimen_ID", index))
+        spec = DeltaSpec(keys=("Biospecimen_ID", index), null_keys=False)
         part, rest = run.touched(table, changes, list(spec.keys))
         merged = run.put(table, delta.merge_snapshot(part, changes, spec), list(spec.keys), rest)
         check_merge(run, table, spec, changes, merged, part.count() + count)
