@@ -137,22 +137,33 @@ def reach_of(doc_words: np.ndarray, buckets: np.ndarray, labels: np.ndarray, lea
     """
     doc, word = np.divmod(doc_words, len(buckets))
     keep = learn[doc]
-    pairs = np.unique((doc[keep, None] * BUCKETS + buckets[word[keep]]).reshape(-1))
-    doc, bucket = np.divmod(pairs, BUCKETS)
-    of_class = labels[doc] == 1
-    held = [np.bincount(bucket[of_class == which], minlength=BUCKETS) + 0.5 for which in (False, True)]
+    doc, word = doc[keep], word[keep]
+    held = [np.full(BUCKETS, 0.5), np.full(BUCKETS, 0.5)]
+    for feature in range(buckets.shape[1]):  # one at a time: all pairs at once would take a few times the memory
+        pairs = np.unique(doc * BUCKETS + buckets[word, feature])
+        of_class = labels[pairs // BUCKETS] == 1
+        for which in (0, 1):
+            held[which] += np.bincount(pairs[of_class == which] % BUCKETS, minlength=BUCKETS)
     n = [((labels == which) & learn).sum() + 1.0 for which in (0, 1)]
-    odds = [np.log(a / (m - a + 0.5)) for a, m in zip(held, n, strict=True)]
+    odds = [np.log(a / np.maximum(m - a + 0.5, 0.5)) for a, m in zip(held, n, strict=True)]
     sure = np.abs(odds[1] - odds[0]) / np.sqrt(1 / held[0] + 1 / held[1])
     return np.clip((sure - LEAST_SURE) / (MOST_SURE - LEAST_SURE), 0.0, 1.0)
 
 
+def _read_parts(held: Tokens, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Words, their sentences and the sentences' documents, read a few texts at a time."""
+    before = 0
+    for part in slices([len(x) for x in texts], SLICE_CHARS):
+        tokens, owner = held.read(texts[part])
+        sentence, doc = sentences(tokens, owner)
+        yield tokens[tokens >= len(_STOPS)], sentence + before, doc + part.start
+        before += len(doc)
+
+
 def fit(texts: list[str], labels: np.ndarray, sizes: tuple[int, int]) -> Model:
     """Full-batch gradient steps with a rate per weight (Adagrad); ``sizes`` are the labelled documents of class 0 and 1."""
     held = Tokens()
-    tokens, owner = held.read(texts)
-    sentence, doc = sentences(tokens, owner)
-    words = tokens[tokens >= len(_STOPS)]
+    words, sentence, doc = (np.concatenate(x) for x in zip(*_read_parts(held, texts), strict=True))
     learn = np.ones(len(texts), dtype=bool)
     for which in (0, 1):
         learn[np.flatnonzero(labels == which)[KEPT_BACK - 1::KEPT_BACK]] = False
