@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 # What counts as a word in sizes and shingles: a run of anything but these ASCII white-space bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BROADCAST_ROWS = 100_000
+
 
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet (names compare without case)."""
@@ -19,6 +21,14 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def bounded(table: DataFrame, rows: int) -> DataFrame:
+    """A table the driver made of so many short rows, to be joined: broadcast up to ``BROADCAST_ROWS``, shuffled beyond.
+
+    The rows of the result are the same either way.
+    """
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+
 def slices(sizes: list[int], most: int) -> Iterator[slice]:
     """Consecutive slices of a batch whose sizes add up to about ``most``; one long item is a slice of its own."""
     start, held = 0, 0
@@ -37,6 +47,3 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(ends) or not ends[-1]:
         return np.empty(0, dtype=np.int64)
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
-
-
-Stage = Callable[..., DataFrame]

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tabload.llm.common import WORD, fresh
+from tabload.llm.common import WORD, bounded, fresh
 from tabload.session import stage
 
 WEIGHTS = (1, 2, 3)  # dealt to the sources in code-point order, repeating
@@ -85,7 +85,7 @@ def plan_mix(
             "of string, prefix bigint, rest double",
         )
         inside = sized.join(
-            bounds, F.col("source").eqNullSafe(F.col("of")) & (F.shiftright("at", shift + BITS) == F.col("prefix"))
+            bounded(bounds, len(open_sources)), F.col("source").eqNullSafe(F.col("of")) & (F.shiftright("at", shift + BITS) == F.col("prefix"))
         )
         sums = inside.groupBy("of", F.shiftright("at", shift).alias("bucket")).agg(
             F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"), F.first("rest").alias("rest")
@@ -110,10 +110,11 @@ def plan_mix(
                 if 2 * rest[name] >= row["words"]:
                     threshold[name] += 1 << shift
                 open_sources.discard(name)
-    return spark.createDataFrame(
+    plan = spark.createDataFrame(
         [(name, int(totals[name]), float(budget[name]), whole[name], threshold[name]) for name in totals],
         "mix_source string, source_size bigint, target double, whole int, threshold bigint",
     )
+    return bounded(plan, len(totals))
 
 
 def apply_mix(
