@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm.common import slices
+from tabload.llm.common import bounded, slices
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -106,7 +106,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     spark = rows.sparkSession
     limits = spark.createDataFrame([(lang, per_language / n) for lang, n in sizes.items()], "of string, share double")
     chance = F.shiftrightunsigned(F.xxhash64("text"), 32) / F.lit(float(1 << 32))
-    sample = rows.join(limits, F.col("lang") == F.col("of")).filter(chance < F.col("share")).select("lang", "text")
+    sample = rows.join(bounded(limits, len(sizes)), F.col("lang") == F.col("of")).filter(chance < F.col("share")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((len(languages), BUCKETS), dtype=np.int64)
