@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabload.llm.common import fresh
+from tabload.llm.common import bounded, fresh
 
 DEFAULT_VERDICT = "allow"
 
@@ -96,9 +96,8 @@ def index_rules(urls: DataFrame, rules: list[Rule | HostWord]) -> DataFrame:
     Counting runs one job over all URLs and returns at most one row per rule token.
     """
     spark = urls.sparkSession
-    wanted = spark.createDataFrame(
-        sorted({(token,) for rule in rules for token in rule.tokens}), "rule_token string"
-    )
+    tokens = sorted({(token,) for rule in rules for token in rule.tokens})
+    wanted = bounded(spark.createDataFrame(tokens, "rule_token string"), len(tokens))
     held = urls.select(F.explode(_tokens(F.col("host"), F.col("path"))).alias("token"))
     counts = held.join(wanted, F.col("token") == F.col("rule_token"), "left_semi").groupBy("token").count()
     seen = {row["token"]: row["count"] for row in counts.collect()}
@@ -107,7 +106,7 @@ def index_rules(urls: DataFrame, rules: list[Rule | HostWord]) -> DataFrame:
          rule.name, rule.verdict, rule.regex, len(rule.name or ""))
         for rule in rules
     ]
-    return spark.createDataFrame(filed, "filed string, rule string, verdict string, regex string, length int")
+    return bounded(spark.createDataFrame(filed, "filed string, rule string, verdict string, regex string, length int"), len(filed))
 
 
 def judge_urls(
