@@ -1,7 +1,9 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
-Each tree splits the space by random directions at the median of a bounded sample, and goes on until about ``LEAF`` vectors
-are left per leaf. A vector near a split goes down both sides (spill), up to ``PLACES`` leaves per tree. Vectors
+Each tree splits the space by random directions, cut where the two sides of a bounded sample, spill included, make the fewest
+pairs, and goes on until about ``LEAF`` vectors are left per leaf. A vector near a split goes down both sides (spill), up to
+``PLACES`` leaves per tree. Cuts so go beside a crowd of near copies, and a node that no cut makes cheaper, as one that
+is mostly crowd, is not split in this direction: crowds stay whole, whatever the number of levels. Vectors
 are compared within leaves, all of them in double precision; what is at or above the threshold links. A pair is counted in the
 first tree and leaf in which it meets, so counts need no list of pairs; a leaf emits, besides counts, only a
 spanning forest of its links. Trees are fitted on the sample, every vector is filed. A leaf with far more vectors than
@@ -30,10 +32,12 @@ from tabload.session import stage
 THRESHOLD = 0.9
 TREES = 8
 LEAF = 400  # vectors per leaf, about
-SPILL = 0.05  # how near to a split, in cosine, a vector goes down both sides
-PLACES = 2  # leaves of one tree that a vector is filed in at most
+SPILL = 0.4  # how near to a split a vector goes down both sides, in units of 1 / sqrt(dimensions), as projections shrink
+PLACES = 4  # leaves of one tree that a vector is filed in at most
+CUTS = np.linspace(0.2, 0.8, 25)  # quantiles of a node at which a cut is tried
 SAMPLE = 20_000  # vectors the splits are fitted on, about
 BLOCK = 1_000  # vectors of a leaf compared in one piece
+DENSE = 0.02  # share of linked pairs from which a block counts as crowded
 SEED = 7
 
 
@@ -42,7 +46,7 @@ class Forest:
     """Splits of all trees: node i of a tree goes to 2i + 1 and 2i + 2."""
 
     directions: np.ndarray  # trees x depth x dimensions: one direction per level
-    cuts: np.ndarray  # trees x inner nodes
+    cuts: np.ndarray  # trees x inner nodes; infinite where a node is not split: all go to 2i + 1
 
     @property
     def depth(self) -> int:
@@ -54,11 +58,12 @@ class Forest:
         nodes = np.full((len(units), PLACES), -1, dtype=np.int64)
         nodes[:, 0] = 0
         off = units @ self.directions[tree].T
+        spill = SPILL / np.sqrt(units.shape[1])
         for level in range(self.depth):
             at = np.where(nodes >= 0, nodes, 0)
             gap = off[:, level][:, None] - self.cuts[tree][at]
             here = 2 * at + 1 + (gap > 0)
-            there = np.where((np.abs(gap) <= SPILL) & (nodes >= 0), 2 * at + 1 + (gap <= 0), -1)
+            there = np.where((np.abs(gap) <= spill) & (nodes >= 0), 2 * at + 1 + (gap <= 0), -1)
             both = np.concatenate((np.where(nodes >= 0, here, -1), there), axis=1)
             # the nearest side of each place first; beyond PLACES the other sides are left to other trees
             order = np.argsort(both < 0, axis=1, kind="stable")[:, :PLACES]
@@ -66,8 +71,18 @@ class Forest:
         return np.where(nodes >= 0, nodes - inner, -1)
 
 
+def best_cut(off: np.ndarray, spill: float) -> float:
+    """Where to cut sorted projections so that the sides, spill included, hold the fewest pairs; infinite if no cut saves any."""
+    tried = np.quantile(off, CUTS)
+    low = np.searchsorted(off, tried + spill, "right") / len(off)
+    high = 1 - np.searchsorted(off, tried - spill) / len(off)
+    pairs = low**2 + high**2
+    best = int(np.argmin(pairs))
+    return float(tried[best]) if pairs[best] < 1 else np.inf
+
+
 def fit(units: np.ndarray, total: int) -> Forest:
-    """Trees for ``total`` vectors from a sample of unit vectors; no deeper than the sample can tell medians."""
+    """Trees for ``total`` vectors from a sample of unit vectors; no deeper than the sample can tell quantiles."""
     rng = np.random.default_rng(SEED)
     depth = 0
     while total >> depth > LEAF and len(units) >> depth > 16:
@@ -75,14 +90,15 @@ def fit(units: np.ndarray, total: int) -> Forest:
     size = units.shape[1]
     directions = rng.standard_normal((TREES, depth, size))
     directions /= np.linalg.norm(directions, axis=2, keepdims=True)
-    cuts = np.zeros((TREES, max(1, (1 << depth) - 1)))
+    cuts = np.full((TREES, max(1, (1 << depth) - 1)), np.inf)
     for tree in range(TREES):
         off = units @ directions[tree].T
         node = np.zeros(len(units), dtype=np.int64)
         for level in range(depth):
             for own in range((1 << level) - 1, (1 << (level + 1)) - 1):
-                inside = node == own
-                cuts[tree, own] = np.median(off[inside, level]) if inside.any() else 0.0
+                inside = np.sort(off[node == own, level])
+                if len(inside) > 16 and len(inside) * total > LEAF * len(units):
+                    cuts[tree, own] = best_cut(inside, SPILL / np.sqrt(size))
             node = 2 * node + 1 + (off[:, level] > cuts[tree, node])
     return Forest(directions, cuts)
 
@@ -145,6 +161,20 @@ def _first_meeting(left: np.ndarray, right: np.ndarray, tree: int, leaf: int) ->
     return first
 
 
+def _met(left: np.ndarray, right: np.ndarray, tree: int, leaf: int) -> np.ndarray:
+    """For all pairs of two sides (each vectors x trees x PLACES): whether an earlier tree or leaf has both."""
+    met = np.zeros((len(left), len(right)), dtype=bool)
+    for earlier in range(tree + 1):
+        most = leaf if earlier == tree else np.iinfo(np.int32).max
+        for a in left[:, earlier].T:
+            a = np.where((a >= 0) & (a < most), a, -2)
+            if (a >= 0).any():
+                for b in right[:, earlier].T:
+                    if (b >= 0).any():
+                        met |= a[:, None] == b[None, :]
+    return met
+
+
 def _compare(rows: list[np.ndarray], depth: int, size: int, kind: str, threshold: float) -> tuple[np.ndarray, ...]:
     """One grid cell: links per vector, and a spanning forest of its links."""
     cell, _, down, across, vec, many, vectors, places = rows
@@ -158,14 +188,19 @@ def _compare(rows: list[np.ndarray], depth: int, size: int, kind: str, threshold
     edges = [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for start in range(0, len(first), BLOCK):
         own = first[start: start + BLOCK]
-        a, b = np.nonzero(units[own] @ units[second].T >= threshold)
+        near = units[own] @ units[second].T >= threshold
+        crowded = np.count_nonzero(near) > DENSE * near.size
+        if crowded:  # where most pairs link, looking up all of them at once is cheaper than one by one
+            near &= ~_met(filed[own], filed[second], tree, leaf)
+        a, b = np.nonzero(near)
         a, b = own[a], second[b]
         if down[0] == across[0]:
             a, b = a[a < b], b[a < b]
         for at in range(0, len(a), 100_000):
             x, y = a[at: at + 100_000], b[at: at + 100_000]
-            new = _first_meeting(filed[x], filed[y], tree, leaf)
-            x, y = x[new], y[new]
+            if not crowded:
+                new = _first_meeting(filed[x], filed[y], tree, leaf)
+                x, y = x[new], y[new]
             counts += np.bincount(x, weights=many[y], minlength=len(vec)).astype(np.int64)
             counts += np.bincount(y, weights=many[x], minlength=len(vec)).astype(np.int64)
             if len(x):

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -247,3 +248,48 @@ def test_forest_recall(spark):
     links = int((units @ units.T >= 0.9).sum()) - len(units)
     found = vectors.near_duplicates(rows).agg(F.sum("n_links")).first()[0]
     assert 0.9 * links <= found <= links
+
+
+def planted(n, size=64, crowd=3):
+    """Unit-like vectors: a third (one of ``crowd``) distinct near copies of one, the rest in pairs at a cosine of 0.9 to 0.95."""
+    rng = np.random.default_rng(11)
+
+    def unit(rows):
+        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+    centre = unit(rng.standard_normal((1, size)))
+    hot = unit(centre + rng.standard_normal((n // crowd, size)) * 0.31 / np.sqrt(size))
+    first = unit(rng.standard_normal(((n - len(hot)) // 2, size)))
+    other = rng.standard_normal(first.shape)
+    other = unit(other - (other * first).sum(axis=1, keepdims=True) * first)
+    cosine = rng.uniform(0.901, 0.95, (len(first), 1))
+    found = np.concatenate((hot, first, cosine * first + np.sqrt(1 - cosine**2) * other))
+    return found[rng.permutation(len(found))].astype(np.float32)
+
+
+def true_links(found):
+    """Links and smallest reachable position of each vector, compared in blocks."""
+    units = found.astype(np.float64)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    links, near = np.zeros(len(units), np.int64), [[np.empty(0, np.int64)], [np.empty(0, np.int64)]]
+    for start in range(0, len(units), 1000):
+        a, b = np.nonzero(units[start: start + 1000] @ units.T >= 0.9)
+        a += start
+        links += np.bincount(a[a != b], minlength=len(units))
+        for held, side in zip(near, vectors.forest(a[a < b], b[a < b])):
+            held.append(side)
+    low, high = vectors.forest(*(np.concatenate(x) for x in near))
+    root = np.arange(len(units))
+    root[high] = low
+    return links, root
+
+
+def test_a_crowd_of_near_copies_keeps_its_links(spark):
+    found = planted(24_000)
+    links, root = true_links(found)
+    rows = spark.createDataFrame(pa.table({"vec_id": np.arange(len(found)), "embedding": pa.array(list(found), pa.list_(pa.float32()))}))
+    got = vectors.near_duplicates(rows).toPandas().sort_values("id")
+    assert len(got) == len(found) and links.sum() > 40_000_000
+    assert (got["n_links"].to_numpy() <= links).all()
+    assert got["n_links"].sum() >= 0.999 * links.sum()
+    assert (got["component_id"].to_numpy() == root).all()
