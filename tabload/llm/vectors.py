@@ -11,8 +11,8 @@ meant is dealt over a grid of blocks, so it is still compared whole.
 
 Equal vectors are one from the start and count as often as they occur.
 
-Cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do vectors of another
-length than most of the sample; they are components of their own. Rows that share an id and a vector count as separate
+Cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; they are components
+of their own. Vectors of different lengths do not link; each length has a forest of its own. Rows that share an id and a vector count as separate
 vectors. An empty table gives no rows.
 """
 
@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabload.llm.common import ragged
@@ -47,6 +48,7 @@ class Forest:
 
     directions: np.ndarray  # trees x depth x dimensions: one direction per level
     cuts: np.ndarray  # trees x inner nodes; infinite where a node is not split: all go to 2i + 1
+    base: int = 0  # number of its first leaf among those of the forests of all lengths
 
     @property
     def depth(self) -> int:
@@ -109,6 +111,13 @@ def usable(vector: Column) -> Column:
     return F.coalesce(good & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a batch by the length of their vectors, which stand in the last column."""
+    sizes = pc.list_value_length(batch.column(batch.num_columns - 1)).to_numpy(zero_copy_only=False)
+    for size in np.unique(sizes).tolist():
+        yield size, batch.filter(pa.array(sizes == size))
+
+
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return values.reshape(-1, size)
@@ -122,9 +131,10 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 CELL_SCHEMA = "cell bigint, low bigint, down int, across int, vec bigint, many bigint, vector binary, places binary"
 
 
-def _file(batches: Iterator[pa.RecordBatch], trees: Forest, size: int, kind: str, blocks: dict[int, int]) -> Iterator[pa.RecordBatch]:
+def _file(batches: Iterator[pa.RecordBatch], forests: dict[int, Forest], kind: str, blocks: dict[int, int]) -> Iterator[pa.RecordBatch]:
     """(vec, many, embedding) to one row per leaf and grid cell."""
-    for batch in batches:
+    for size, batch in (part for whole in batches for part in _by_size(whole)):
+        trees = forests[size]
         vec = batch.column(0).to_numpy(zero_copy_only=False)
         many = batch.column(1).to_numpy(zero_copy_only=False)
         rows = _matrix(batch.column(2), size)
@@ -134,7 +144,7 @@ def _file(batches: Iterator[pa.RecordBatch], trees: Forest, size: int, kind: str
         place_bytes = np.array([x.astype(np.int32).tobytes() for x in places], dtype=object)
         for tree in range(TREES):
             row, column = np.nonzero(places[:, tree] >= 0)
-            leaf = (tree << trees.depth) + places[row, tree, column]
+            leaf = trees.base + (tree << trees.depth) + places[row, tree, column]
             n = np.fromiter((blocks.get(x, 1) for x in leaf.tolist()), dtype=np.int64, count=len(leaf))
             own = (vec[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % n
             which = np.repeat(np.arange(len(row)), n)  # block b meets every block: cells (min, max)
@@ -175,10 +185,12 @@ def _met(left: np.ndarray, right: np.ndarray, tree: int, leaf: int) -> np.ndarra
     return met
 
 
-def _compare(rows: list[np.ndarray], depth: int, size: int, kind: str, threshold: float) -> tuple[np.ndarray, ...]:
+def _compare(rows: list[np.ndarray], forests: dict[int, Forest], kind: str, threshold: float) -> tuple[np.ndarray, ...]:
     """One grid cell: links per vector, and a spanning forest of its links."""
     cell, _, down, across, vec, many, vectors, places = rows
-    tree, leaf = int(cell[0]) >> depth, int(cell[0]) & ((1 << depth) - 1)
+    size = len(vectors[0]) // np.dtype(kind).itemsize
+    depth, at = forests[size].depth, int(cell[0]) - forests[size].base
+    tree, leaf = at >> depth, at & ((1 << depth) - 1)
     units = _unit(np.frombuffer(b"".join(vectors), dtype=kind).reshape(len(vec), size).astype(np.float64))
     filed = np.frombuffer(b"".join(places), dtype=np.int32).reshape(len(vec), TREES, PLACES)
     # a cell off the diagonal of the grid compares its two blocks with each other, one on it the block with itself
@@ -221,34 +233,36 @@ def near_duplicates(
     vector = F.transform(F.col(vector_col).cast(f"array<{element}>"), lambda x: x + F.lit(0.0).cast(element))
     own = stage(rows.select(F.col(id_col).cast("bigint").alias("id"), vector.alias("embedding")), "vectors")
     good = own.filter(usable(F.col("embedding")))
-    sizes = good.groupBy(F.size("embedding").alias("size")).count().orderBy(F.desc("count"), "size").first()
     alone = own.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
-    if sizes is None:
-        return alone.withColumn("kept", F.lit(True))
-    size = sizes["size"]
-    fits = F.coalesce(usable(F.col("embedding")) & (F.size("embedding") == size), F.lit(False))
     distinct = stage(
-        own.filter(fits).groupBy("embedding")
+        good.groupBy("embedding")
         .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("many"))
         .select(F.xxhash64("embedding", F.lit(1)).alias("vec"), "first", "many", "embedding"),
         "distinct",
     )
-    total = distinct.count()
-    share = F.lit(min(1.0, SAMPLE / total))
+    totals = {row["size"]: row["count"] for row in distinct.groupBy(F.size("embedding").alias("size")).count().orderBy("size").collect()}
+    if not totals:
+        return alone.withColumn("kept", F.lit(True))
+    share = F.lit(min(1.0, SAMPLE / sum(totals.values())))
     sample = distinct.filter(F.shiftrightunsigned(F.xxhash64("vec"), 32) / F.lit(float(1 << 32)) < share)
-    found = sample.select("embedding").toArrow()["embedding"].combine_chunks()
-    units = _unit(_matrix(found, size)) if len(found) else np.zeros((0, size))
-    trees = fit(units, total)
-    shared = spark.sparkContext.broadcast(trees)  # TREES x 2^depth cuts, bounded by the sample
+    found = {size: batch for size, batch in _by_size(pa.RecordBatch.from_arrays(
+        [sample.select("embedding").toArrow()["embedding"].combine_chunks()], ["embedding"]))}
+    forests, leaves = {}, 0
+    for size, total in totals.items():
+        units = _unit(_matrix(found[size].column(0), size)) if size in found else np.zeros((0, size))
+        forests[size] = fit(units, total)
+        forests[size].base = leaves
+        leaves += TREES << forests[size].depth
+    shared = spark.sparkContext.broadcast(forests)  # TREES x 2^depth cuts a length, bounded by the sample
     narrow = distinct.select("vec", "many", "embedding")
 
     def sizes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(TREES << shared.value.depth, dtype=np.int64)
-        for batch in batches:
-            own_units = _unit(_matrix(batch.column(2), size))
+        held = np.zeros(leaves, dtype=np.int64)
+        for size, batch in (part for whole in batches for part in _by_size(whole)):
+            own_units, trees = _unit(_matrix(batch.column(2), size)), shared.value[size]
             for tree in range(TREES):
-                places = shared.value.leaves(own_units, tree)
-                held += np.bincount((tree << shared.value.depth) + places[places >= 0], minlength=len(held))
+                places = trees.leaves(own_units, tree)
+                held += np.bincount(trees.base + (tree << trees.depth) + places[places >= 0], minlength=len(held))
         used = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["cell", "n"])
 
@@ -257,7 +271,7 @@ def near_duplicates(
     blocks = spark.sparkContext.broadcast({row["cell"]: -(-row["n"] // BLOCK) for row in full})
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _file(batches, shared.value, size, kind, blocks.value)
+        yield from _file(batches, shared.value, kind, blocks.value)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -265,7 +279,7 @@ def near_duplicates(
         def done(rows_: list[np.ndarray]) -> pa.RecordBatch:
             heads = np.flatnonzero(np.concatenate(([True], (np.diff(rows_[0]) != 0) | (np.diff(rows_[1]) != 0))))
             stops = np.append(heads[1:], len(rows_[0]))
-            out = [_compare([x[a:b] for x in rows_], shared.value.depth, size, kind, threshold) for a, b in zip(heads, stops, strict=True)]
+            out = [_compare([x[a:b] for x in rows_], shared.value, kind, threshold) for a, b in zip(heads, stops, strict=True)]
             vec, n, left, right = (np.concatenate(x) for x in zip(*out, strict=True))
             nothing = np.zeros(len(left), np.int64)
             return pa.RecordBatch.from_arrays(
@@ -297,7 +311,7 @@ def near_duplicates(
     )
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     known = grouped.join(smallest, "root").select("embedding", "n_links", "component_id")
-    answered = own.filter(fits).join(known, "embedding").select("id", "n_links", "component_id")
-    return answered.unionByName(own.filter(~fits).select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))).withColumn(
+    answered = good.join(known, "embedding").select("id", "n_links", "component_id")
+    return answered.unionByName(own.filter(~usable(F.col("embedding"))).select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))).withColumn(
         "kept", F.col("id").eqNullSafe(F.col("component_id"))
     )

@@ -293,3 +293,14 @@ def test_a_crowd_of_near_copies_keeps_its_links(spark):
     assert (got["n_links"].to_numpy() <= links).all()
     assert got["n_links"].sum() >= 0.999 * links.sum()
     assert (got["component_id"].to_numpy() == root).all()
+
+
+def test_every_vector_length_has_links(spark):
+    rng = np.random.default_rng(5)
+    found = [list(map(float, np.float32(c + rng.normal(0, 0.1, size)))) for size in (8, 5, 3) for c in rng.standard_normal((4, size)) for _ in range(size)]
+    found += [[1.0, 2.0], [2.0, 4.0], [1.0, 2.0], [2.0, 1.0, 0.0, 0.0], [7.0], None, [0.0, 0.0]]
+    rows = spark.createDataFrame(list(enumerate(found)), "vec_id bigint, embedding array<float>")
+    got = {r["id"]: r for r in vectors.near_duplicates(rows).collect()}
+    near = slow_links(found)
+    root = cases.groups(found, lambda a, b: near[a][b])
+    assert [(got[at]["n_links"], got[at]["component_id"]) for at in range(len(found))] == [(sum(near[at]), root[at]) for at in range(len(found))]
