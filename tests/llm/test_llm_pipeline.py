@@ -1,6 +1,7 @@
 """The pipeline against a slow version, and its behaviour on odd rows."""
 
 import hashlib
+import random
 import sys
 from pathlib import Path
 
@@ -12,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import cases  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from tabload.llm import language, mixing  # noqa: E402
+from tabload.llm import language, mixing, resemblance  # noqa: E402
 from tabload.llm.queries import PIECE_MODEL  # noqa: E402
 from test_llm_text import slow_print  # noqa: E402
 
@@ -97,3 +98,23 @@ def test_clean_documents_stay(spark):
     docs = spark.createDataFrame(found, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     for _, step in corpus_pipeline.STAGES[:3]:
         assert step(spark, docs, "").count() == 60
+
+
+@pytest.mark.parametrize("block", [512, 2])
+def test_edited_copies_go(spark, monkeypatch, block):
+    monkeypatch.setattr(resemblance, "BLOCK", block)
+    rng = random.Random(4)
+    found = []
+    for at in range(40):
+        words = cases.prose(1000 + at, 150).split()
+        for edits in (0, 1, 2, 3, 4, 6):
+            edited = list(words)
+            for place in rng.sample(range(len(words)), edits):
+                edited[place] = f"edit{rng.randrange(10**6)}"
+            found.append(" ".join(edited))
+    sets = [{tuple(x.split()[at: at + 5]) for at in range(len(x.split()) - 4)} for x in found]
+    root = cases.groups(found, lambda a, b: a // 6 == b // 6 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    rows = [(at, text, "en", "s", 1) for at, text in enumerate(found)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert left == set(root)
