@@ -1,16 +1,15 @@
 """Suffix-array deduplication: bytes that a document with a smaller id already has are removed.
 
-A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a document with a smaller id. In terms of a suffix
-array over all documents: for a suffix, the previous and the next smaller position in suffix order give its earlier matches, and
-the suffix starts a later copy if that longest previous factor reaches LENGTH. Only factors of LENGTH matter, so the
-suffixes need not be sorted in one place; those that share LENGTH bytes only have to meet:
+A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a document with a smaller id. A suffix array over all
+documents would tell by the longest previous factor of each suffix; none is built, no suffix order and no factor length. Only whether
+a factor reaches LENGTH matters, so windows of LENGTH bytes that are equal only have to meet:
 
 1. The windows of LENGTH bytes of a text fall into runs that hold the same smallest hash of ``ANCHOR`` bytes (about one
    run per 16 bytes). Equal windows have equal anchors. A task keeps the first of the equal runs it sees and marks later
    ones as copies, so a passage in a third of all documents leaves a task once; runs are sent by anchor as hashes only.
 2. Where runs meet, all but the first of equal ones are copies. A run whose anchor is nowhere else has no match.
    Different runs with one anchor (the edges of shared passages) are the only places left to look at.
-3. The texts of those runs are sent by anchor, and their suffixes are sorted. An anchor with very many different runs sends
+3. The texts of those runs are sent by anchor, and their windows of LENGTH bytes are sorted. An anchor with very many different runs sends
    its windows one by one, each to the place of its own hash, again each task only the first of equal ones.
 
 Hashes decide in step 2 (64 bits of the anchor and 64 of the run); bytes decide in step 3. Step 1 and 2 read the texts once
