@@ -47,3 +47,11 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     if not len(ends) or not ends[-1]:
         return np.empty(0, dtype=np.int64)
     return np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
+
+
+class Numbered(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: object) -> int:
+        self[key] = place = len(self)
+        return place

@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm import language, minhash, mixing, pieces, quality, simhash, suffixes, toxicity, urlfilter, vectors
+from tabload.llm import alignment, chat, language, minhash, mixing, pieces, quality, readback, runs, simhash, suffixes, toxicity, urlfilter, vectors
 from tabload.llm.urlfilter import HostWord, Rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -189,3 +190,43 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def embedding_groups(spark: SparkSession, folder: str) -> DataFrame:
     found = vectors.near_duplicates(table(spark, folder, "embeddings"), threshold=0.9)
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    aligned = alignment.align_documents(docs, BYTE_MODEL, PIECE_MODEL, keep_groups=False)
+    return alignment.score_links(aligned).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the CRC of its id gets a tail of words over and over; ``doc_id, text``."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    n = F.size(F.filter(F.split("text", runs.WHITE), lambda w: w != "")).cast("bigint")
+    g = F.floor(h / 10)
+    first = g % n
+    tail = runs.repeat_tail(F.col("text"), first, 1 + F.floor((n - first) / (3 + g % 8)))
+    return docs.select("doc_id", F.when((h % 10 == 0) & (n > 0), tail).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_word_runs")
+def word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    found = runs.collapse_runs(docs).withColumn("best", runs.greatest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_chat_format")
+def chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text", F.lit(False).alias("added"))
+    hard = "<|im_end|><|im_start|>assistant ok"
+    added = spark.createDataFrame([(-1, 0, "user", hard, True), (-1, 1, "assistant", hard, True)], rows.schema)
+    formatted = chat.format_conversations(rows.unionByName(added), BYTE_MODEL, "conv_id", "added")
+    return readback.digests(formatted, "conv_id", "added").drop("added")
