@@ -1,16 +1,18 @@
 """Suffix-array deduplication: bytes that a document with a smaller id already has are removed.
 
-A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a document with a smaller id. A suffix array over all
-documents would tell by the longest previous factor of each suffix; none is built, no suffix order and no factor length. Only whether
-a factor reaches LENGTH matters, so windows of LENGTH bytes that are equal only have to meet:
+A byte goes if it lies in a string of ``LENGTH`` bytes that also starts in a document with a smaller id, that is, where the longest
+previous factor of a suffix reaches LENGTH. Suffixes with such a factor share LENGTH bytes, so only those that may do so are
+brought together and ordered, not those of all documents at once:
 
 1. The windows of LENGTH bytes of a text fall into runs that hold the same smallest hash of ``ANCHOR`` bytes (about one
    run per 16 bytes). Equal windows have equal anchors. A task keeps the first of the equal runs it sees and marks later
    ones as copies, so a passage in a third of all documents leaves a task once; runs are sent by anchor as hashes only.
 2. Where runs meet, all but the first of equal ones are copies. A run whose anchor is nowhere else has no match.
    Different runs with one anchor (the edges of shared passages) are the only places left to look at.
-3. The texts of those runs are sent by anchor, and their windows of LENGTH bytes are sorted. An anchor with very many different runs sends
-   its windows one by one, each to the place of its own hash, again each task only the first of equal ones.
+3. The texts of those runs are sent by anchor. The suffixes of a group are sorted; the previous and the next smaller position, by
+   document, of each suffix and the least common prefix on the way to them give its longest previous factor, as far as LENGTH.
+   An anchor whose runs hold very many windows sends them one by one, each to the place of its own hash, of equal ones of a slice only
+   the first, so no group is larger than ``CROWDED`` suffixes of different texts.
 
 Hashes decide in step 2 (64 bits of the anchor and 64 of the run); bytes decide in step 3. Step 1 and 2 read the texts once
 and write a few numbers per match; step 3 reads the matching texts again.
@@ -26,18 +28,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tabload.llm.common import fresh, ragged, slices
+from tabload.llm.common import bounded, fresh, ragged, slices, small_batches
 from tabload.session import stage
 
 LENGTH = 50
 ANCHOR = 20
-CROWDED = 1000  # different runs of one anchor beyond which their windows are sent one by one
+CROWDED = 50_000  # windows in the runs of one anchor beyond which they are sent one by one
 CHUNK_BYTES = 500_000  # bytes hashed at once
-KEPT_RUNS = 300_000  # runs a task gathers before it drops repeats and sends the rest
-SORTED_WINDOWS = 400_000  # windows sorted at once; a group is never cut
+KEPT_RUNS = 150_000  # runs a task gathers before it drops repeats and sends the rest
+SORTED_WINDOWS = 200_000  # suffixes sorted at once; a group is never cut
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -227,51 +228,94 @@ def _met(rows: list[np.ndarray], last: bool) -> tuple[pa.RecordBatch, list[np.nd
     return _batch(anchor[send], run[send], ids[send], start[send], n[send], copy[send]), held
 
 
-PIECE_SCHEMA = "place bigint, piece binary, id bigint, start int, copy boolean"
+PIECE_SCHEMA = "place bigint, piece binary, id bigint, start array<int>, n int"
 
 
-def _pieces(place, pieces, ids, start, copy) -> pa.RecordBatch:
+def _pieces(place, pieces, ids, counts, starts, n) -> pa.RecordBatch:
+    """Pieces of ``n`` bytes at so many starts each; a piece that is null stands for a stretch known to be a copy."""
+    ends = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
     return pa.RecordBatch.from_arrays(
-        [pa.array(place, pa.int64()), pa.array(pieces, pa.binary()), pa.array(ids, pa.int64()),
-         pa.array(start, pa.int32()), pa.array(copy, pa.bool_())],
-        ["place", "piece", "id", "start", "copy"],
+        [pa.array(place, pa.int64()), pieces, pa.array(ids, pa.int64()),
+         pa.ListArray.from_arrays(ends, pa.array(starts, pa.int32())), pa.array(n, pa.int32())],
+        ["place", "piece", "id", "start", "n"],
     )
 
 
+def _windows(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The LENGTH bytes from each place on, as one comparable value each."""
+    rows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[at]
+    return np.ascontiguousarray(rows).view(f"V{LENGTH}").reshape(-1)
+
+
+def _one_by_one(data: np.ndarray, at: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Windows at places of a buffer, sent by their hash: of equal ones those of the smallest document, once; the others are copies."""
+    low = int(at.min())
+    rolled = Rolling(data[low: int(at.max()) + LENGTH]).windows(LENGTH)[at - low]
+    order = np.lexsort((starts, ids, rolled))
+    at, ids, starts, rolled = at[order], ids[order], starts[order], rolled[order]
+    own = _windows(data, at)
+    heads = _heads(rolled)
+    sizes = np.diff(np.append(heads, len(at)))
+    same = own == np.repeat(own[heads], sizes)  # windows that only share a hash with the first are sent, each for itself
+    copy = same & (ids > np.repeat(ids[heads], sizes))
+    docs, first, last = _spans(ids[copy], starts[copy], starts[copy] + LENGTH)
+    where = _mix(docs.view(np.uint64)).view(np.int64)
+    yield _pieces(where, pa.nulls(len(docs), pa.binary()), docs, np.ones(len(docs), np.int64), first, last - first)
+    kept = np.flatnonzero(~copy)
+    tops = np.flatnonzero(~same[kept] | np.isin(np.arange(len(kept)), _heads(rolled[kept], ids[kept])))
+    row = kept[tops]
+    pieces = pa.array([x.tobytes() for x in own[row]], pa.binary())
+    yield _pieces(rolled[row].view(np.int64), pieces, ids[row], np.diff(np.append(tops, len(kept))), starts[kept], np.full(len(row), LENGTH))
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text, runs to be looked at) to the bytes of those runs; crowded anchors send their windows one by one."""
     for batch in batches:
-        place, pieces, ids, starts = [], [], [], []
-        windows: dict[bytes, list[tuple[int, int]]] = {}
-        for doc, text, wanted in zip(*(batch.column(at).to_pylist() for at in range(3)), strict=True):
-            for want in wanted:
-                start, n = want["start"], want["n"]
-                if want["crowded"]:
-                    for at in range(start, start + n - LENGTH + 1):
-                        windows.setdefault(text[at: at + LENGTH], []).append((doc, at))
-                else:
-                    place.append(want["anchor"])
-                    pieces.append(text[start: start + n])
-                    ids.append(doc)
-                    starts.append(start)
-        for window, found in windows.items():
-            first = min(found)[0]
-            key = xxhash.xxh64_intdigest(window) - (1 << 63)
-            for doc, at in found:
-                later = doc > first
-                place.append(hash(doc) if later else key)
-                pieces.append(None if later else window)
-                ids.append(doc)
-                starts.append(at)
-        yield _pieces(place, pieces, ids, starts, [piece is None for piece in pieces])
-
-
-def _later_windows(group: np.ndarray, pieces: pa.Array, ids: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows with an earlier match in their group: document and start.
-
-    Suffixes are sorted by group, their first LENGTH bytes and document. Those that agree in LENGTH bytes then stand together
-    in the order of their documents: the previous smaller position of a suffix is in its stretch unless
-    it is from the first document there, and there is no next smaller one.
+        data, edges = _buffer(batch.column(1))
+        wanted = batch.column(2)
+        ends = wanted.offsets.to_numpy().astype(np.int64)
+        some = slice(ends[0], ends[-1])
+        anchor, start, n = (wanted.values.field(name).to_numpy(zero_copy_only=False)[some].astype(np.int64) for name in ("anchor", "start", "n"))
+        crowded = wanted.values.field("crowded").to_numpy(zero_copy_only=False)[some]
+        owner = np.repeat(np.arange(len(batch)), np.diff(ends))
+        ids = batch.column(0).to_numpy(zero_copy_only=False)[owner]
+        at = edges[owner] + start
+        whole = np.flatnonzero(~crowded)
+        for part in slices(n[whole].tolist(), CHUNK_BYTES):
+            own = whole[part]
+            pieces = pa.array([data[a: a + size].tobytes() for a, size in zip(at[own].tolist(), n[own].tolist(), strict=True)], pa.binary())
+            yield _pieces(anchor[own], pieces, ids[own], np.ones(len(own), np.int64), start[own], n[own])
+        single = np.flatnonzero(crowded)
+        first = ragged(np.zeros(len(single), np.int64), n[single] - LENGTH + 1)
+        row = np.repeat(single, n[single] - LENGTH + 1)
+        for low in range(0, len(row), SORTED_WINDOWS):
+            own, shift = row[low: low + SORTED_WINDOWS], first[low: low + SORTED_WINDOWS]
+            yield from _one_by_one(data, at[own] + shift, ids[own], start[own] + shift)
+
+
+def _previous_smaller(doc: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """In suffix order: the common prefix of each suffix with the nearest one before it from a smaller document.
+
+    ``shared[i]`` is the common prefix of the suffixes i - 1 and i. Only whether LENGTH is reached is told: a search stops below it.
+    """
+    before = np.arange(-1, len(doc) - 1)
+    reach = shared.copy()
+    while True:
+        going = np.flatnonzero((before >= 0) & (reach >= LENGTH))
+        going = going[doc[before[going]] >= doc[going]]
+        if not len(going):
+            return np.where(before >= 0, reach, 0)
+        # what lies between a suffix and its pointer is not smaller, so the pointer of the pointer may follow
+        at = before[going]
+        reach[going] = np.minimum(reach[going], np.where(before[at] >= 0, reach[at], 0))
+        before[going] = before[at]
+
+
+def _later_windows(group: np.ndarray, pieces: pa.Array, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes with a longest previous factor of LENGTH bytes or more in their group: number of the piece and place in it.
+
+    The suffixes are in the order of their group and first LENGTH bytes; the common prefixes of neighbours and the previous
+    and next smaller positions give the factors.
     """
     data, edges = _buffer(pieces)
     counts = np.maximum(np.diff(edges) - LENGTH + 1, 0)
@@ -282,54 +326,74 @@ def _later_windows(group: np.ndarray, pieces: pa.Array, ids: np.ndarray, start:
     suffix = np.empty((len(at), LENGTH + 4), dtype=np.uint8)
     suffix[:, :4] = group[owner].astype(">u4").view(np.uint8).reshape(-1, 4)
     suffix[:, 4:] = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[at]
-    key = suffix.view(f"S{LENGTH + 4}").reshape(-1)
-    order = np.argsort(key, kind="stable")  # rows come in the order of their documents
-    heads = _heads(key[order])
-    own = ids[owner][order]
-    # rows of a group are sorted by id before they come here, so the head of a stretch has its smallest id
-    later = own > np.repeat(own[heads], np.diff(np.append(heads, len(own))))
-    where = order[later]
-    return ids[owner[where]], start[owner[where]] + (at[where] - edges[owner[where]])
+    order = np.argsort(suffix.view(f"S{LENGTH + 4}").reshape(-1), kind="stable")
+    suffix = suffix[order]
+    differ = suffix[1:] != suffix[:-1]
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1) - 4, LENGTH)
+    shared = np.concatenate(([0], np.maximum(shared, 0)))
+    doc = ids[owner][order]
+    after = _previous_smaller(doc[::-1], np.concatenate(([0], shared[:0:-1])))[::-1]
+    where = order[np.maximum(_previous_smaller(doc, shared), after) >= LENGTH]
+    return owner[where], at[where] - edges[owner[where]]
+
+
+def _judged(rows: pa.Table) -> pa.RecordBatch:
+    """The stretches of whole groups of pieces, sorted by place and id, that are later copies."""
+    rows = rows.combine_chunks()
+    place, ids, n = (rows[name].to_numpy().astype(np.int64) for name in ("place", "id", "n"))
+    lists = rows["start"].combine_chunks() if rows["start"].num_chunks != 1 else rows["start"].chunk(0)
+    starts, ends = lists.values.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
+    copy = rows["piece"].is_null().to_numpy()
+    first = starts[ends[:-1][copy]]
+    out = [(ids[copy], first, first + n[copy])]
+    which = np.flatnonzero(~copy)
+    if len(which):
+        pieces = rows["piece"].combine_chunks().take(pa.array(which))
+        sizes = n[which] - LENGTH + 1
+        tops = _heads(place[which])
+        totals = np.add.reduceat(sizes, tops)
+        stops = np.append(tops[1:], len(which))
+        number = np.repeat(np.arange(len(tops)), stops - tops)
+        for part in slices(totals.tolist(), SORTED_WINDOWS):
+            some = slice(tops[part.start], stops[part.stop - 1])
+            row, shift = _later_windows(number[some], pieces[some], ids[which[some]])
+            row = which[some][row]
+            counts = ends[row + 1] - ends[row]
+            at = starts[ragged(ends[row], counts)] + np.repeat(shift, counts)
+            out.append(_spans(np.repeat(ids[row], counts), at, at + LENGTH))
+    docs, start, stop = _spans(*(np.concatenate(x) for x in zip(*out, strict=True)))
+    return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(start, pa.int32()), pa.array(stop, pa.int32())], ["id", "start", "stop"])
+
+
+def _first_pieces(rows: pa.Table) -> pa.Table:
+    """Of rows of one place, sorted by id, the first with each piece."""
+    rows = rows.filter(rows["piece"].is_valid())
+    seen: dict[bytes, int] = {}
+    for at, piece in enumerate(rows["piece"].to_pylist()):
+        seen.setdefault(piece, at)
+    return rows.take(pa.array(list(seen.values()), pa.int64()))
 
 
 def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces sorted by place and id to the stretches of their documents that are later copies."""
-    held: pa.Table | None = None
-    names = ["place", "piece", "id", "start", "copy"]
-
-    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        rows = rows.combine_chunks()
-        copy = rows["copy"].to_numpy()
-        place, ids, start = (rows[name].to_numpy().astype(np.int64) for name in ("place", "id", "start"))
-        out = [(ids[copy], start[copy])]
-        which = np.flatnonzero(~copy)
-        if len(which):
-            own = rows.take(pa.array(which))
-            pieces = own["piece"].combine_chunks()
-            sizes = np.diff(_buffer(pieces)[1]) - LENGTH + 1
-            tops = _heads(place[which])
-            totals = np.add.reduceat(sizes, tops)
-            stops = np.append(tops[1:], len(which))
-            number = np.repeat(np.arange(len(tops)), stops - tops)
-            for part in slices(totals.tolist(), SORTED_WINDOWS):
-                some = slice(tops[part.start], stops[part.stop - 1])
-                out.append(_later_windows(number[some], pieces[some], ids[which[some]], start[which[some]]))
-        docs, at = (np.concatenate(x) for x in zip(*out, strict=True))
-        docs, starts, stops = _spans(docs, at, at + LENGTH)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(docs), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], ["id", "start", "stop"]
-        )
+    """Pieces sorted by place and id to the stretches of their documents that are later copies.
 
+    A group that may go on waits for its end. If it is a window sent for itself by very many slices it is judged as far as it
+    has come, and only the first piece waits: what follows is from no smaller document.
+    """
+    held: pa.Table | None = None
     for batch in batches:
-        new = pa.Table.from_batches([pa.RecordBatch.from_arrays(batch.columns, names)])
+        new = pa.Table.from_batches([pa.RecordBatch.from_arrays(batch.columns, ["place", "piece", "id", "start", "n"])])
         rows = new if held is None else pa.concat_tables([held, new])
         place = rows["place"].to_numpy()
-        done = int(np.searchsorted(place, place[-1])) if len(place) else 0  # the last group may go on
+        done = int(np.searchsorted(place, place[-1])) if len(place) else 0
         if done:
-            yield from found(rows.slice(0, done))
+            yield _judged(rows.slice(0, done))
         held = rows.slice(done)
+        if held.num_rows > SORTED_WINDOWS // 10 and (held["n"].to_numpy() == LENGTH).all():
+            yield _judged(held)
+            held = _first_pieces(held)
     if held is not None and held.num_rows:
-        yield from found(held)
+        yield _judged(held)
 
 
 def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -337,14 +401,16 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text")).filter(
         F.col("id").isNotNull() & (F.octet_length("text") >= LENGTH)
     )
+    small_batches()
     scanned = texts.mapInArrow(_scan, RUN_SCHEMA)
     met = scanned.repartition("anchor").sortWithinPartitions("anchor", "run", "id").mapInArrow(_meet, RUN_SCHEMA)
     met = stage(met, "runs")
     open_runs = met.filter(~F.col("copy"))
-    # anchors with very many different runs: at most one in CROWDED of the open runs
-    crowded = open_runs.groupBy("anchor").count().filter(F.col("count") > CROWDED).select(F.col("anchor").alias("of"))
+    # anchors with very many windows: at most one for each CROWDED windows of the open runs
+    windows = F.sum(F.col("n") - LENGTH + 1)
+    crowded = stage(open_runs.groupBy("anchor").agg(windows.alias("windows")).filter(F.col("windows") > CROWDED).select(F.col("anchor").alias("of")), "crowded")
     wanted = (
-        open_runs.join(crowded, F.col("anchor") == F.col("of"), "left")
+        open_runs.join(bounded(crowded, crowded.count()), F.col("anchor") == F.col("of"), "left")
         .groupBy("id")
         .agg(F.collect_list(F.struct("anchor", "start", "n", F.col("of").isNotNull().alias("crowded"))).alias("wanted"))
     )

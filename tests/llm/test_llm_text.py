@@ -5,6 +5,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -138,7 +139,7 @@ def test_later_copies(spark):
 
 
 def test_later_copies_in_crowds_and_small_steps(spark, monkeypatch):
-    monkeypatch.setattr(suffixes, "CROWDED", 3)
+    monkeypatch.setattr(suffixes, "CROWDED", 300)
     monkeypatch.setattr(suffixes, "CHUNK_BYTES", 500)
     monkeypatch.setattr(suffixes, "KEPT_RUNS", 50)
     monkeypatch.setattr(suffixes, "SORTED_WINDOWS", 100)
@@ -148,9 +149,45 @@ def test_later_copies_in_crowds_and_small_steps(spark, monkeypatch):
     check_copies(spark, found)
 
 
-def test_meeting_runs_across_batches():
-    import pyarrow as pa
+def test_one_group_of_dashes_is_cut_by_windows(spark):
+    """Long lines of one character, each a byte longer than the one before, form one anchor group of millions of windows."""
+    found = [(at, "-" * (3000 + at)) for at in range(60)] + [(100 + at, f"{'-' * 200}{at}{'=-' * 300}") for at in range(40)]
+    check_copies(spark, found)
+    text = pa.array([x.encode() for _, x in found], pa.binary())
+    wanted = pa.array([[{"anchor": 1, "start": 0, "n": len(x), "crowded": True}] for _, x in found])
+    batch = pa.RecordBatch.from_arrays([pa.array([doc for doc, _ in found], pa.int64()), text, wanted], ["id", "text", "wanted"])
+    sent = list(suffixes._cut(iter([batch])))
+    assert sum(len(x) for x in sent) < 5000  # 180,000 windows: of equal ones one row and of copies one stretch a document
+
+
+def test_judging_goes_on_across_batches():
+    rows = [(5, b"x" * 50, 3, [0, 7], 50), (5, b"x" * 50, 4, [1], 50), (5, b"y" * 50, 5, [2], 50), (5, b"x" * 50, 5, [9], 50), (6, None, 8, [3], 70)]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.int32()]
+    for limit in (10, 10**6):
+        for size in (1, 2, 5):
+            batches = [pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows[at: at + size]), kinds)], ["a", "b", "c", "d", "e"])
+                       for at in range(0, len(rows), size)]
+            suffixes.SORTED_WINDOWS, before = limit, suffixes.SORTED_WINDOWS
+            try:
+                got = {tuple(r.values()) for batch in suffixes._sort_suffixes(iter(batches)) for r in pa.Table.from_batches([batch]).to_pylist()}
+            finally:
+                suffixes.SORTED_WINDOWS = before
+            assert got == {(4, 1, 51), (5, 9, 59), (8, 3, 73)}
+
+
+def test_previous_smaller_positions():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        doc, shared = rng.integers(0, 6, n), rng.choice([50, 50, 50, 20], n)
+        shared[0] = 0
+        got = suffixes._previous_smaller(doc, shared) >= 50
+        for at in range(n):
+            before = [j for j in range(at) if doc[j] < doc[at]]
+            assert got[at] == (bool(before) and shared[max(before) + 1: at + 1].min() >= 50)
 
+
+def test_meeting_runs_across_batches():
     rows = [(1, 1, 5, 0, 60, False), (1, 1, 7, 0, 60, False), (1, 2, 6, 0, 60, False), (2, 9, 1, 0, 60, False), (2, 9, 1, 70, 60, False)]
     for size in (1, 2, 5):
         batches = [
