@@ -4,7 +4,8 @@ Characters are lower-cased; what is no letter counts as a space. N-grams of one
 letter are hashed into ``BUCKETS``. Training counts buckets per language on a sample of labelled documents (at most
 about ``PER_LANGUAGE`` of each language, chosen by a hash of the text). The matrix of log probabilities (languages x
 buckets, a size fixed by the labels) is broadcast; a batch of texts is scored by summing, for each text, the columns
-of the n-grams that it holds.
+of the n-grams that it holds. The language is the one with the highest posterior on the full evidence; its score is the
+posterior with the log odds of texts of more than ``WEIGHT_OF`` n-grams scaled down to that many.
 
 Cases: a null text, an empty text or one without a letter is ``und`` with score 0, also where nothing was learned. Rows
 without a label are not learned from. A text of any length is scored whole. Equal texts get equal results;
@@ -20,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm.common import bounded, slices
+from tabload.llm.common import bounded, slices, small_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 PER_LANGUAGE = 5_000
 SMOOTHING = 0.5
-WEIGHT_OF = 100  # a text's evidence counts as that of this many n-grams at most, so scores stay gradual
+WEIGHT_OF = 100  # n-grams from which a score is tempered, so that it stays gradual in long texts; the language is not touched
 SLICE_CHARS = 500_000
 UNKNOWN = "und"
 
@@ -87,11 +88,12 @@ class Model:
         none = (seen == 0) | (not self.languages)
         if not self.languages:
             return np.full(len(texts), -1), np.zeros(len(texts))
-        evidence = total * np.minimum(1.0, WEIGHT_OF / np.maximum(seen, 1.0))[:, None] + self.log_prior
-        evidence -= evidence.max(axis=1, keepdims=True)
-        chance = np.exp(evidence)
+        joint = total + self.log_prior
+        joint -= joint.max(axis=1, keepdims=True)
+        best = joint.argmax(axis=1)
+        # tempering evidence and prior alike keeps the order of the languages
+        chance = np.exp(joint * np.minimum(1.0, WEIGHT_OF / np.maximum(seen, 1.0))[:, None])
         chance /= chance.sum(axis=1, keepdims=True)
-        best = chance.argmax(axis=1)
         return np.where(none, -1, best), np.where(none, 0.0, chance.max(axis=1))
 
 
@@ -108,6 +110,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     chance = F.shiftrightunsigned(F.xxhash64("text"), 32) / F.lit(float(1 << 32))
     sample = rows.join(bounded(limits, len(sizes)), F.col("lang") == F.col("of")).filter(chance < F.col("share")).select("lang", "text")
 
+    small_batches()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((len(languages), BUCKETS), dtype=np.int64)
         for batch in batches:
@@ -133,6 +137,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
 
 def predict(spark: SparkSession, model: Model, text: Column) -> Column:
     """Struct of ``lang`` and ``score`` for a text column."""
+    small_batches()
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang:string,score:double>")

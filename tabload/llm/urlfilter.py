@@ -112,7 +112,7 @@ def index_rules(urls: DataFrame, rules: list[Rule | HostWord]) -> DataFrame:
 def judge_urls(
     pages: DataFrame, rules: list[Rule | HostWord], url_col: str = "url", default: str = DEFAULT_VERDICT,
 ) -> DataFrame:
-    """``pages`` with ``host, path, rule, verdict``."""
+    """``pages`` with ``host, path, rule, verdict``, which take the place of columns of their names; all others are kept."""
     if not rules:
         return pages.withColumns({
             "host": host_of(F.col(url_col)), "path": path_of(F.col(url_col)),
@@ -128,11 +128,11 @@ def judge_urls(
         .groupBy("host", "path")
         .agg(F.max(F.struct("length", "rule", "verdict")).alias("best"))
     )
-    best = fresh(pages, "best")
-    found = fits.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("best").alias(best))
     judged = pages.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
+    best, own_host, own_path = (fresh(judged, name) for name in ("best", "fits_host", "fits_path"))
+    found = fits.select(F.col("host").alias(own_host), F.col("path").alias(own_path), F.col("best").alias(best))
     return (
-        judged.join(found, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")), "left")
+        judged.join(found, (F.col("host") == F.col(own_host)) & (F.col("path") == F.col(own_path)), "left")
         .withColumns({"rule": F.col(f"{best}.rule"), "verdict": F.coalesce(F.col(f"{best}.verdict"), F.lit(default))})
-        .drop("_host", "_path", best)
+        .drop(own_host, own_path, best)
     )

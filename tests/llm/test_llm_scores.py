@@ -95,8 +95,19 @@ def test_language_score_is_that_of_the_whole_formula():
         if not seen:
             assert best[at] == -1 and score[at] == 0
             continue
-        chance = np.exp(total * min(1, language.WEIGHT_OF / seen) + model.log_prior)
-        assert best[at] == chance.argmax() and score[at] == pytest.approx((chance / chance.sum()).max())
+        joint = total + model.log_prior
+        chance = np.exp((joint - joint.max()) * min(1, language.WEIGHT_OF / seen))
+        assert best[at] == joint.argmax() and score[at] == pytest.approx((chance / chance.sum()).max())
+
+
+def test_language_does_not_depend_on_the_length_of_the_text():
+    """A common language does not win against the evidence of a long text: each n-gram speaks a little for the rare one."""
+    table = np.tile(np.log([1.0, np.exp(0.03)]), (language.BUCKETS, 1))
+    model = language.Model(["common", "rare"], table, np.log([0.98, 0.02]))
+    texts = ["ab" * n for n in (3, 100, 1000, 100_000)]
+    best, score = model.score(texts)
+    assert best.tolist() == [0, 1, 1, 1]
+    assert (score[1:] < 0.999).all() and (score >= 0.5).all()
 
 
 def test_quality_of_held_out_documents(spark):
@@ -195,6 +206,11 @@ def test_url_rules(spark, rules):
         (at, *slow_verdict(url, rules)) for at, url in enumerate(URLS)
     ]
     assert urlfilter.judge_urls(pages.limit(0), rules).count() == 0
+    clashing = pages.selectExpr("*", "'h' as _host", "'p' as _path", "'b' as best", "'f' as fits_host", "'x' as rule", "'t' as token")
+    again = urlfilter.judge_urls(clashing, rules)
+    assert again.select("_host", "_path", "best", "fits_host", "token").distinct().collect() == [("h", "p", "b", "f", "t")]
+    assert sorted(map(tuple, again.select(*pages.columns, "host", "path", "rule", "verdict").collect()), key=repr) == sorted(
+        ((*(r[c] for c in pages.columns), r["host"], r["path"], r["rule"], r["verdict"]) for r in got), key=repr)
 
 
 def test_rarest_token_files_a_rule(spark):
