@@ -33,7 +33,7 @@ import tokenizers
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tabload.llm.common import Numbered, fresh, ragged, slices
+from tabload.llm.common import Numbered, fresh, ragged, slices, small_batches
 from tabload.llm.pieces import MARK
 from tabload.session import stage
 
@@ -280,6 +280,7 @@ def align_documents(
                     schema.names,
                 )
 
+    small_batches()
     return docs.select(id_col, text_col).mapInArrow(aligned, schema)
 
 

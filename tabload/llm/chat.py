@@ -28,6 +28,8 @@ import tokenizers
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
+from tabload.llm.common import small_batches
+
 START, SEP, END = CONTROLS = ("<|im_start|>", "<|im_sep|>", "<|im_end|>")
 TRAINED_ROLE = "assistant"
 PIECE_CHARS = 1_000_000
@@ -151,5 +153,6 @@ def format_conversations(rows: DataFrame, model: str, id_col: str = "conv_id", *
         if pieces:
             yield done()
 
+    small_batches()
     ordered = rows.select(*keys, "turn", "role", "text").repartition(*keys).sortWithinPartitions(*keys, "turn", "role", "text")
     return ordered.select(*keys, "role", "text").mapInArrow(formatted, schema)

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # What counts as a word in sizes and shingles: a run of anything but these ASCII white-space bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
 BROADCAST_ROWS = 100_000
 
+BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet (names compare without case)."""
@@ -55,3 +58,13 @@ class Numbered(dict):
     def __missing__(self, key: object) -> int:
         self[key] = place = len(self)
         return place
+
+
+def small_batches() -> None:
+    """Let Spark hand Python batches of ``BATCH_BYTES`` instead of 10,000 rows of any size; a lower setting of the session's own stays.
+
+    Executor and worker hold each batch several times over, so its size decides how much memory a step takes beside the heap.
+    """
+    spark = SparkSession.active()
+    if int(spark.conf.get(BATCH_BYTES_KEY).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES_KEY, str(BATCH_BYTES))

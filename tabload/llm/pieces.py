@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tabload.llm.common import ragged, slices
+from tabload.llm.common import ragged, slices, small_batches
 
 MARK = "▁"
 TABLE_CHARS = 3_000_000  # characters of distinct chunks a task keeps
@@ -133,11 +133,13 @@ def tokenize(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([keys[part], lists, pa.array(decoded, pa.string())], schema.names)
 
+    small_batches()
     return docs.select(id_col, text_col).mapInArrow(both, schema)
 
 
 def decode(ids: Column, model: str) -> Column:
     """The text of an array of ids, as the library's decode gives it; null gives the empty text."""
+    small_batches()
 
     @F.arrow_udf("string")
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

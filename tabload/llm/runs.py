@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tabload.llm.common import Numbered, ragged, slices
+from tabload.llm.common import Numbered, ragged, slices, small_batches
 
 MIN_LENGTH = 24
 TIMES = 3
@@ -358,6 +358,7 @@ def collapse_runs(
                     schema.names,
                 )
 
+    small_batches()
     return docs.select(id_col, F.col(text_col).cast("binary").alias("text")).mapInArrow(search, schema)
 
 
@@ -370,8 +371,12 @@ def greatest(runs: Column) -> Column:
 
 
 def repeat_tail(text: Column, first: Column, period: Column) -> Column:
-    """The words of a text, those from place ``first`` on replaced by the ``period`` words there over and over; joined by spaces."""
+    """The words of a text, those from place ``first`` on replaced by the ``period`` words there over and over; joined by spaces.
+
+    Whole slices are put together: a lambda over the places would split the text again for each of them.
+    """
     words = F.filter(F.split(text, WHITE), lambda w: w != "")
-    n = F.size(words)
-    place = lambda i: F.when(i < first, i).otherwise(first + (i - first) % period)
-    return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i.cast("bigint")).cast("int"))), " ")
+    rest = (F.size(words) - first).cast("int")
+    part = F.slice(words, (first + 1).cast("int"), period.cast("int"))
+    tail = F.flatten(F.array_repeat(part, F.ceil(rest / period).cast("int")))
+    return F.array_join(F.concat(F.slice(words, F.lit(1), first.cast("int")), F.slice(tail, F.lit(1), rest)), " ")

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabload.llm.common import ragged, slices
+from tabload.llm.common import ragged, slices, small_batches
 from tabload.llm.graph import components, forest
 from tabload.session import stage
 
@@ -72,6 +72,8 @@ def fingerprints(texts: list[bytes], words: int) -> np.ndarray:
 
 
 def fingerprint(text: Column, words: int) -> Column:
+    small_batches()
+
     @F.arrow_udf("bigint")
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm.common import slices
+from tabload.llm.common import slices, small_batches
 from tabload.llm.labelled import sample_labelled
 
 BUCKETS = 1 << 18
@@ -230,6 +230,7 @@ def _tables() -> Iterator[Tokens]:
 
 def score(spark: SparkSession, model: Model, text: Column) -> Column:
     """Score of a text column (0 to 1)."""
+    small_batches()
     shared = spark.sparkContext.broadcast(model)  # BUCKETS weights
 
     @F.arrow_udf("double")

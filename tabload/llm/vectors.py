@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabload.llm.common import ragged
+from tabload.llm.common import ragged, small_batches
 from tabload.llm.graph import components, forest
 from tabload.session import stage
 
@@ -227,6 +227,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``id, n_links, component_id, kept`` per row."""
     spark = rows.sparkSession
+    small_batches()
     element = "float" if dict(rows.dtypes)[vector_col] == "array<float>" else "double"
     kind = "<f4" if element == "float" else "<f8"
     # adding zero turns -0.0 into 0.0, so equal vectors are equal bytes
