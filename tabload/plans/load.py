@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tabload.functions import text
 from tabload.operators import clean, submissions
@@ -117,12 +118,17 @@ def run_load(job: LoadJob, files: DataFrame, run_id: str, arrived: DataFrame | N
     ``arrived`` (column ``key``): files that have landed just now; those of a submission that was
     loaded before are listed as rejects. An error in any step is logged, and the run is then not published.
     """
+    return _once(job, run_id, lambda run: load_submissions(run, files, arrived))
+
+
+def _once(job: LoadJob, run_id: str, work: Callable[[Run], None]) -> RunResult:
+    """A run of this id, unless one was published; its error, if any, is logged and keeps it from being published."""
     if job.store.is_published(run_id):
-        empty = job.spark.createDataFrame([], StructType([StructField("source", StringType())]))
-        return RunResult(run_id, True, job.store.spark.read.parquet(f"{job.store.root}/run_log").filter(F.col("run_id") == run_id), empty)
+        empty = job.spark.createDataFrame([], "source string, reason string, record string")
+        return RunResult(run_id, True, job.spark.read.parquet(f"{job.store.root}/run_log").filter(F.col("run_id") == run_id), empty)
     run = Run(job, run_id)
     try:
-        load_submissions(run, files, arrived)
+        work(run)
     except Exception as error:  # noqa: BLE001 - recorded; the run is then not published
         run.note("run", "error", 0, f"{type(error).__name__}: {error}")
     return run.finish()
@@ -144,9 +150,25 @@ def load_submissions(run: Run, files: DataFrame, arrived: DataFrame | None) -> N
     load_tables(run, frames)
 
 
-def run_refresh(job: LoadJob, bundle: dict[str, DataFrame], run_id: str) -> RunResult:
-    """Load reference data (assays, design, maps, panels) that has no submission."""
-    run = Run(job, run_id)
-    named = {kind: rows.withColumnsRenamed({"Target_Organism": "Assay_Target_Organism"}) for kind, rows in bundle.items()}
-    load_tables(run, {kind: run.stage(rows, f"kinds/{kind}") for kind, rows in named.items()})
-    return run.finish()
+def run_refresh(job: LoadJob, bundle: dict[str, DataFrame], run_id: str, rejects: DataFrame | None = None) -> RunResult:
+    """Load reference data (assays, design, maps, panels) that has no submission. A run that was published is not repeated.
+
+    ``rejects`` (columns source, reason, record): what reading the bundle has turned away; it is listed with the run's own.
+    An empty bundle is a run of its own in the log.
+    """
+    return _once(job, run_id, lambda run: load_bundle(run, bundle, rejects))
+
+
+def load_bundle(run: Run, bundle: dict[str, DataFrame], rejects: DataFrame | None) -> None:
+    if rejects is not None:
+        turned_away = run.stage(rejects.select("source", "reason", "record"), "turned away")
+        run.rejected.append(turned_away)
+        for row in turned_away.groupBy("source").count().collect():  # at most one for each kind of file
+            run.note(row.source, "rejected", row["count"])
+    if not bundle:
+        run.note("run", "absent", 0)
+    frames = {}
+    for kind, rows in bundle.items():
+        frames[kind] = run.stage(rows.withColumnsRenamed({"Target_Organism": "Assay_Target_Organism"}), f"kinds/{kind}")
+        run.note(kind, "landed", frames[kind].count())
+    load_tables(run, frames)

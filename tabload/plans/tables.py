@@ -6,6 +6,7 @@ short, nothing is held in executor memory, and a lost executor costs one step at
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabload import config
 from tabload.config import CastSpec, DeltaSpec
 from tabload.functions import keys, numbers, text
-from tabload.operators import cast, clean, dedup, delta, joins, links, reshape, rules
+from tabload.operators import cast, clean, dedup, delta, joins, links, references, reshape, rules
+from tabload.operators.references import Reference
 from tabload.sinks.publish import SnapshotStore, StaleRun, bucket_of, validate
 from tabload.sources.catalog import Catalog
 from tabload.sources.tables import kinds_of
@@ -61,6 +63,7 @@ class Run:
     def __init__(self, job: LoadJob, run_id: str):
         self.job = job
         self.run_id = run_id
+        self.folder = f"{run_id}/{uuid.uuid4().hex[:12]}"  # of this attempt alone
         self.staged: dict[str, DataFrame] = {}
         self.heads = job.store.heads()
         self.counts: dict[str, int | dict[int, int]] = {}
@@ -90,7 +93,7 @@ class Run:
 
     def put(self, table: str, rows: DataFrame, keys: list[str], rest: dict[int, str]) -> int:
         """Stage the next rows of the touched buckets; their number."""
-        written = self.job.store.stage_buckets(rows, self.run_id, table, keys)
+        written = self.job.store.stage_buckets(rows, self.folder, table, keys)
         part = self.job.store.open(list(written.values()), rows.schema)
         counts = {row[0]: row[1] for row in part.groupBy(bucket_of(keys).alias("at")).count().collect()}
         self.staged[table] = self.job.store.open([*rest.values(), *written.values()], rows.schema)
@@ -98,7 +101,7 @@ class Run:
         return sum(counts.values())
 
     def stage(self, rows: DataFrame, part: str) -> DataFrame:
-        return self.job.store.stage(rows, self.run_id, part)
+        return self.job.store.stage(rows, self.folder, part)
 
     def note(self, table: str, op: str, count: int, error: str | None = None) -> None:
         self.log.append((self.run_id, table, op, count, error))
@@ -111,6 +114,11 @@ class Run:
             rows.select(F.lit(source).alias("source"), F.lit(reason).alias("reason"), F.to_json(F.struct("*")).alias("record"))
         )
 
+    def reject_each(self, rows: DataFrame, source: str, reason: str) -> None:
+        """Reject rows that tell the reason themselves, in the column ``reason``."""
+        record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != reason]))
+        self.rejected.append(rows.select(F.lit(source).alias("source"), F.col(reason).alias("reason"), record.alias("record")))
+
     def finish(self) -> RunResult:
         """Write rejects and log, then publish if nothing failed."""
         empty = self.job.spark.createDataFrame([], "source string, reason string, record string")
@@ -118,7 +126,7 @@ class Run:
         ok = not self.failed()
         if ok and self.counts:
             try:
-                self.job.store.publish(self.run_id, self.counts, self.heads)
+                self.job.store.publish(self.run_id, self.counts, self.heads, self.folder)
             except StaleRun as error:
                 self.note("manifest", "error", 0, str(error))
                 ok = False
@@ -417,26 +425,49 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
     check_merge(run, table, spec, changes, count, current.count() + counts.get("insert", 0))
 
 
-def drop_orphans(run: Run, table: str, incoming: DataFrame) -> DataFrame:
-    """Incoming rows whose references exist; the others are logged and rejected, not merged.
+def find_orphans(run: Run, table: str, incoming: DataFrame) -> DataFrame | None:
+    """Keys of the incoming rows that cannot be merged, with the names of their broken references; None if the table has no reference.
 
-    A table that refers to itself may also refer to rows that come in with it.
+    A table that refers to itself may also refer to rows that come in with it, as long as these are merged themselves.
     """
-    for parent, refs in run.job.catalog.references(table).items():
-        if not set(refs) <= set(incoming.columns):
-            continue
-        targets = run.current(parent)
-        if parent == table:
-            targets = targets.select(*refs.values()).unionByName(incoming.select(*refs.values()))
-        small = joins.fits_broadcast(incoming.select(*refs))
-        kept, lost = delta.split_orphans(incoming, targets, refs, small)
-        lost = run.stage(lost, f"orphans/{table}/{parent}")
-        orphaned = lost.count()
-        if orphaned:
-            run.note(table, "orphan", orphaned)
-            run.reject(lost, table, f"no such row in {parent}")
-            incoming = run.stage(kept, f"incoming/{table}/with {parent}")
-    return incoming
+    catalog = run.job.catalog
+    found = [link for link in catalog.foreign_keys(table) if set(link.columns) <= set(incoming.columns)]
+    if not found:
+        return None
+    key = catalog.keys(table) or incoming.columns
+    stored = {link.parent: run.current(link.parent) for link in found}
+    to = lambda link, rows: Reference(link.name, link.columns, rows, link.parent_columns)
+    own = [to(link, stored[table]) for link in found if link.parent == table and set(link.parent_columns) <= set(incoming.columns)]
+    coming = [
+        to(link, reshape.union_all([stored[table].select(*link.parent_columns), incoming.select(*link.parent_columns)])) for link in found
+        if link.parent == table and set(link.parent_columns) <= set(incoming.columns)
+    ]
+    others = [to(link, stored[link.parent]) for link in found if link.name not in {r.name for r in own}]
+    columns = list(dict.fromkeys(c for link in found for c in link.columns))
+    small = joins.fits_broadcast(incoming.select(*[f"`{c}`" for c in columns]))
+    lost = run.stage(references.broken(incoming, key, [*others, *coming], small), f"orphans/{table}/direct")
+    if own and not lost.isEmpty():
+        return references.cascade(incoming, key, lost, own, lambda rows, part: run.stage(rows, f"orphans/{table}/{part}"))
+    return lost.withColumn("depth", F.lit(0))
+
+
+def drop_orphans(run: Run, table: str, incoming: DataFrame) -> DataFrame:
+    """Incoming rows whose references exist; the others are logged and rejected, not merged."""
+    lost = find_orphans(run, table, incoming)
+    if lost is None:
+        return incoming
+    key = run.job.catalog.keys(table) or incoming.columns
+    lost = run.stage(lost, f"orphans/{table}/all")
+    orphaned = lost.count()
+    if not orphaned:
+        return incoming
+    run.note(table, "orphan", orphaned)
+    parents = F.create_map(*[F.lit(x) for link in run.job.catalog.foreign_keys(table) for x in (link.name, link.parent)])
+    named = F.array_join(F.array_sort(F.array_distinct(F.transform("broken", lambda name: parents[name]))), ", ")
+    lost = lost.select(*[f"`{c}`" for c in key], F.concat(F.lit("no such row in "), named).alias("_reason"))
+    rows = run.stage(joins.join_on(incoming, lost, key), f"orphans/{table}/rows")
+    run.reject_each(rows, table, "_reason")
+    return run.stage(joins.anti(incoming, lost, key), f"incoming/{table}/with parents")
 
 
 def check_merge(run: Run, table: str, spec: DeltaSpec, changes: DataFrame, count: int, due: int) -> None:

@@ -1,10 +1,13 @@
 """All-or-nothing publishing of snapshots.
 
-A run writes its tables below ``runs/<run_id>/`` and, when every check has passed, one manifest
-row per table or bucket, with the version that follows the one the run has read. A table with keys lies in
+A run writes its tables below ``runs/<run_id>/<attempt>/`` and, when every check has passed, one manifest
+row per table or bucket, with the version that follows the one the run has read. Each attempt has a folder of its own, so a
+repeated run never writes where a manifest row points. A table with keys lies in
 ``BUCKETS`` folders by a hash of its key, and a run writes only the buckets its changes touch; readers take the
 newest row of each bucket. So a failed run changes nothing, and what did not change stays where it is. A
-run whose tables moved on since it read them is refused (``StaleRun``).
+run whose tables moved on since it read them is refused (``StaleRun``). The next version of a table is claimed by creating a file that
+must not be there yet, so of two runs that read the same version one publishes. A run that dies between its claim and
+its manifest rows is repeated under its id; until then the table takes no other run.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 from pyspark.errors import AnalysisException
@@ -132,38 +136,61 @@ class SnapshotStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def staging(self, run_id: str, part: str) -> str:
-        return f"{self.root}/runs/{run_id}/{part}"
+    def staging(self, folder: str, part: str) -> str:
+        return f"{self.root}/runs/{folder}/{part}"
 
-    def stage(self, rows: DataFrame, run_id: str, part: str) -> DataFrame:
+    def stage(self, rows: DataFrame, folder: str, part: str) -> DataFrame:
         """Write rows to the run's folder and read them back: cuts the plan, survives lost executors."""
-        path = self.staging(run_id, part)
+        path = self.staging(folder, part)
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def stage_buckets(self, rows: DataFrame, run_id: str, table: str, keys: list[str]) -> dict[int, str]:
+    def stage_buckets(self, rows: DataFrame, folder: str, table: str, keys: list[str]) -> dict[int, str]:
         """Write rows to the run's folder by bucket; the folder of each bucket that has rows."""
-        path = self.staging(run_id, f"tables/{table}")
+        path = self.staging(folder, f"tables/{table}")
         placed = rows.withColumn(BUCKET_COLUMN, bucket_of(keys))
         placed.repartition(BUCKET_COLUMN).write.mode("overwrite").partitionBy(BUCKET_COLUMN).parquet(path)
         found = self.spark.read.parquet(path).select(BUCKET_COLUMN).distinct().collect()
         return {row[0]: f"{path}/{BUCKET_COLUMN}={row[0]}" for row in found}
 
-    def publish(self, run_id: str, tables: dict[str, int | dict[int, int]], read: dict[str, Head] | None = None) -> None:
+    def claim(self, table: str, version: int, run_id: str) -> None:
+        """Reserve a version of a table for a run; a run may claim again what it holds.
+
+        The file system creates a file only if there is none, which Spark's writers do not offer.
+        """
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{table}/{version}")
+        system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            stream = system.create(path, False)
+        except Py4JJavaError as error:
+            if not system.exists(path):
+                raise
+            holder = self.spark.read.text(path.toString()).first()
+            if holder is None or holder[0] != run_id:
+                raise StaleRun(f"{table}: version {version} is claimed by {holder[0] if holder else 'another run'}") from error
+            return
+        stream.write(bytearray(run_id, "utf-8"))
+        stream.close()
+
+    def publish(
+        self, run_id: str, tables: dict[str, int | dict[int, int]], read: dict[str, Head] | None = None, folder: str | None = None,
+    ) -> None:
         """Make the run's staged tables the current ones: the last write of a run.
 
         ``tables`` holds the rows of each table or of each of its written buckets, ``read`` the heads the
-        run has read; without it the heads of this moment count.
+        run has read; without it the heads of this moment count. ``folder`` is where the run has staged, its id by default.
         """
         heads = self.heads()
         read = heads if read is None else read
         moved = sorted(name for name in tables if _version(heads, name) != _version(read, name))
         if moved:
             raise StaleRun(f"{', '.join(moved)}: published by another run meanwhile")
+        for name in sorted(tables):  # in one order, so two runs never hold each other up
+            self.claim(name, _version(heads, name) + 1, run_id)
         now = datetime.now()
         rows = []
         for name, count in tables.items():
-            path, version = self.staging(run_id, f"tables/{name}"), _version(heads, name) + 1
+            path, version = self.staging(folder or run_id, f"tables/{name}"), _version(heads, name) + 1
             if isinstance(count, dict):
                 rows += [(run_id, name, at, f"{path}/{BUCKET_COLUMN}={at}", n, version, now) for at, n in count.items()]
             else:

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
-    BooleanType, DataType, DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampType,
+    ArrayType, BooleanType, DataType, DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 from tabload.config import SERVER_COLUMNS
@@ -25,6 +25,15 @@ CATALOG_SCHEMA = StructType([
 ])
 
 
+KEY_SCHEMA = StructType([
+    StructField("Key_Name", StringType()),
+    StructField("Table_Name", StringType()),
+    StructField("Column_Names", ArrayType(StringType())),
+    StructField("Foreign_Key_Table", StringType()),
+    StructField("Foreign_Key_Columns", ArrayType(StringType())),
+])
+
+
 def foreign_key_summary(columns: DataFrame, usage: DataFrame) -> DataFrame:
     """Reference count per column, and the reference where there is exactly one."""
     key = ["Table_Name", "Column_Name"]
@@ -54,6 +63,21 @@ def from_information_schema(columns: DataFrame, usage: DataFrame) -> DataFrame:
     return foreign_key_summary(listed, references)
 
 
+def foreign_keys(usage: DataFrame) -> DataFrame:
+    """Every reference of the ``KEY_COLUMN_USAGE`` view with its columns in their order: one row each, in ``KEY_SCHEMA``.
+
+    A column may be in several references, and a reference may have several columns.
+    """
+    own = usage.filter(F.col("REFERENCED_TABLE_NAME").isNotNull())
+    part = F.struct("ORDINAL_POSITION", "COLUMN_NAME", "REFERENCED_COLUMN_NAME")
+    parts = own.groupBy("CONSTRAINT_NAME", "TABLE_NAME", "REFERENCED_TABLE_NAME").agg(F.sort_array(F.collect_set(part)).alias("parts"))
+    return parts.select(
+        F.col("CONSTRAINT_NAME").alias("Key_Name"), F.col("TABLE_NAME").alias("Table_Name"),
+        F.col("parts.COLUMN_NAME").alias("Column_Names"), F.col("REFERENCED_TABLE_NAME").alias("Foreign_Key_Table"),
+        F.col("parts.REFERENCED_COLUMN_NAME").alias("Foreign_Key_Columns"),
+    )
+
+
 def spark_type(declared: str) -> DataType:
     kind = base_type(declared)
     if kind in INTEGERS:
@@ -80,14 +104,28 @@ class Entry:
     parent_column: str | None = None
 
 
+@dataclass(frozen=True)
+class ForeignKey:
+    """A reference of one table to another by one or more columns."""
+
+    name: str
+    table: str
+    columns: tuple[str, ...]
+    parent: str
+    parent_columns: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class Catalog:
-    """Catalog rows on the driver: one per target column, so of schema size, not data size."""
+    """Catalog rows on the driver: one per target column and reference, so of schema size, not data size."""
 
     entries: tuple[Entry, ...]
+    keys_to: tuple[ForeignKey, ...] = ()
 
     @staticmethod
-    def load(rows: DataFrame) -> Catalog:
+    def load(rows: DataFrame, references: DataFrame | None = None) -> Catalog:
+        """``references`` (see ``foreign_keys``) tells references of several columns and several references of a column."""
+        listed = [] if references is None else references.select(*[f.name for f in KEY_SCHEMA.fields]).collect()
         found = rows.select(*[f.name for f in CATALOG_SCHEMA.fields]).collect()
         return Catalog(tuple(
             Entry(
@@ -96,6 +134,9 @@ class Catalog:
                 r.Foreign_Key_Column if r.Foreign_Key_Count == 1 else None,
             )
             for r in found
+        ), tuple(
+            ForeignKey(r.Key_Name, r.Table_Name, tuple(r.Column_Names), r.Foreign_Key_Table, tuple(r.Foreign_Key_Columns))
+            for r in sorted(listed)
         ))
 
     @staticmethod
@@ -126,16 +167,17 @@ class Catalog:
     def auto_column(self, table: str) -> str | None:
         return next((e.column for e in self.of(table) if e.auto), None)
 
+    def foreign_keys(self, table: str) -> list[ForeignKey]:
+        """The references of a table: the listed ones, and one for each column whose entry names a parent that none of them covers."""
+        listed = [key for key in self.keys_to if key.table == table]
+        covered = {column for key in listed for column in key.columns}
+        return listed + [
+            ForeignKey(f"{table}.{e.column}", table, (e.column,), e.parent, (e.parent_column,))
+            for e in self.of(table) if e.parent and e.column not in covered
+        ]
+
     def parents(self, table: str) -> set[str]:
-        return {e.parent for e in self.of(table) if e.parent}
-
-    def references(self, table: str) -> dict[str, dict[str, str]]:
-        """Per parent table: child column to parent column."""
-        links: dict[str, dict[str, str]] = {}
-        for e in self.of(table):
-            if e.parent:
-                links.setdefault(e.parent, {})[e.column] = e.parent_column
-        return links
+        return {key.parent for key in self.foreign_keys(table)}
 
     def schema(self, table: str) -> StructType:
         return StructType([StructField(e.column, spark_type(e.type)) for e in self.of(table)])

@@ -1,13 +1,17 @@
 """No row lost or doubled, buckets, and publishing against other runs."""
 
+import json
+
 import pytest
 
 from conftest import rows
 from landing import land
 from tabload.config import CastSpec, DeltaSpec
 from tabload.operators import cast, delta, dedup
-from tabload.plans.load import run_load
+from tabload.plans.load import load_bundle, run_load, run_refresh
+from tabload.plans.tables import LoadJob, Run
 from tabload.sinks.publish import BUCKETS, SnapshotStore, StaleRun, bucket_of
+from tabload.sources.catalog import Catalog, Entry, ForeignKey, foreign_keys, from_information_schema
 from tabload.sources.delimited import read_delimited
 from tabload.sources.listing import list_files
 from tabload.streaming.check import landed_and_streamed
@@ -166,3 +170,90 @@ def test_many_small_files_in_three_shapes(spark, tmp_path):
         (tmp_path / f"f{at}.csv").write_text(f"{header}\n" + ",".join(f"{name}{at}" for name in header.split(",")) + "\n")
     got = read_delimited(list_files(spark, str(tmp_path)))
     assert got.count() == 300 and got.filter("a = concat('a', substr(b, 2)) and (c is null or c = concat('c', substr(b, 2)))").count() == 300
+
+
+BUNDLE_CATALOG = (Entry("Design", "Cohort_Name", "VARCHAR(50)", primary=True), Entry("Design", "Notes", "VARCHAR(50)"))
+
+
+def design_job(spark, folder):
+    sites = spark.createDataFrame([], "site_folder string, site_code string")
+    return LoadJob(SnapshotStore(spark, str(folder / "store")), Catalog(BUNDLE_CATALOG), {"study_design.csv": ["Design"]}, sites)
+
+
+def design(spark, *found):
+    return {"study_design.csv": spark.createDataFrame(found, "Cohort_Name string, Notes string")}
+
+
+def test_a_repeated_refresh_leaves_the_table_whole(spark, tmp_path):
+    job = design_job(spark, tmp_path)
+    assert run_refresh(job, design(spark, ("A", "x"), ("B", "y")), "day-1").published
+    assert run_refresh(job, design(spark, ("A", "changed")), "day-1").published  # the run is known; nothing is written
+    assert rows(read(job, "Design")) == [("A", "x"), ("B", "y")]
+    assert run_refresh(job, design(spark, ("A", "changed")), "day-2").published
+    assert rows(read(job, "Design")) == [("A", "changed"), ("B", "y")]
+
+
+def test_a_killed_refresh_is_repeated(spark, tmp_path, monkeypatch):
+    job = design_job(spark, tmp_path)
+    assert run_refresh(job, design(spark, ("A", "x")), "day-1").published
+    for step in ("put", "finish"):
+        with monkeypatch.context() as patch:
+            patch.setattr(Run, step, lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+            with pytest.raises(KeyboardInterrupt):
+                run_refresh(job, design(spark, ("A", "half"), ("B", "y")), "day-2")
+        assert rows(read(job, "Design")) == [("A", "x")]
+    assert run_refresh(job, design(spark, ("A", "new"), ("B", "y")), "day-2").published
+    assert rows(read(job, "Design")) == [("A", "new"), ("B", "y")]
+
+
+def test_of_two_runs_that_read_one_version_one_publishes(spark, tmp_path):
+    job = design_job(spark, tmp_path)
+    assert run_refresh(job, design(spark, ("A", "x")), "day-1").published
+    first, second = Run(job, "one"), Run(job, "two")
+    load_bundle(first, design(spark, ("B", "1")), None)
+    load_bundle(second, design(spark, ("B", "2")), None)
+    job.store.claim("Design", 2, "one")  # both see version 1; the first is about to write its manifest rows
+    assert not second.finish().published
+    assert rows(read(job, "Design")) == [("A", "x")]
+    assert first.finish().published
+    assert rows(read(job, "Design")) == [("A", "x"), ("B", "1")]
+
+
+def test_a_refresh_without_files_is_logged(spark, tmp_path):
+    job = design_job(spark, tmp_path)
+    turned_away = spark.createDataFrame([("study_design.csv", "line has too many cells", "{}")], "source string, reason string, record string")
+    result = run_refresh(job, {}, "day-1", turned_away)
+    assert result.published and log_of(result)[("study_design.csv", "rejected")] == 1 and ("run", "absent") in log_of(result)
+    assert [r.reason for r in result.rejects.collect()] == ["line has too many cells"]
+    failed = run_refresh(job, {"study_design.csv": design(spark)["study_design.csv"].drop("Cohort_Name")}, "day-2")
+    assert not failed.published and [r.error for r in failed.log.collect() if r.error]
+
+
+def test_rows_that_hang_on_a_lost_row_are_lost(spark, tmp_path):
+    entries = (Entry("Node", "id", "INTEGER", primary=True), Entry("Node", "up", "INTEGER"), Entry("Node", "a", "INTEGER"), Entry("Node", "b", "INTEGER"),
+               Entry("Pair", "a", "INTEGER", primary=True), Entry("Pair", "b", "INTEGER", primary=True))
+    catalog = Catalog(entries, (ForeignKey("up", "Node", ("up",), "Node", ("id",)), ForeignKey("pair", "Node", ("a", "b"), "Pair", ("a", "b"))))
+    job = LoadJob(SnapshotStore(spark, str(tmp_path / "store")), catalog, {"node.csv": ["Node"], "pair.csv": ["Pair"]},
+                  spark.createDataFrame([], "site_folder string, site_code string"))
+    pairs = spark.createDataFrame([(1, 1), (2, 2)], "a int, b int")
+    nodes = spark.createDataFrame([
+        (1, 9, None, None), (2, 1, None, None), (3, 2, 1, 1), (4, None, 1, 2), (5, 4, None, None), (6, None, 2, 2), (7, 6, 2, None), (8, 8, None, None),
+    ], "id int, up int, a int, b int")
+    result = run_refresh(job, {"pair.csv": pairs, "node.csv": nodes}, "day-1")
+    assert result.published and log_of(result)[("Node", "orphan")] == 5
+    assert rows(read(job, "Node"), "id") == [(6,), (7,), (8,)]
+    reasons = sorted((json.loads(r.record)["id"], r.reason) for r in result.rejects.collect())
+    assert reasons == [(1, "no such row in Node"), (2, "no such row in Node"), (3, "no such row in Node"), (4, "no such row in Pair"), (5, "no such row in Node")]
+    # a row whose change is turned away stands as it was, and so does what refers to it
+    again = run_refresh(job, {"node.csv": spark.createDataFrame([(6, 77, 2, 2), (10, 6, None, None)], "id int, up int, a int, b int")}, "day-2")
+    assert again.published and rows(read(job, "Node"), "id", "up") == [(10, 6), (6, None), (7, 6), (8, 8)]
+
+
+def test_references_of_a_database_view(spark):
+    usage = spark.createDataFrame([
+        ("fk1", "T", "a", 1, "P", "x"), ("fk1", "T", "b", 2, "P", "y"), ("fk2", "T", "a", 1, "Q", "k"), ("PRIMARY", "T", "id", 1, None, None),
+    ], "CONSTRAINT_NAME string, TABLE_NAME string, COLUMN_NAME string, ORDINAL_POSITION int, REFERENCED_TABLE_NAME string, REFERENCED_COLUMN_NAME string")
+    columns = spark.createDataFrame([("T", "id", "int", "PRI", ""), ("T", "a", "int", "", ""), ("T", "b", "int", "", "")],
+                                    "TABLE_NAME string, COLUMN_NAME string, COLUMN_TYPE string, COLUMN_KEY string, EXTRA string")
+    found = Catalog.load(from_information_schema(columns, usage), foreign_keys(usage)).foreign_keys("T")
+    assert [(key.columns, key.parent, key.parent_columns) for key in found] == [(("a", "b"), "P", ("x", "y")), (("a",), "Q", ("k",))]
