@@ -59,14 +59,17 @@ def _steps(declared: str):
     return same, same, same, None
 
 
-def schema_cast(df: DataFrame, spec: CastSpec) -> DataFrame:
+def schema_cast(df: DataFrame, spec: CastSpec, mixed: str | None = None) -> DataFrame:
     """Type every column; columns without a declared type stay text.
 
     Cells that hold a value but not one of the declared type become NULL, and the names of their
     columns are listed in the reject column. Texts, parsed values and stored values are separate
     projections, so each cell is parsed once.
+
+    ``mixed`` names a VARIANT column for what did not fit: an object with the text of each such cell under its column's name, NULL
+    where every cell fits.
     """
-    texts, parsed, stored, failed = [], [], [], []
+    texts, parsed, stored, failed, unfit = [], [], [], [], []
     for at, name in enumerate(df.columns):
         declared = spec.types.get(name, "VARCHAR(255)")
         told, parse, value, fails = _steps(declared)
@@ -85,11 +88,15 @@ def schema_cast(df: DataFrame, spec: CastSpec) -> DataFrame:
         stored += [text, number, value(number).alias(name)] if fails else [text.alias(name)]
         if fails:
             failed.append(F.when(fails(text, number, kept), F.lit(name)))
+            unfit.append(F.struct(F.lit(name).alias("key"), text.cast("string").alias("value")))
     rejects = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    return (
-        df.select(*texts).select(*parsed).select(*stored)
-        .select(*[F.col(f"`{c}`") for c in df.columns], rejects.alias(spec.reject_column))
-    )
+    extra = [rejects.alias(spec.reject_column)]
+    if mixed is not None:
+        bad = [F.when(test.isNotNull(), cell) for test, cell in zip(failed, unfit, strict=True)]
+        cells = F.array_compact(F.array(*bad)) if bad else F.lit(None)
+        held = F.when(F.size(cells) > 0, F.to_json(F.map_from_entries(cells))) if bad else F.lit(None).cast("string")
+        extra.append(F.parse_json(held).alias(mixed))
+    return df.select(*texts).select(*parsed).select(*stored).select(*[F.col(f"`{c}`") for c in df.columns], *extra)
 
 
 def _after_top_code(told):

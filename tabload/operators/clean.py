@@ -131,6 +131,34 @@ def exclude_containing(df: DataFrame, columns: list[str], listed: DataFrame, pie
     return kept
 
 
+GRAM = 4
+
+
+def exclude_by_grams(df: DataFrame, columns: list[str], listed: DataFrame, piece: str, gram: int = GRAM) -> DataFrame:
+    """``exclude_containing`` for long lists of pieces of many lengths: the work for an id grows with its length, not with that of the list.
+
+    Each listed piece is filed under its rarest run of ``gram`` characters among the distinct ids, one entry each. An id is
+    cut once, into its distinct runs; those that are filed fetch their pieces, and the id is searched for them. Pieces shorter
+    than that have few lengths and are cut for by length.
+    """
+    entries = listed.select(F.col(piece).alias("_piece")).filter(F.length("_piece") > 0).distinct()
+    runs_of = lambda c: F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(c) - gram + 1), lambda at: F.substring(c, at, F.lit(gram))
+    ))
+    told = df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("_id"))
+    ids = told.filter(F.length("_id") >= gram).distinct()
+    held = ids.select("_id", F.explode(runs_of(F.col("_id"))).alias("_gram"))
+    pieces = entries.filter(F.length("_piece") >= gram).select("_piece", F.explode(runs_of(F.col("_piece"))).alias("_gram"))
+    counts = held.join(pieces.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = F.min(F.struct(F.coalesce("_n", F.lit(0)), "_gram"))
+    filed = pieces.join(counts, "_gram", "left").groupBy("_piece").agg(rarest.alias("_key")).select("_piece", F.col("_key._gram").alias("_gram"))
+    hits = held.join(filed, "_gram").filter(F.col("_id").contains(F.col("_piece"))).select("_id").distinct()
+    kept = exclude_containing(df, columns, entries.filter(F.length("_piece") < gram), "_piece")
+    for c in columns:
+        kept = anti(kept, hits.withColumnRenamed("_id", c), [c])
+    return kept
+
+
 def keep_matching_ids(df: DataFrame, column: str, pattern: str) -> DataFrame:
     return df.filter(F.col(column).rlike(pattern))
 

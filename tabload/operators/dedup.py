@@ -53,20 +53,31 @@ def max_per_group(df: DataFrame, groups: list[str], column: str, name: str) -> D
     return df.groupBy(*groups).agg(F.max(column).alias(name))
 
 
-def last_value_first_version(df: DataFrame, keys: list[str], version: str, order: list[str]) -> DataFrame:
+def last_value_first_version(
+    df: DataFrame, keys: list[str], version: str, order: list[str], marks: dict[str, str] | None = None,
+) -> DataFrame:
     """Per key the values of the highest version and the number of the lowest one.
 
-    ``order`` breaks ties within a version.
+    ``order`` breaks ties within a version. ``marks`` names, for columns with cells that could not be read, the column that is
+    true there: such a cell gives way to the last one of its key that could be read, and its mark stays only where there is none.
     """
+    marks = marks or {}
     values = [c for c in df.columns if c not in keys and c != version]
     # One struct: what orders the versions is among the values, so nothing is shuffled twice.
     named = [c.strip("`") for c in order]
     last = F.max(F.struct(version, *order, *[F.col(f"`{c}`") for c in values if c not in named])) if values else None
+    readable = [
+        F.max(F.when(F.col(f"`{mark}`").isNull(), F.struct(version, *order, F.col(f"`{c}`").alias("_cell")))).alias(f"_read:{c}")
+        for c, mark in marks.items()
+    ]
     folded = df.groupBy(*keys).agg(
-        *([last.alias("_last")] if values else []), F.min(version).alias("_first_version")
+        *([last.alias("_last")] if values else []), F.min(version).alias("_first_version"), *readable
     )
-    chosen = [F.col(f"_last.`{c}`").alias(c) for c in values]
-    picked = {c: chosen[i] for i, c in enumerate(values)}
+    picked = {c: F.col(f"_last.`{c}`").alias(c) for c in values}
+    for c, mark in marks.items():
+        unread, before = F.col(f"_last.`{mark}`").isNotNull(), F.col(f"`_read:{c}`")
+        picked[c] = F.when(unread, before.getField("_cell")).otherwise(F.col(f"_last.`{c}`")).alias(c)
+        picked[mark] = F.when(unread & before.isNull(), True).alias(mark)
     picked[version] = F.col("_first_version").alias(version)
     return folded.select(*[picked.get(c, F.col(c)) for c in df.columns])
 

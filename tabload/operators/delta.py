@@ -166,6 +166,29 @@ def diff_report(incoming: DataFrame, current: DataFrame, spec: DeltaSpec) -> Dat
     )
 
 
+def bucket_digests(rows: DataFrame, bucket: Column, columns: list[str]) -> DataFrame:
+    """``bucket, n_rows, digest``: a digest of the rows of each bucket that does not depend on their order.
+
+    It holds the number of rows and the sum and exclusive or of their 64-bit hashes, so it is a partial aggregate, one row per
+    bucket and task. A NULL counts as a value of its own.
+    """
+    cells = [part for c in columns for part in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    hashed = rows.select(bucket.alias("bucket"), F.xxhash64(*cells).alias("_hash"))
+    n, total, mixed = F.count(F.lit(1)), F.sum(F.col("_hash").cast("decimal(38,0)")), F.bit_xor("_hash")
+    return hashed.groupBy("bucket").agg(n.alias("n_rows"), F.concat_ws(":", n, total, mixed).alias("digest"))
+
+
+def digest_diff(incoming: DataFrame, current: DataFrame, bucket: Column, columns: list[str]) -> DataFrame:
+    """``bucket, state`` of every bucket of either side: new, gone, changed or same."""
+    new, old = (bucket_digests(rows, bucket, columns).drop("n_rows") for rows in (incoming, current))
+    both = new.join(old.toDF("_bucket", "_digest"), F.col("bucket").eqNullSafe(F.col("_bucket")), "full_outer")
+    state = (
+        F.when(F.col("_digest").isNull(), "new").when(F.col("digest").isNull(), "gone")
+        .when(F.col("digest") == F.col("_digest"), "same").otherwise("changed")
+    )
+    return both.select(F.coalesce("bucket", "_bucket").alias("bucket"), state.alias("state"))
+
+
 def run_summary(classified: DataFrame, spec: DeltaSpec, table: str) -> DataFrame:
     """Rows per operation of one table."""
     return classified.groupBy(spec.label).agg(F.count(F.lit(1)).alias("n_rows")).select(

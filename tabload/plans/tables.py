@@ -24,6 +24,8 @@ from tabload.sources.tables import kinds_of
 VISIT_TABLE = "Participant_Visit_Info"
 CONTAINER_TABLE = "Tube"
 LAB_ITEMS = ("Consumable", "Equipment", "Reagent")
+MIXED = "_mixed"  # what did not fit the type of its column
+UNREAD = "_unread:"  # before the name of a column: true where its cell could not be read, so the stored value stays
 ALIQUOT_COLUMNS = {"aliquot.csv": ("Aliquot_ID",), "shipping_manifest.csv": ("Current Label",)}
 UNSTRIPPED_TABLES = ("Tube", "Aliquot", *LAB_ITEMS)
 
@@ -190,9 +192,13 @@ def version_kind(run: Run, kind: str, rows: DataFrame) -> DataFrame:
         if column in rows.columns:
             long = F.coalesce(text.has_third_digit(F.col(f"`{column}`")), F.lit(False))
             run.reject(rows.filter(long), kind, "aliquot number has more than two digits; the id is kept as it is")
-    typed = run.stage(cast.schema_cast(prepare_kind(kind, rows), spec), f"typed/{kind}")
+    typed = run.stage(cast.schema_cast(prepare_kind(kind, rows), spec, MIXED), f"typed/{kind}")
+    names = sorted(row[0] for row in typed.select(F.explode(spec.reject_column)).distinct().collect())  # some of the columns
+    marks = {c: f"{UNREAD}{c}" for c in names}
+    typed = typed.withColumns({mark: F.when(F.array_contains(spec.reject_column, c), True) for c, mark in marks.items()})
     typed, bad = cast.split_rejects(typed, spec)
-    run.reject(bad, kind, "cell does not fit its column type")
+    run.reject(bad.drop(*marks.values()), kind, "cell does not fit its column type")
+    typed = typed.drop(MIXED)
     if "Submission_Index" in typed.columns:
         typed = typed.withColumn("Submission_Index", F.col("Submission_Index").cast("bigint"))
     by_participant = {"Cohort", "Research_Participant_ID", "Submission_Index"} <= set(typed.columns)
@@ -214,10 +220,12 @@ def version_kind(run: Run, kind: str, rows: DataFrame) -> DataFrame:
     key = [c for c in dict.fromkeys(key) if c in typed.columns]
     if kind == "submission.csv" or not key or "Submission_Index" not in typed.columns:
         return typed
-    rest = [c for c in typed.columns if c not in key and c != "Submission_Index"]
+    typed = typed.drop(*[marks[c] for c in key if c in marks])
+    marks = {c: mark for c, mark in marks.items() if c not in key and c != "Submission_Index"}
+    rest = [c for c in typed.columns if c not in key and c != "Submission_Index" and not c.startswith(UNREAD)]
     if kind == "shipping_manifest.csv":
         return dedup.keep_last(typed, [f"`{c}`" for c in key], ["Submission_Index", *[f"`{c}`" for c in rest]])
-    return dedup.last_value_first_version(typed, key, "Submission_Index", rest)
+    return dedup.last_value_first_version(typed, key, "Submission_Index", [f"`{c}`" for c in rest] if marks else rest, marks)
 
 
 def apply_kind_rules(run: Run, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -315,9 +323,10 @@ def assemble(run: Run, table: str, kind: str, rows: DataFrame) -> DataFrame:
     if "Submission_CBC" in columns and "Submission_CBC" not in rows.columns:
         source = "Research_Participant_ID" if "Research_Participant_ID" in rows.columns else "Biospecimen_ID"
         rows = rows.withColumn("Submission_CBC", text.site_prefix(F.col(source)))
-    rows = clean.conform(rows, columns)
+    rows = clean.conform(rows, [*columns, *[f"{UNREAD}{c}" for c in columns]])
     spec = cast_spec(job.catalog.types(table))
-    typed, bad = cast.split_rejects(cast.schema_cast(rows, spec), spec)
+    typed, bad = cast.split_rejects(cast.schema_cast(rows, spec, MIXED), spec)
+    typed = typed.drop(MIXED)
     told = cast_spec(job.catalog.types(*job.mapping.get(kind, []))).types
     if any(told.get(c, "VARCHAR(255)") != spec.types.get(c, "VARCHAR(255)") for c in rows.columns):
         # Only a column that tables type differently can fail here and not before.
@@ -391,6 +400,22 @@ def incoming_rows(run: Run, table: str, frames: dict[str, DataFrame], key: list[
     return dedup.keep_last(clean.require(staged, *key), key, total_order(staged, ["Submission_Index"], key))
 
 
+def keep_stored(run: Run, table: str, rows: DataFrame, key: list[str]) -> DataFrame:
+    """Cells that could not be read take the value the stored row has, so they never erase one; only rows with such cells are looked up."""
+    marks = [c for c in rows.columns if c.startswith(UNREAD)]
+    plain = rows.drop(*marks)
+    if not key or not marks:
+        return plain
+    columns = [c.removeprefix(UNREAD) for c in marks]
+    stored = run.current(table).select(
+        *[F.col(f"`{c}`") for c in key], *[F.col(f"`{c}`").alias(f"_stored:{c}") for c in columns]
+    )
+    unread = reduce(lambda one, other: one | other, [F.col(f"`{mark}`").isNotNull() for mark in marks])
+    found = joins.join_on(rows.filter(unread), stored, key, "left")
+    filled = found.withColumns({c: F.when(F.col(f"`{UNREAD}{c}`").isNotNull(), F.col(f"`_stored:{c}`")).otherwise(F.col(f"`{c}`")) for c in columns})
+    return rows.filter(~unread).select(*[f"`{c}`" for c in plain.columns]).unionByName(filled.select(*[f"`{c}`" for c in plain.columns]))
+
+
 def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
     """Classify a table's incoming rows against its current ones and stage the next snapshot."""
     job = run.job
@@ -399,7 +424,7 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
     if rows is None:
         run.note(table, "absent", 0)
         return
-    incoming = run.stage(rows, f"incoming/{table}")
+    incoming = run.stage(keep_stored(run, table, rows, key), f"incoming/{table}")
     incoming = drop_orphans(run, table, incoming)
     auto = job.catalog.auto_column(table)
     if not key and auto:

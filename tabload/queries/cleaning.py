@@ -209,6 +209,23 @@ def exclude_ids_substring(spark: SparkSession, folder: str) -> DataFrame:
     return clean.exclude_containing(names, ["c_name"], listed, "piece")
 
 
+@query("exclude_ids_grams", """
+    with ids as (select c_custkey, 'id-' || md5(cast(c_custkey as varchar)) as id from customer),
+    listed as (select distinct substr(md5(cast(o_orderkey as varchar)), 1, cast(2 + o_orderkey % 20 as int)) as piece from orders where o_orderkey % 20 > 2 or o_orderkey % 1000 = 0)
+    select c_custkey, id from ids where id is not null and not exists (select 1 from listed where contains(id, piece))""")
+def exclude_ids_grams(spark: SparkSession, folder: str) -> DataFrame:
+    """Thousands of listed pieces of twenty lengths against all ids."""
+    order = F.col("o_orderkey")
+    text = F.md5(order.cast("string").cast("binary"))
+    listed = table(spark, folder, "orders").filter((order % 20 > 2) | (order % 1000 == 0)).select(
+        F.substring(text, F.lit(1), (2 + order % 20).cast("int")).alias("piece")
+    )
+    ids = table(spark, folder, "customer").select(
+        "c_custkey", F.concat(F.lit("id-"), F.md5(F.col("c_custkey").cast("string").cast("binary"))).alias("id")
+    )
+    return clean.exclude_by_grams(ids, ["id"], listed, "piece")
+
+
 @query("exclude_keys", """
     select o_orderkey, o_custkey, o_totalprice from orders
     where not exists (select 1 from customer where c_custkey = o_custkey and c_acctbal < 0)""")

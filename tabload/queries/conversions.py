@@ -32,6 +32,27 @@ def lenient_cast(spark: SparkSession, folder: str) -> DataFrame:
     return typed.select("o_orderkey", "number", F.array_contains("_bad", "number").alias("rejected"))
 
 
+@query("mixed_cells", f"""
+    select o_orderkey, case when price = 'Not Reported' then null else cast(round(try_cast(price as {_EXACT}), 5) as double) end as price,
+           try_cast(custkey as bigint) as custkey,
+           case when price <> 'Not Reported' and try_cast(price as {_EXACT}) is null then price end as price_told,
+           case when try_cast(custkey as bigint) is null then custkey end as custkey_told
+    from (select o_orderkey, case o_orderstatus when 'F' then 'C-' || o_custkey when 'P' then null else cast(o_custkey as varchar) end as custkey,
+                 case o_orderpriority when '5-LOW' then 'Not Reported' when '2-HIGH' then 'about "' || o_custkey || '"' else printf('%.2f', o_totalprice) end as price
+          from orders)""")
+def mixed_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """What does not fit the type of its column is kept beside it."""
+    status, priority, customer = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_custkey").cast("string")
+    landed = table(spark, folder, "orders").select(
+        "o_orderkey", F.when(status == "F", F.concat(F.lit("C-"), customer)).when(status != "P", customer).alias("custkey"),
+        F.when(priority == "5-LOW", "Not Reported").when(priority == "2-HIGH", F.concat(F.lit('about "'), customer, F.lit('"')))
+        .otherwise(F.format_string("%.2f", "o_totalprice")).alias("price"),
+    )
+    typed = cast.schema_cast(landed, CastSpec({"o_orderkey": "BIGINT", "custkey": "INTEGER", "price": "DOUBLE"}), "mixed")
+    told = lambda name: F.try_variant_get("mixed", f"$.{name}", "string").alias(f"{name}_told")
+    return typed.select("o_orderkey", "price", "custkey", told("price"), told("custkey"))
+
+
 @query("schema_cast", f"""
     select o_orderkey, case when custkey in ('N/A') then null else try_cast(custkey as bigint) end as custkey,
            cast(round(try_cast(price as {_EXACT}), 5) as double) as price,

@@ -104,9 +104,10 @@ class SnapshotStore:
                 raise
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
-    def heads(self) -> dict[str, Head]:
-        """Current version and folders per table: at most one row per table and bucket."""
-        newest = self.manifest().groupBy("table_name", "bucket").agg(F.max(F.struct("version", "path")).alias("head"))
+    def heads(self, upto: int | None = None) -> dict[str, Head]:
+        """Current version and folders per table: at most one row per table and bucket. ``upto``: as of this version."""
+        known = self.manifest() if upto is None else self.manifest().filter(F.col("version") <= upto)
+        newest = known.groupBy("table_name", "bucket").agg(F.max(F.struct("version", "path")).alias("head"))
         rows = newest.collect()
         found: dict[str, Head] = {}
         for name in {row.table_name for row in rows}:
@@ -153,24 +154,29 @@ class SnapshotStore:
         found = self.spark.read.parquet(path).select(BUCKET_COLUMN).distinct().collect()
         return {row[0]: f"{path}/{BUCKET_COLUMN}={row[0]}" for row in found}
 
-    def claim(self, table: str, version: int, run_id: str) -> None:
-        """Reserve a version of a table for a run; a run may claim again what it holds.
+    def reserve(self, name: str, holder: str) -> str:
+        """Write a name's holder unless it has one; the holder it has then.
 
         The file system creates a file only if there is none, which Spark's writers do not offer.
         """
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{table}/{version}")
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{name}")
         system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         try:
             stream = system.create(path, False)
-        except Py4JJavaError as error:
+        except Py4JJavaError:
             if not system.exists(path):
                 raise
-            holder = self.spark.read.text(path.toString()).first()
-            if holder is None or holder[0] != run_id:
-                raise StaleRun(f"{table}: version {version} is claimed by {holder[0] if holder else 'another run'}") from error
-            return
-        stream.write(bytearray(run_id, "utf-8"))
+            found = self.spark.read.text(path.toString(), wholetext=True).first()
+            return found[0] if found else ""
+        stream.write(bytearray(holder, "utf-8"))
         stream.close()
+        return holder
+
+    def claim(self, table: str, version: int, run_id: str) -> None:
+        """Reserve a version of a table for a run; a run may claim again what it holds."""
+        holder = self.reserve(f"tables/{table}/{version}", run_id)
+        if holder != run_id:
+            raise StaleRun(f"{table}: version {version} is claimed by {holder or 'another run'}")
 
     def publish(
         self, run_id: str, tables: dict[str, int | dict[int, int]], read: dict[str, Head] | None = None, folder: str | None = None,
