@@ -106,6 +106,15 @@ ROUTES = (
     ("Reference+Panel+Submissions", "reference_panel"),
 )
 
+# Folders that the reference data of a job lies in.
+JOB_FOLDERS = {
+    "panel_results": "Serology_Data_Files/Reference_Panel_Files/Reference_Panel_Submissions/",
+    "assay_data": "CBC_Folders/Assay_Data/",
+    "study_design": "Vaccine_Respone_Study_Design/",
+    "biorepository_map": "Serology_Data_Files/biorepository_id_map/",
+    "reference_panel": "Serology_Data_Files/CDC_Confirmation_Results/",
+}
+
 DATA_RELEASE = "2.0.0"
 
 # ---------------------------------------------------------------------------

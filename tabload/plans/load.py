@@ -31,10 +31,12 @@ def pending_submissions(run: Run, files: DataFrame) -> DataFrame:
         read_headers(
             files.filter(F.col("key").endswith(".csv") & text.path_name(F.col("key")).contains("submission"))
             .withColumn("submission", folder)
-            .select("path", "submission")
+            .select("path", "submission"),
+            job.encoding,
         ),
         "headers",
     )
+    run.reject(headers.filter(F.col("problem").isNotNull()).select("path", "problem"), "submission.csv", "header cannot be read")
     # One path per submission; the listing on the driver is larger.
     paths = [row.path for row in headers.select("path").collect()]
     if not paths:
@@ -92,7 +94,7 @@ def landed_kinds(run: Run, files: DataFrame, pending: DataFrame) -> dict[str, Da
     tags = F.broadcast(tags) if fits_broadcast(tags) else tags
     pieces = few_pieces(job.excluded_ids)
     frames = {}
-    for kind, rows in read_kinds(wanted, job.multi_line).items():
+    for kind, rows in read_kinds(wanted, job.multi_line, job.encoding, run.rejected).items():
         # Parsed once; a line is either rejected or goes on, so both add up to the lines landed.
         tagged = run.stage(rows.withColumn("_folder", folder_of(F.col(PATH_COLUMN))).join(tags, "_folder", "left"), f"landed/{kind}")
         known, good = F.col("intent").isNotNull(), F.col(MALFORMED_COLUMN).isNull()

@@ -45,6 +45,7 @@ class LoadJob:
     absent_columns: str = "keep"
     data_release: str = config.DATA_RELEASE
     multi_line: tuple[str, ...] = ()  # file kinds whose quoted cells hold line ends
+    encoding: str = "UTF-8"  # of landed files; one whose header cannot be read so is rejected
 
     @property
     def spark(self) -> SparkSession:

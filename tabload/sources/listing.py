@@ -61,9 +61,9 @@ def file_class(name: Column) -> Column:
 
 
 def latest_assay_files(files: DataFrame, skipped: str) -> DataFrame:
-    """The newest file of each class in each folder."""
+    """The newest file of each class in each folder; of the sheets of one workbook the last by name."""
     named = files.filter(~F.col("key").contains(skipped)).withColumns({
         "folder": text.path_parent(F.col("key")), "file_class": file_class(text.path_name(F.col("key"))),
     })
     classed = named.filter(F.col("file_class").isNotNull())
-    return latest_per_group(classed, ["folder", "file_class"], ["modified_at", "key"])
+    return latest_per_group(classed, ["folder", "file_class"], [c for c in ("modified_at", "key", "path") if c in files.columns])

@@ -2,6 +2,7 @@
 
 import glob
 import os
+import sys
 
 import duckdb
 import pytest
@@ -48,3 +49,16 @@ def test_entry_has_rows(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) <= set(SQL) <= set(driver.queries())
+
+
+def test_queries_without_the_training_data_operators(monkeypatch):
+    """A missing subpackage and a missing library of its leave the other queries."""
+    for name in ("sentencepiece", "tabload.llm"):
+        with monkeypatch.context() as patch:
+            for module in [m for m in sys.modules if m.startswith(("tabload.llm", "corpus_pipeline"))]:
+                patch.delitem(sys.modules, module)
+            patch.setitem(sys.modules, name, None)
+            with pytest.warns(UserWarning, match="without the training-data operators"):
+                assert set(driver.queries()) == set(QUERIES)
+            with pytest.warns(UserWarning):
+                assert set(driver.oracle_sql()) == set(QUERIES)
