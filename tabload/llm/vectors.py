@@ -1,14 +1,20 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
-Each tree splits the space by random directions, cut where the two sides of a bounded sample, spill included, make the fewest
-pairs, and goes on until about ``LEAF`` vectors are left per leaf. A vector near a split goes down both sides (spill), up to
-``PLACES`` leaves per tree. Cuts so go beside a crowd of near copies, and a node that no cut makes cheaper, as one that
+Each tree splits the space by random directions, cut where the two sides of a sample, spill included, make the fewest
+pairs, and goes on until about ``LEAF`` vectors are left per leaf. A vector near a split goes down both sides (spill), every time:
+no side within the margin is left out. The margin follows from the depth, so that a vector is filed about ``COPIES`` times a tree.
+Cuts go beside a crowd of near copies, and a node that no cut makes cheaper, as one that
 is mostly crowd, is not split in this direction: crowds stay whole, whatever the number of levels. Vectors
 are compared within leaves, all of them in double precision; what is at or above the threshold links. A pair is counted in the
 first tree and leaf in which it meets, so counts need no list of pairs; a leaf emits, besides counts, only a
-spanning forest of its links. Trees are fitted on the sample, every vector is filed. A leaf with far more vectors than
+spanning forest of its links. In which leaves two vectors have met before is worked out again where they are compared, from the
+trees, so a vector travels without its places. A leaf with far more vectors than
 meant is dealt over a grid of blocks, so it is still compared whole.
 
+The first levels are fitted on about ``SAMPLE`` vectors on the driver. Where the table asks for more levels than these can tell, each further
+level is fitted in tasks: histograms of the projections of a sample that grows with the number of nodes, one cut per node. Only cuts
+reach the driver, at most ``TREES * MOST_LEAVES`` of them; beyond ``LEAF * MOST_LEAVES`` vectors (10^8) leaves grow with the table.
+
 Equal vectors are one from the start and count as often as they occur.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; they are components
@@ -33,8 +39,11 @@ from tabload.session import stage
 THRESHOLD = 0.9
 TREES = 8
 LEAF = 400  # vectors per leaf, about
-SPILL = 0.4  # how near to a split a vector goes down both sides, in units of 1 / sqrt(dimensions), as projections shrink
-PLACES = 4  # leaves of one tree that a vector is filed in at most
+SPILL = 0.4  # how near to a split a vector goes down both sides at most, in units of 1 / sqrt(dimensions), as projections shrink
+COPIES = 4  # leaves of one tree that a vector is filed in, about
+MOST_LEAVES = 1 << 18  # of one tree
+NODE_SAMPLE = 64  # vectors per node that a further level is fitted on, about
+BINS = np.linspace(-4.0, 4.0, 161)  # of the histograms for it, in units of 1 / sqrt(dimensions)
 CUTS = np.linspace(0.2, 0.8, 25)  # quantiles of a node at which a cut is tried
 SAMPLE = 20_000  # vectors the splits are fitted on, about
 BLOCK = 1_000  # vectors of a leaf compared in one piece
@@ -42,67 +51,139 @@ DENSE = 0.02  # share of linked pairs from which a block counts as crowded
 SEED = 7
 
 
+def margin(depth: int, size: int) -> float:
+    """How near to a cut a vector goes down both sides: a cut at the median of normal projections has about 0.8 of its vectors per unit there."""
+    return min(SPILL, (COPIES ** (1 / max(1, depth)) - 1) / 0.8) / np.sqrt(size)
+
+
 @dataclass
 class Forest:
     """Splits of all trees: node i of a tree goes to 2i + 1 and 2i + 2."""
 
     directions: np.ndarray  # trees x depth x dimensions: one direction per level
     cuts: np.ndarray  # trees x inner nodes; infinite where a node is not split: all go to 2i + 1
+    spill: float
     base: int = 0  # number of its first leaf among those of the forests of all lengths
 
     @property
     def depth(self) -> int:
         return self.directions.shape[1]
 
-    def leaves(self, units: np.ndarray, tree: int) -> np.ndarray:
-        """The leaves of each vector in one tree, ``PLACES`` columns, -1 where there are fewer."""
-        inner = (1 << self.depth) - 1
-        nodes = np.full((len(units), PLACES), -1, dtype=np.int64)
-        nodes[:, 0] = 0
+    def leaves(self, units: np.ndarray, tree: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and leaves: every leaf of one tree that each vector is filed in."""
+        row, node = np.arange(len(units)), np.zeros(len(units), dtype=np.int64)
         off = units @ self.directions[tree].T
-        spill = SPILL / np.sqrt(units.shape[1])
         for level in range(self.depth):
-            at = np.where(nodes >= 0, nodes, 0)
-            gap = off[:, level][:, None] - self.cuts[tree][at]
-            here = 2 * at + 1 + (gap > 0)
-            there = np.where((np.abs(gap) <= spill) & (nodes >= 0), 2 * at + 1 + (gap <= 0), -1)
-            both = np.concatenate((np.where(nodes >= 0, here, -1), there), axis=1)
-            # the nearest side of each place first; beyond PLACES the other sides are left to other trees
-            order = np.argsort(both < 0, axis=1, kind="stable")[:, :PLACES]
-            nodes = np.take_along_axis(both, order, axis=1)
-        return np.where(nodes >= 0, nodes - inner, -1)
+            gap = off[row, level] - self.cuts[tree][node]
+            twice = np.abs(gap) <= self.spill
+            here = 2 * node + 1 + (gap > 0)
+            there = 2 * node[twice] + 1 + (gap[twice] <= 0)
+            row, node = np.concatenate((row, row[twice])), np.concatenate((here, there))
+        return row, node - ((1 << self.depth) - 1)
+
+    def nodes(self, off: np.ndarray, tree: int) -> np.ndarray:
+        """The node each vector comes to without spill, below the last level."""
+        node = np.zeros(len(off), dtype=np.int64)
+        for level in range(self.depth):
+            node = 2 * node + 1 + (off[:, level] > self.cuts[tree][node])
+        return node
 
 
-def best_cut(off: np.ndarray, spill: float) -> float:
-    """Where to cut sorted projections so that the sides, spill included, hold the fewest pairs; infinite if no cut saves any."""
-    tried = np.quantile(off, CUTS)
-    low = np.searchsorted(off, tried + spill, "right") / len(off)
-    high = 1 - np.searchsorted(off, tried - spill) / len(off)
+def _best(low: np.ndarray, high: np.ndarray, tried: np.ndarray) -> float:
+    """The cut whose sides, which hold shares ``low`` and ``high``, make the fewest pairs; infinite if no cut saves any."""
     pairs = low**2 + high**2
     best = int(np.argmin(pairs))
     return float(tried[best]) if pairs[best] < 1 else np.inf
 
 
-def fit(units: np.ndarray, total: int) -> Forest:
-    """Trees for ``total`` vectors from a sample of unit vectors; no deeper than the sample can tell quantiles."""
-    rng = np.random.default_rng(SEED)
+def best_cut(off: np.ndarray, spill: float) -> float:
+    """Where to cut sorted projections."""
+    tried = np.quantile(off, CUTS)
+    return _best(np.searchsorted(off, tried + spill, "right") / len(off), 1 - np.searchsorted(off, tried - spill) / len(off), tried)
+
+
+def best_bin(bins: np.ndarray, n: np.ndarray, spill: float) -> float:
+    """Where to cut a histogram of projections (numbers of ``BINS``), in their units; projections count as the middle of their bin."""
+    order = np.argsort(bins)
+    middle = np.concatenate((BINS[:1], (BINS[:-1] + BINS[1:]) / 2, BINS[-1:]))[bins[order]]
+    total = np.concatenate(([0], np.cumsum(n[order])))
+    share = total / total[-1]
+    tried = BINS[(BINS >= middle[np.searchsorted(share[1:], CUTS[0])]) & (BINS <= middle[np.searchsorted(share[1:], CUTS[-1])])]
+    if not len(tried):
+        return np.inf
+    return _best(share[np.searchsorted(middle, tried + spill, "right")], 1 - share[np.searchsorted(middle, tried - spill)], tried)
+
+
+def levels(total: int) -> int:
+    """How many levels a table of so many vectors asks for."""
     depth = 0
-    while total >> depth > LEAF and len(units) >> depth > 16:
+    while total >> depth > LEAF and 1 << depth < MOST_LEAVES:
         depth += 1
-    size = units.shape[1]
-    directions = rng.standard_normal((TREES, depth, size))
-    directions /= np.linalg.norm(directions, axis=2, keepdims=True)
-    cuts = np.full((TREES, max(1, (1 << depth) - 1)), np.inf)
+    return depth
+
+
+def _directions(size: int, depth: int) -> np.ndarray:
+    found = np.random.default_rng(SEED).standard_normal((depth, TREES, size)).swapaxes(0, 1)  # the first levels do not depend on the depth
+    return found / np.linalg.norm(found, axis=2, keepdims=True)
+
+
+def fit(units: np.ndarray, total: int) -> Forest:
+    """Trees for ``total`` vectors from a sample of unit vectors; no deeper than the sample can tell quantiles."""
+    depth, size = levels(total), units.shape[1]
+    spill = margin(depth, size)
+    while depth and len(units) >> depth <= 8:
+        depth -= 1
+    trees = Forest(_directions(size, depth), np.full((TREES, max(1, (1 << depth) - 1)), np.inf), spill)
     for tree in range(TREES):
-        off = units @ directions[tree].T
+        off = units @ trees.directions[tree].T
         node = np.zeros(len(units), dtype=np.int64)
         for level in range(depth):
             for own in range((1 << level) - 1, (1 << (level + 1)) - 1):
                 inside = np.sort(off[node == own, level])
                 if len(inside) > 16 and len(inside) * total > LEAF * len(units):
-                    cuts[tree, own] = best_cut(inside, SPILL / np.sqrt(size))
-            node = 2 * node + 1 + (off[:, level] > cuts[tree, node])
-    return Forest(directions, cuts)
+                    trees.cuts[tree, own] = best_cut(inside, spill)
+            node = 2 * node + 1 + (off[:, level] > trees.cuts[tree, node])
+    return trees
+
+
+def deepen(trees: Forest, vectors: DataFrame, size: int, total: int) -> Forest:
+    """The levels that the driver's sample was too small for: one job each, over a sample of ``vectors`` (vec, embedding)."""
+    spark = vectors.sparkSession
+    for depth in range(trees.depth, levels(total)):
+        share = min(1.0, (NODE_SAMPLE << depth) / total)
+        below = Forest(_directions(size, depth + 1), trees.cuts, trees.spill)
+        shared = spark.sparkContext.broadcast((trees, below))
+
+        def histograms(batches: Iterator[pa.RecordBatch], depth: int = depth, shared=shared) -> Iterator[pa.RecordBatch]:
+            known, wider = shared.value
+            for batch in batches:
+                units = _unit(_matrix(batch.column(0), size))
+                for tree in range(TREES):
+                    off = units @ wider.directions[tree].T
+                    bins = np.searchsorted(BINS, off[:, depth] * np.sqrt(size))
+                    code, n = np.unique((tree << 40) + (known.nodes(off, tree) << 8) + bins, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
+
+        def cut(batches: Iterator[pa.RecordBatch], share: float = share, spill: float = trees.spill * np.sqrt(size)) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = []
+                for code, bins, n in zip(*(batch.column(at).to_pylist() for at in range(3)), strict=True):
+                    n = np.array(n)
+                    big = n.sum() > 16 and n.sum() > LEAF * share
+                    found.append((code, best_bin(np.array(bins), n, spill) / np.sqrt(size) if big else np.inf))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found, strict=True)], ["node", "cut"])
+
+        chance = F.shiftrightunsigned(F.xxhash64("vec", F.lit(depth)), 32) / F.lit(float(1 << 32))
+        sample = vectors.filter((F.size("embedding") == size) & (chance < share)).select("embedding")
+        counted = sample.mapInArrow(histograms, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+        by_node = counted.groupBy(F.shiftright("code", 8).alias("node")).agg(F.collect_list(F.struct((F.col("code") % 256).alias("b"), "n")).alias("h"))
+        found = by_node.select("node", "h.b", "h.n").mapInArrow(cut, "node bigint, cut double").toArrow()  # one row per node of this level
+        cuts = np.full((TREES, (1 << (depth + 1)) - 1), np.inf)
+        cuts[:, : trees.cuts.shape[1] if depth else 0] = trees.cuts[:, : (1 << depth) - 1]
+        code = found["node"].to_numpy()
+        cuts[code >> 32, code & 0xFFFFFFFF] = found["cut"].to_numpy()
+        trees = Forest(below.directions, cuts, trees.spill)
+    return trees
 
 
 def usable(vector: Column) -> Column:
@@ -128,7 +209,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-CELL_SCHEMA = "cell bigint, low bigint, down int, across int, vec bigint, many bigint, vector binary, places binary"
+CELL_SCHEMA = "cell bigint, low bigint, down int, across int, vec bigint, many bigint, vector binary"
 
 
 def _file(batches: Iterator[pa.RecordBatch], forests: dict[int, Forest], kind: str, blocks: dict[int, int]) -> Iterator[pa.RecordBatch]:
@@ -139,12 +220,10 @@ def _file(batches: Iterator[pa.RecordBatch], forests: dict[int, Forest], kind: s
         many = batch.column(1).to_numpy(zero_copy_only=False)
         rows = _matrix(batch.column(2), size)
         units = _unit(rows)
-        places = np.stack([trees.leaves(units, tree) for tree in range(TREES)], axis=1)  # vectors x trees x PLACES
         row_bytes = np.array([x.tobytes() for x in rows.astype(kind)], dtype=object)  # as wide as the column is
-        place_bytes = np.array([x.astype(np.int32).tobytes() for x in places], dtype=object)
         for tree in range(TREES):
-            row, column = np.nonzero(places[:, tree] >= 0)
-            leaf = trees.base + (tree << trees.depth) + places[row, tree, column]
+            row, leaf = trees.leaves(units, tree)
+            leaf = trees.base + (tree << trees.depth) + leaf
             n = np.fromiter((blocks.get(x, 1) for x in leaf.tolist()), dtype=np.int64, count=len(leaf))
             own = (vec[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % n
             which = np.repeat(np.arange(len(row)), n)  # block b meets every block: cells (min, max)
@@ -154,45 +233,35 @@ def _file(batches: Iterator[pa.RecordBatch], forests: dict[int, Forest], kind: s
             at = row[which]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(leaf[which]), pa.array(low * (1 << 20) + high), pa.array(mine, pa.int32()), pa.array(other, pa.int32()),
-                 pa.array(vec[at]), pa.array(many[at]), pa.array(row_bytes[at], pa.binary()), pa.array(place_bytes[at], pa.binary())],
-                ["cell", "low", "down", "across", "vec", "many", "vector", "places"],
+                 pa.array(vec[at]), pa.array(many[at]), pa.array(row_bytes[at], pa.binary())],
+                ["cell", "low", "down", "across", "vec", "many", "vector"],
             )
 
 
-def _first_meeting(left: np.ndarray, right: np.ndarray, tree: int, leaf: int) -> np.ndarray:
-    """For pairs of leaf lists (pairs x trees x PLACES): whether no earlier tree or leaf has both."""
-    first = np.ones(len(left), dtype=bool)
-    for earlier in range(tree + 1):
-        a, b = left[:, earlier], right[:, earlier]
-        shared = (a[:, :, None] == b[:, None, :]) & (a[:, :, None] >= 0)
-        if earlier == tree:
-            shared &= a[:, :, None] < leaf
-        first &= ~shared.any(axis=(1, 2))
-    return first
-
-
-def _met(left: np.ndarray, right: np.ndarray, tree: int, leaf: int) -> np.ndarray:
-    """For all pairs of two sides (each vectors x trees x PLACES): whether an earlier tree or leaf has both."""
-    met = np.zeros((len(left), len(right)), dtype=bool)
-    for earlier in range(tree + 1):
-        most = leaf if earlier == tree else np.iinfo(np.int32).max
-        for a in left[:, earlier].T:
-            a = np.where((a >= 0) & (a < most), a, -2)
-            if (a >= 0).any():
-                for b in right[:, earlier].T:
-                    if (b >= 0).any():
-                        met |= a[:, None] == b[None, :]
-    return met
+def _earlier(trees: Forest, units: np.ndarray, tree: int, leaf: int) -> np.ndarray:
+    """In which leaves before this one each vector is: a bit for each such leaf that several of these vectors are in."""
+    parts = [np.zeros((len(units), 0), dtype=bool)]
+    for before in range(tree + 1):
+        row, at = trees.leaves(units, before)
+        if before == tree:
+            row, at = row[at < leaf], at[at < leaf]
+        _, column, n = np.unique(at, return_inverse=True, return_counts=True)
+        place = np.cumsum(n > 1) - 1
+        several = n[column] > 1
+        bits = np.zeros((len(units), int((n > 1).sum())), dtype=bool)
+        bits[row[several], place[column[several]]] = True
+        parts.append(bits)
+    return np.concatenate(parts, axis=1)
 
 
 def _compare(rows: list[np.ndarray], forests: dict[int, Forest], kind: str, threshold: float) -> tuple[np.ndarray, ...]:
     """One grid cell: links per vector, and a spanning forest of its links."""
-    cell, _, down, across, vec, many, vectors, places = rows
+    cell, _, down, across, vec, many, vectors = rows
     size = len(vectors[0]) // np.dtype(kind).itemsize
     depth, at = forests[size].depth, int(cell[0]) - forests[size].base
     tree, leaf = at >> depth, at & ((1 << depth) - 1)
     units = _unit(np.frombuffer(b"".join(vectors), dtype=kind).reshape(len(vec), size).astype(np.float64))
-    filed = np.frombuffer(b"".join(places), dtype=np.int32).reshape(len(vec), TREES, PLACES)
+    bits: np.ndarray | None = None
     # a cell off the diagonal of the grid compares its two blocks with each other, one on it the block with itself
     first = np.flatnonzero(down <= across)
     second = np.flatnonzero(down >= across)
@@ -201,9 +270,14 @@ def _compare(rows: list[np.ndarray], forests: dict[int, Forest], kind: str, thre
     for start in range(0, len(first), BLOCK):
         own = first[start: start + BLOCK]
         near = units[own] @ units[second].T >= threshold
+        if not near.any():
+            continue
+        if bits is None:  # the leaves before this one are only looked up where something links
+            bits = _earlier(forests[size], units, tree, leaf)
+            packed = np.packbits(bits, axis=1)
         crowded = np.count_nonzero(near) > DENSE * near.size
         if crowded:  # where most pairs link, looking up all of them at once is cheaper than one by one
-            near &= ~_met(filed[own], filed[second], tree, leaf)
+            near &= bits[own].astype(np.float32) @ bits[second].astype(np.float32).T < 0.5
         a, b = np.nonzero(near)
         a, b = own[a], second[b]
         if down[0] == across[0]:
@@ -211,7 +285,7 @@ def _compare(rows: list[np.ndarray], forests: dict[int, Forest], kind: str, thre
         for at in range(0, len(a), 100_000):
             x, y = a[at: at + 100_000], b[at: at + 100_000]
             if not crowded:
-                new = _first_meeting(filed[x], filed[y], tree, leaf)
+                new = ~(packed[x] & packed[y]).any(axis=1)
                 x, y = x[new], y[new]
             counts += np.bincount(x, weights=many[y], minlength=len(vec)).astype(np.int64)
             counts += np.bincount(y, weights=many[x], minlength=len(vec)).astype(np.int64)
@@ -251,10 +325,10 @@ def near_duplicates(
     forests, leaves = {}, 0
     for size, total in totals.items():
         units = _unit(_matrix(found[size].column(0), size)) if size in found else np.zeros((0, size))
-        forests[size] = fit(units, total)
+        forests[size] = deepen(fit(units, total), distinct, size, total)
         forests[size].base = leaves
         leaves += TREES << forests[size].depth
-    shared = spark.sparkContext.broadcast(forests)  # TREES x 2^depth cuts a length, bounded by the sample
+    shared = spark.sparkContext.broadcast(forests)  # TREES x 2^depth cuts a length, at most TREES * MOST_LEAVES
     narrow = distinct.select("vec", "many", "embedding")
 
     def sizes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,13 +336,12 @@ def near_duplicates(
         for size, batch in (part for whole in batches for part in _by_size(whole)):
             own_units, trees = _unit(_matrix(batch.column(2), size)), shared.value[size]
             for tree in range(TREES):
-                places = trees.leaves(own_units, tree)
-                held += np.bincount(trees.base + (tree << trees.depth) + places[places >= 0], minlength=len(held))
+                held += np.bincount(trees.base + (tree << trees.depth) + trees.leaves(own_units, tree)[1], minlength=len(held))
         used = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["cell", "n"])
 
     filled = narrow.mapInArrow(sizes_of, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    full = filled.filter(F.col("n") > 2 * BLOCK).collect()  # leaves, whose number the sample bounds
+    full = filled.filter(F.col("n") > 2 * BLOCK).collect()  # leaves, whose number is bounded
     blocks = spark.sparkContext.broadcast({row["cell"]: -(-row["n"] // BLOCK) for row in full})
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,7 +362,7 @@ def near_duplicates(
             )
 
         for batch in batches:
-            new = [batch.column(at).to_numpy(zero_copy_only=False) for at in range(8)]
+            new = [batch.column(at).to_numpy(zero_copy_only=False) for at in range(7)]
             rows_ = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
             if not len(rows_[0]):
                 continue

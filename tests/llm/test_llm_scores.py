@@ -311,6 +311,39 @@ def test_a_crowd_of_near_copies_keeps_its_links(spark):
     assert (got["component_id"].to_numpy() == root).all()
 
 
+@pytest.mark.parametrize("size", [64, 256])
+def test_further_levels_are_fitted_in_tasks(spark, monkeypatch, size):
+    """A driver sample of some hundred vectors tells 5 levels; the others come from histograms, and find as much."""
+    monkeypatch.setattr(vectors, "SAMPLE", 600)
+    monkeypatch.setattr(vectors, "LEAF", 60)
+    found = planted(6000, size, crowd=6)
+    links, root = true_links(found)
+    rows = spark.createDataFrame(pa.table({"vec_id": np.arange(len(found)), "embedding": pa.array(list(found), pa.list_(pa.float32()))}))
+    assert vectors.levels(6000) == 7
+    got = vectors.near_duplicates(rows).toPandas().sort_values("id")
+    assert (got["n_links"].to_numpy() <= links).all()
+    assert got["n_links"].sum() >= 0.995 * links.sum()
+    assert (got["component_id"].to_numpy() == root).mean() >= 0.98
+
+
+def test_a_vector_near_every_cut_is_filed_on_all_sides():
+    trees = vectors.Forest(np.ones((vectors.TREES, 6, 1)), np.zeros((vectors.TREES, 63)), 0.1)
+    row, leaf = trees.leaves(np.array([[0.05], [1.0], [-1.0]]), 0)
+    assert sorted(leaf[row == 0].tolist()) == list(range(64)) and leaf[row == 1].tolist() == [63] and leaf[row == 2].tolist() == [0]
+
+
+def test_cuts_of_histograms_are_those_of_sorted_projections():
+    rng = np.random.default_rng(2)
+    for off in (rng.standard_normal(4000), np.concatenate((rng.normal(0.5, 0.05, 3000), rng.standard_normal(1000))), np.full(100, 0.3)):
+        bins, n = np.unique(np.searchsorted(vectors.BINS, off), return_counts=True)
+        one, other = vectors.best_cut(np.sort(off), 0.2), vectors.best_bin(bins, n, 0.2)
+        if np.isinf(one):
+            assert np.isinf(other)
+            continue
+        pairs = [(off <= cut + 0.2).mean() ** 2 + (off >= cut - 0.2).mean() ** 2 for cut in (one, other)]
+        assert pairs[1] <= pairs[0] + 0.05
+
+
 def test_every_vector_length_has_links(spark):
     rng = np.random.default_rng(5)
     found = [list(map(float, np.float32(c + rng.normal(0, 0.1, size)))) for size in (8, 5, 3) for c in rng.standard_normal((4, size)) for _ in range(size)]
