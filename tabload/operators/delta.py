@@ -196,6 +196,14 @@ def run_summary(classified: DataFrame, spec: DeltaSpec, table: str) -> DataFrame
     )
 
 
+OPS = ("insert", "update", "same", "stale")
+
+
+def op_metrics(label: str) -> dict[str, Column]:
+    """Rows per operation as aggregates that can be observed while the rows are written."""
+    return {op: F.count_if(F.col(label) == op) for op in OPS}
+
+
 def split_orphans(
     child: DataFrame, parent: DataFrame, links: dict[str, str], few_rows: bool = False,
 ) -> tuple[DataFrame, DataFrame]:

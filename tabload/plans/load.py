@@ -96,14 +96,14 @@ def landed_kinds(run: Run, files: DataFrame, pending: DataFrame) -> dict[str, Da
     frames = {}
     for kind, rows in read_kinds(wanted, job.multi_line, job.encoding, run.rejected).items():
         # Parsed once; a line is either rejected or goes on, so both add up to the lines landed.
-        tagged = run.stage(rows.withColumn("_folder", folder_of(F.col(PATH_COLUMN))).join(tags, "_folder", "left"), f"landed/{kind}")
+        placed = rows.withColumn("_folder", folder_of(F.col(PATH_COLUMN))).join(tags, "_folder", "left")
+        tagged, found = run.stage_counted(placed, f"landed/{kind}", landed=F.count(F.lit(1)), short=F.count(SHORT_COLUMN))
         known, good = F.col("intent").isNotNull(), F.col(MALFORMED_COLUMN).isNull()
         run.reject(tagged.filter(~good), kind, "line has too many cells")
         run.reject(tagged.filter(good & ~known), kind, "line is of no listed submission")
-        found = tagged.agg(F.count(F.lit(1)).alias("landed"), F.count(SHORT_COLUMN).alias("short")).first()
-        run.note(kind, "landed", found.landed)
-        if found.short:
-            run.note(kind, "short line, missing cells read as NULL", found.short)
+        run.note(kind, "landed", found["landed"])
+        if found["short"]:
+            run.note(kind, "short line, missing cells read as NULL", found["short"])
         cleaned = clean_landed(
             tagged.filter(good & known).drop("_folder", PATH_COLUMN, MALFORMED_COLUMN, SHORT_COLUMN),
             job.clean_spec, job.excluded_ids, job.excluded_ages, pieces,
@@ -171,6 +171,7 @@ def load_bundle(run: Run, bundle: dict[str, DataFrame], rejects: DataFrame | Non
         run.note("run", "absent", 0)
     frames = {}
     for kind, rows in bundle.items():
-        frames[kind] = run.stage(rows.withColumnsRenamed({"Target_Organism": "Assay_Target_Organism"}), f"kinds/{kind}")
-        run.note(kind, "landed", frames[kind].count())
+        renamed = rows.withColumnsRenamed({"Target_Organism": "Assay_Target_Organism"})
+        frames[kind], found = run.stage_counted(renamed, f"kinds/{kind}", landed=F.count(F.lit(1)))
+        run.note(kind, "landed", found["landed"])
     load_tables(run, frames)

@@ -10,7 +10,7 @@ import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabload import config
 from tabload.config import CastSpec, DeltaSpec
@@ -96,9 +96,7 @@ class Run:
 
     def put(self, table: str, rows: DataFrame, keys: list[str], rest: dict[int, str]) -> int:
         """Stage the next rows of the touched buckets; their number."""
-        written = self.job.store.stage_buckets(rows, self.folder, table, keys)
-        part = self.job.store.open(list(written.values()), rows.schema)
-        counts = {row[0]: row[1] for row in part.groupBy(bucket_of(keys).alias("at")).count().collect()}
+        written, counts = self.job.store.stage_buckets_counted(rows, self.folder, table, keys)
         self.staged[table] = self.job.store.open([*rest.values(), *written.values()], rows.schema)
         self.counts[table] = counts
         return sum(counts.values())
@@ -106,6 +104,10 @@ class Run:
     def stage(self, rows: DataFrame, part: str) -> DataFrame:
         return self.job.store.stage(rows, self.folder, part)
 
+    def stage_counted(self, rows: DataFrame, part: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+        """``stage`` with aggregates of the rows, gathered while they are written."""
+        return self.job.store.stage_counted(rows, self.folder, part, **metrics)
+
     def note(self, table: str, op: str, count: int, error: str | None = None) -> None:
         self.log.append((self.run_id, table, op, count, error))
 
@@ -430,7 +432,7 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
     auto = job.catalog.auto_column(table)
     if not key and auto:
         fresh = links.assign_surrogates(incoming, run.current(table), incoming.columns, auto)
-        changes = run.stage(fresh.withColumn("op", F.lit("insert")), f"changes/{table}")
+        changes, counts = run.stage_counted(fresh.withColumn("op", F.lit("insert")), f"changes/{table}", **delta.op_metrics("op"))
         spec = DeltaSpec(keys=(auto,), null_keys=False)
         current, rest = run.touched(table, changes, [auto])
     else:
@@ -440,10 +442,10 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
         labelled = delta.classify(incoming, current, spec, joins.fits_broadcast(incoming.select(*key)))
         is_new = F.col("op") == "insert"
         kept = reshape.union_all([labelled.filter(~is_new), insert_rules(job, table, labelled.filter(is_new))])
-        changes = run.stage(kept, f"changes/{table}")
-    counts = {r.op: r.n_rows for r in delta.run_summary(changes, spec, table).collect()}
+        changes, counts = run.stage_counted(kept, f"changes/{table}", **delta.op_metrics(spec.label))
     for op, count in sorted(counts.items()):
-        run.note(table, op, count)
+        if count:
+            run.note(table, op, count)
     if not counts.get("insert", 0) + counts.get("update", 0):
         return
     few = bool(counts.get("update")) and joins.fits_broadcast(delta.updates(changes, spec))
@@ -533,8 +535,8 @@ def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
         items.select("Biospecimen_ID", *[c for c in on if c != "Biospecimen_ID"]), base, on,
         ["Biospecimen_ID", index], stored, run.current("Biospecimen"), "Biospecimen_ID",
     )
-    changes = run.stage(pairs.withColumn("op", F.lit("insert")), f"changes/{table}")
-    count = changes.count()
+    changes, found = run.stage_counted(pairs.withColumn("op", F.lit("insert")), f"changes/{table}", rows=F.count(F.lit(1)))
+    count = found["rows"]
     run.note(table, "insert", count)
     if count:
         spec = DeltaSpec(keys=("Biospecimen_ID", index), null_keys=False)

@@ -4,12 +4,15 @@ The snapshot holds the orders whose priority is known, so all orders without a s
 come in new; orders of status F come in with a changed price.
 """
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabload.config import DeltaSpec
+from tabload.config import CastSpec, DeltaSpec
 from tabload.operators import cast, clean, dedup, delta, links
-from tabload.config import CastSpec
 from tabload.queries import query, table
+from tabload.session import shared_dir
+from tabload.sinks.publish import SnapshotStore
 
 SPEC = DeltaSpec(keys=("o_orderkey",))
 
@@ -109,6 +112,18 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
     return delta.run_summary(classified(spark, folder), SPEC, "orders")
 
 
+@query("run_summary_observed", f"""
+    with {_INPUT_SQL}
+    select 'orders' as table_name, op, count(*) as n_rows, (select count(*) from classified) as written from classified group by op""")
+def run_summary_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same counts, gathered while the classified rows are written to a run's folder."""
+    store = SnapshotStore(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+    staged, counts = store.stage_counted(classified(spark, folder), "run", "changes/orders", **delta.op_metrics(SPEC.label))
+    rows = [("orders", op, n) for op, n in counts.items() if n]
+    summary = spark.createDataFrame(rows, "table_name string, op string, n_rows bigint")
+    return summary.withColumn("written", staged.agg(F.count(F.lit(1)).alias("written")).scalar())
+
+
 @query("orphan_check", """
     select l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem
     where not exists (select 1 from orders where o_orderkey = l_orderkey and o_orderpriority <> '4-NOT SPECIFIED')""")

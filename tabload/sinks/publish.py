@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampType
 from pyspark.errors import AnalysisException
 
@@ -146,13 +146,30 @@ class SnapshotStore:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def stage_counted(self, rows: DataFrame, folder: str, part: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+        """``stage``, and aggregates of the rows gathered while they are written, so that no second job reads them.
+
+        The metrics are taken in the tasks that write, whose results count once, also if a task is run again.
+        """
+        told = Observation()
+        staged = self.stage(rows.observe(told, *[metric.alias(name) for name, metric in metrics.items()]), folder, part)
+        return staged, told.get
+
     def stage_buckets(self, rows: DataFrame, folder: str, table: str, keys: list[str]) -> dict[int, str]:
         """Write rows to the run's folder by bucket; the folder of each bucket that has rows."""
+        return self.stage_buckets_counted(rows, folder, table, keys)[0]
+
+    def stage_buckets_counted(self, rows: DataFrame, folder: str, table: str, keys: list[str]) -> tuple[dict[int, str], dict[int, int]]:
+        """``stage_buckets`` and the rows of each written bucket, counted while they are written."""
         path = self.staging(folder, f"tables/{table}")
-        placed = rows.withColumn(BUCKET_COLUMN, bucket_of(keys))
-        placed.repartition(BUCKET_COLUMN).write.mode("overwrite").partitionBy(BUCKET_COLUMN).parquet(path)
-        found = self.spark.read.parquet(path).select(BUCKET_COLUMN).distinct().collect()
-        return {row[0]: f"{path}/{BUCKET_COLUMN}={row[0]}" for row in found}
+        told = Observation()
+        at = F.col(BUCKET_COLUMN)
+        placed = rows.withColumn(BUCKET_COLUMN, bucket_of(keys)).repartition(BUCKET_COLUMN)
+        counted = placed.observe(told, *[F.count_if(at == bucket).alias(f"b{bucket}") for bucket in range(BUCKETS)])
+        counted.write.mode("overwrite").partitionBy(BUCKET_COLUMN).parquet(path)
+        counts = {bucket: told.get[f"b{bucket}"] for bucket in range(BUCKETS)}
+        written = {bucket: n for bucket, n in counts.items() if n}
+        return {bucket: f"{path}/{BUCKET_COLUMN}={bucket}" for bucket in written}, written
 
     def reserve(self, name: str, holder: str) -> str:
         """Write a name's holder unless it has one; the holder it has then.

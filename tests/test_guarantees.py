@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from landing import land
@@ -257,3 +258,36 @@ def test_references_of_a_database_view(spark):
                                     "TABLE_NAME string, COLUMN_NAME string, COLUMN_TYPE string, COLUMN_KEY string, EXTRA string")
     found = Catalog.load(from_information_schema(columns, usage), foreign_keys(usage)).foreign_keys("T")
     assert [(key.columns, key.parent, key.parent_columns) for key in found] == [(("a", "b"), "P", ("x", "y")), (("a",), "Q", ("k",))]
+
+
+def test_counts_are_taken_while_rows_are_written(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    spark.sparkContext.setJobGroup("counted", "counts")
+    try:
+        rows_ = spark.range(1000).selectExpr("id as k", "cast(id as string) as v")
+        _, found = store.stage_counted(rows_, "run", "part", n=F.count(F.lit(1)), low=F.min("k"))
+        assert found == {"n": 1000, "low": 0} and jobs() == 1
+        paths, counts = store.stage_buckets_counted(rows_, "run", "t", ["k"])
+        assert sum(counts.values()) == 1000 and sorted(paths) == sorted(counts)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert all(store.open([path], rows_.schema).count() == counts[at] for at, path in list(paths.items())[:5])
+
+
+def test_an_unreadable_cell_keeps_what_is_stored(spark, tmp_path):
+    first = land(tmp_path / "one", "Site_99", "13-05-09-02-28-2021", "submission_001_a.zip", "Create", {
+        "baseline.csv": [["Research_Participant_ID", "Age", "Cohort", "BMI", "Obesity"], ["99_000001", "45", "HIV", "24", ""], ["99_000002", "x", "HIV", "24", ""]],
+    })
+    assert first
+    job = make_job(spark, tmp_path, SMALL)
+    assert load(job, tmp_path / "one", "day-1").published
+    land(tmp_path / "two", "Site_99", "2021-03-01-10-00-00", "submission_002_b.zip", "Update", {
+        "baseline.csv": [["Research_Participant_ID", "Age", "Cohort", "BMI", "Obesity"], ["99_000001", "fortysix", "HIV", "", ""], ["99_000002", "51", "HIV", "24", ""]],
+    })
+    result = load(job, tmp_path / "two", "day-2")
+    assert result.published
+    assert rows(read(job, "Participant"), "Research_Participant_ID", "Age") == [("99_000001", 45.0), ("99_000002", 51.0)]
+    assert rows(read(job, "Participant_Visit_Info"), "Research_Participant_ID", "BMI") == [("99_000001", None), ("99_000002", 24.0)]
+    told = [json.loads(r.record).get("_mixed") for r in result.rejects.collect() if r.reason == "cell does not fit its column type"]
+    assert {"Age": "fortysix"} in told
