@@ -535,8 +535,8 @@ def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
         items.select("Biospecimen_ID", *[c for c in on if c != "Biospecimen_ID"]), base, on,
         ["Biospecimen_ID", index], stored, run.current("Biospecimen"), "Biospecimen_ID",
     )
-    changes, found = run.stage_counted(pairs.withColumn("op", F.lit("insert")), f"changes/{table}", rows=F.count(F.lit(1)))
-    count = found["rows"]
+    changes, found = run.stage_counted(pairs.withColumn("op", F.lit("insert")), f"changes/{table}", n=F.count(F.lit(1)))
+    count = found["n"]
     run.note(table, "insert", count)
     if count:
         spec = DeltaSpec(keys=("Biospecimen_ID", index), null_keys=False)

@@ -29,5 +29,5 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 from tabload.queries import (  # noqa: E402,F401
-    cleaning, conversions, dedup, delta, joins, load_rules, references, rules, streams, submissions, versions,
+    cleaning, conversions, dedup, delta, joins, landed, load_rules, references, rules, streams, submissions, versions,
 )

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabload import config
 from tabload.functions import nulls, text
 from tabload.operators import clean
+from tabload.plans import tables
 from tabload.queries import query, table
 
 # Dirt is derived from the values of the whole tables, so the oracle can rebuild it.
@@ -284,10 +285,12 @@ def rename_columns(spark: SparkSession, folder: str) -> DataFrame:
            case when contains(event_type, 'signup') then 'Baseline' else 'Follow_up' end as "Type_Of_Visit"
     from events""")
 def derived_columns(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select("event_id", "event_type").withColumns({
-        "Data_Release_Version": F.lit(config.DATA_RELEASE),
-        "Type_Of_Visit": F.when(F.col("event_type").contains("signup"), "Baseline").otherwise("Follow_up"),
-    })
+    events = table(spark, folder, "events").select(
+        "event_id", "event_type", F.col("event_type").alias("Research_Participant_ID"), F.lit("2").alias("Visit_Number"),
+        F.when(F.col("event_type").contains("signup"), "Yes").otherwise("No").alias("Baseline_Visit"),
+    )
+    visits = tables.add_visit(events, "follow_up.csv").withColumn("Data_Release_Version", F.lit(config.DATA_RELEASE))
+    return visits.select("event_id", "event_type", "Data_Release_Version", "Type_Of_Visit")
 
 
 @query("drop_unnamed_columns", "select p_partkey, p_name from part")

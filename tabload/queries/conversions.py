@@ -6,6 +6,7 @@ from tabload import config
 from tabload.config import CastSpec
 from tabload.functions import dates, keys, numbers, text
 from tabload.operators import cast, clean
+from tabload.plans import tables
 from tabload.queries import query, table
 
 _EXACT = "decimal(30,10)"
@@ -327,6 +328,7 @@ def conform_to_schema(spark: SparkSession, folder: str) -> DataFrame:
 def volume_cleanup(spark: SparkSession, folder: str) -> DataFrame:
     said = F.when(F.col("l_returnflag") == "N", "N/A").otherwise(F.col("l_quantity").cast("string"))
     rows = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.regexp_replace(said, "N/A", "0").alias("volume")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", said.alias("Aliquot_Volume")
     )
-    return rows.withColumn("volume", numbers.lenient_number(F.col("volume")))
+    cleaned = tables.prepare_kind("aliquot.csv", rows.withColumn("Aliquot_ID", F.lit(None).cast("string"))).drop("Aliquot_ID")
+    return cleaned.withColumn("Aliquot_Volume", numbers.lenient_number(F.col("Aliquot_Volume"))).withColumnRenamed("Aliquot_Volume", "volume")

@@ -1,6 +1,6 @@
 """Reference data that comes without a submission: assays, study design, panels, maps.
 
-A workbook is landed as a folder of its name with one delimited file per sheet
+A workbook is landed as a folder of its name with one delimited file, or folder of part files, per sheet
 (``map.xlsx/Parents.csv``). Sheets of maps and assays keep their texts as they are; panel,
 confirmation and design files have their missing-value tokens normalised.
 
@@ -10,6 +10,8 @@ given as ``rejects``, they are added to it (columns source, reason, record).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
 from tabload import config
@@ -21,7 +23,8 @@ from tabload.sources.listing import comparable_path, latest_assay_files
 
 def sheets(files: DataFrame, workbook: str, sheet: str) -> DataFrame:
     """Listing of one sheet of the workbooks whose path contains ``workbook``."""
-    return files.filter(F.col("key").contains(workbook) & F.col("key").endswith(f".xlsx/{sheet}.csv"))
+    named = F.col("key").rlike(rf"\.xlsx/{re.escape(sheet)}\.csv(/[^/]+\.csv)?$")
+    return files.filter(F.col("key").contains(workbook) & named)
 
 
 Rejects = list[DataFrame] | None
