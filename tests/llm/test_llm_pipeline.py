@@ -18,6 +18,23 @@ from tabload.llm.queries import PIECE_MODEL  # noqa: E402
 from test_llm_text import slow_print  # noqa: E402
 
 
+def shingle_set(text):
+    words = [w.translate({c: c + 32 for c in range(65, 91)}) for w in cases.WORD.findall(text or "")]
+    return {tuple(words[at: at + 5]) for at in range(max(1, len(words) - 4))} if words else set()
+
+
+def edited_copies():
+    """Copies of one text with more and more edited words: near ones by their shingles, of which fingerprints link some and not others."""
+    rng, found = random.Random(8), []
+    words = cases.prose(4242, 120).split()
+    for edits in (0, 1, 2, 3, 5, 8, 12):
+        copy = list(words)
+        for place in rng.sample(range(len(words)), edits):
+            copy[place] = f"edit{rng.randrange(10**6)}"
+        found.append(" ".join(copy))
+    return found
+
+
 def slow_pipeline(spark, docs):
     """Rows of the last stage, each stage done row by row in plain Python."""
     model = language.train(docs)
@@ -25,8 +42,8 @@ def slow_pipeline(spark, docs):
     best, score = model.score([r["text"] or "" for r in rows])
     rows = [r for r, b, s in zip(rows, best, score) if b >= 0 and s >= corpus_pipeline.LEAST_SCORE]
 
-    prints = [slow_print(r["text"], 4) for r in rows]
-    root = cases.groups(prints, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4)
+    sets = [shingle_set(r["text"]) for r in rows]
+    root = cases.groups(sets, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
     first = {}
     for r, at in zip(rows, root):
         if r["doc_id"] is not None:
@@ -76,7 +93,11 @@ def slow_pipeline(spark, docs):
 @pytest.mark.parametrize("many", [False, True])
 def test_pipeline_equals_the_slow_version(spark, tmp_path, many):
     found = [cases.prose(at, 30 + at % 50) for at in range(150)] if many else []
-    docs = cases.documents(spark, cases.texts() + found)
+    copies = edited_copies()
+    prints, sets = [slow_print(x, 4) for x in copies], [shingle_set(x) for x in copies]
+    near = [len(sets[0] & x) >= 0.8 * len(sets[0] | x) for x in sets]
+    assert any(near) and not all(near) and near != [(prints[0] ^ x).bit_count() <= 4 for x in prints]
+    docs = cases.documents(spark, cases.texts() + copies + found)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()

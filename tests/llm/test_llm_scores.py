@@ -1,5 +1,6 @@
 """Mixing, classifiers, URL rules and embeddings."""
 
+import re
 import sys
 import zlib
 from pathlib import Path
@@ -120,6 +121,78 @@ def test_quality_of_held_out_documents(spark):
     assert min(np.mean([r["predicted"] == k for r in rows if r["quality"] == k]) for k in (0, 1)) > 0.9
 
 
+def slow_features(text):
+    """The features of a text, character by character."""
+    data, kind = text.encode(), []
+    for byte in data:
+        c = chr(byte) if byte < 128 else ""
+        kind.append("lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "line" if c == "\n"
+                    else "space" if c in set(" \t\x0b\x0c\r") else "stop" if c in set(".,;:'\"()-") else "loud" if c in set("!?")
+                    else "bar" if c == "|" else "symbol" if c and c.isprintable() else "other")
+    words, lines = data.split(), data.split(b"\n")
+    n = max(1, len(words))
+    loud = sum(a in ("loud", "bar", "symbol") and b in ("space", "line") for a, b in zip(kind, kind[1:]))
+    return [
+        *(kind.count(name) / max(1, len(data)) for name in quality._CLASSES), loud / n, sum(a == b for a, b in zip(words, words[1:])) / n,
+        len(set(words)) / n, (len(set(zip(words, words[1:]))) + 1) / n, len(set(lines)) / len(lines), np.log(1 + len(data)), np.log(1 + len(words)),
+        min(50.0, len(data) / n), np.log(1 + len(words) / len(lines)),
+    ]
+
+
+def test_quality_against_slow_features_and_pairs():
+    rng = np.random.default_rng(4)
+    texts = [cases.prose(at, 20 + at) for at in range(40)] + [f"{cases.prose(at, 15).upper()}!!! | x|y ? \n\n" * 2 for at in range(40)] + [
+        x[:3000] for x in cases.texts() if x] + ["", "a", "\x00é"]
+    slow = np.array([slow_features(x) for x in texts])
+    assert np.allclose(quality.describe([x.encode() for x in texts]), slow)
+    labels = np.array([1] * 40 + [0] * 40)
+    model = quality.fit(slow[:80], labels, 0.5)
+    x = [[min(8.0, max(-8.0, (v - c) / s)) for v, c, s in zip(row, model.centre, model.spread)] for row in slow]
+    strength = [sum(a * w for a, w in zip(row, model.weights)) for row in x]
+    want = [1 / (1 + np.exp(-min(60.0, max(-60.0, s - model.threshold)))) for s in strength]
+    assert np.allclose(model.scores([t.encode() for t in texts]), want)
+    # no step in any direction makes the pairs likelier: the penalised loss of all pairs of the two classes, drawn as the fit draws them
+    high, low = range(40), range(40, 80)
+    draw = np.random.default_rng(quality.SEED)
+    better = [*np.repeat(high, quality.PARTNERS), *draw.choice(high, quality.PARTNERS * 40)]
+    worse = [*draw.choice(low, quality.PARTNERS * 40), *np.repeat(low, quality.PARTNERS)]
+
+    def loss(weights):
+        ahead = np.array([np.dot(np.subtract(x[a], x[b]), weights) for a, b in zip(better, worse)])
+        return np.log1p(np.exp(-ahead)).mean() + quality.RIDGE / 2 * np.dot(weights, weights)
+
+    least = loss(model.weights)
+    for _ in range(20):
+        assert loss(model.weights + rng.normal(0, 0.05, len(model.weights))) > least
+    assert min(strength[:40]) > model.threshold > max(strength[40:80])
+
+
+def slow_toxicity(model, text):
+    """1 - product over sentences of 1 - p, sentence by sentence."""
+    clean_chance = 1.0
+    for sentence in re.split(r"[.!?\n]", text.lower()):
+        words = re.findall(r"[^\W_]+", sentence)
+        if words:
+            logit = model.bias + sum(model.weights[b] for word in words for b in toxicity.features_of(word))
+            clean_chance *= 1 - 1 / (1 + np.exp(-logit))
+    odds = max(1 - clean_chance, 1e-12) / clean_chance
+    return odds / np.exp(model.shift) / (1 + odds / np.exp(model.shift))
+
+
+def test_toxicity_against_a_slow_noisy_or():
+    rng = np.random.default_rng(6)
+    model = toxicity.Model(rng.normal(0, 0.3, toxicity.BUCKETS), -2.0, 0.7)
+    texts = ["", "one", "One two. THREE_four!? \n five", "...!", "é ü. 日本 語", *(f"{cases.prose(at, 12)}. {cases.prose(at + 50, 7)}!" for at in range(30))]
+    got = model.scores(toxicity.Tokens(), texts)
+    assert np.allclose(got, [slow_toxicity(model, x) for x in texts], atol=1e-9)
+    bad = [f"{cases.prose(at, 9)}. you vile{at % 5} wretch. {cases.prose(at + 300, 9)}" for at in range(120)]
+    good = [f"{cases.prose(at + 600, 9)}. {cases.prose(at + 900, 9)}. you there" for at in range(120)]
+    labels = np.array([1] * 120 + [0] * 120)
+    fitted = toxicity.fit(bad + good, labels, (120, 120))
+    scores = np.array([slow_toxicity(fitted, x) for x in bad + good])
+    assert ((scores >= 0.5) == (labels == 1)).mean() > 0.97
+
+
 def test_toxicity_of_held_out_documents(spark):
     from tabload.llm.queries import toxicity_scores
 
