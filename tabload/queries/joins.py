@@ -47,8 +47,8 @@ def left_enrich(spark: SparkSession, folder: str) -> DataFrame:
 @query("lookup_surrogate", """
     with container as (select brand, type, md5(coalesce(length(brand) || ':' || brand, '~')
                                                || length(type) || ':' || type) as container_id
-                       from (select distinct nullif(p_brand, 'Brand#1') as brand, p_type as type
-                             from part where p_size > 5))
+                       from (select nullif(p_brand, 'Brand#1') as brand, p_type as type
+                             from part group by all having max(p_size) > 5))
     select p_partkey, p.brand, p.type, container_id, container_id is not null as found
     from (select p_partkey, nullif(p_brand, 'Brand#1') as brand, p_type as type from part) p
     left join container c on p.brand is not distinct from c.brand and p.type = c.type""")
@@ -58,7 +58,7 @@ def lookup_surrogate(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select(
         "p_partkey", F.nullif("p_brand", F.lit("Brand#1")).alias("brand"), F.col("p_type").alias("type"), "p_size"
     )
-    containers = parts.filter("p_size > 5").select("brand", "type").distinct()
+    containers = parts.groupBy("brand", "type").agg(F.max("p_size").alias("largest")).filter("largest > 5").drop("largest")
     keyed = containers.withColumn("container_id", hash_key(F.col("brand"), F.col("type")))
     return joins.lookup(parts.drop("p_size"), keyed, ["brand", "type"], "found")
 
@@ -185,14 +185,12 @@ def crosstab(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("tagged_union_latest", """
-    select 'click' as antibody, 'P' || user_id as patient, event_id, value from events where event_type = 'click'
-    qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1
-    union all
-    select 'view', 'P' || user_id, event_id, value from events where event_type = 'view'
-    qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""")
+    select event_type as antibody, 'P' || user_id as patient, event_id, value from events where event_type is not null
+    qualify row_number() over (partition by event_type, user_id order by ts desc, event_id desc) = 1""")
 def tagged_union_latest(spark: SparkSession, folder: str) -> DataFrame:
     patient = F.concat(F.lit("P"), "user_id", F.when(F.col("value") > 10, " 9002").otherwise("")).alias("patient")
     events = table(spark, folder, "events").select("event_type", "ts", "event_id", "value", patient)
-    sheets = {kind: events.filter(F.col("event_type") == kind).drop("event_type") for kind in ("click", "view")}
+    kinds = sorted(row[0] for row in events.select("event_type").distinct().collect() if row[0] is not None)  # one sheet for each type
+    sheets = {kind: events.filter(F.col("event_type") == kind).drop("event_type") for kind in kinds}
     tagged = reshape.tagged_union_latest(sheets, "antibody", "patient", " 9002", ["ts", "event_id"])
     return tagged.select("antibody", "patient", "event_id", "value")

@@ -76,16 +76,17 @@ def submission_sequence(spark: SparkSession, folder: str) -> DataFrame:
            case when count(distinct target) = 1 then max(target) else 'None' end as "Foreign_Key_Table"
     from (select l_returnflag as table_name, 'column_' || l_linenumber as ordinal,
                  case when l_quantity >= 25 and l_linenumber < 6 then 'target_' || l_linestatus end as target
-          from lineitem where l_linenumber > 3 or l_linestatus = 'F')
+          from lineitem)
     group by table_name, ordinal""")
 def catalog_fk_summary(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").filter("l_linenumber > 3 or l_linestatus = 'F'")
+    lines = table(spark, folder, "lineitem")
     name = F.concat(F.lit("column_"), "l_linenumber").alias("Column_Name")
     columns = lines.select(F.col("l_returnflag").alias("Table_Name"), name).distinct()
-    usage = lines.filter("l_quantity >= 25 and l_linenumber < 6").select(
+    referring = (F.col("l_quantity") >= 25) & (F.col("l_linenumber") < 6)
+    usage = lines.select(
         F.col("l_returnflag").alias("Table_Name"), name,
-        F.concat(F.lit("target_"), "l_linestatus").alias("Foreign_Key_Table"), F.lit("id").alias("Foreign_Key_Column"),
-    )
+        F.when(referring, F.concat(F.lit("target_"), "l_linestatus")).alias("Foreign_Key_Table"), F.lit("id").alias("Foreign_Key_Column"),
+    ).filter(F.col("Foreign_Key_Table").isNotNull())
     summary = catalog_source.foreign_key_summary(columns, usage)
     return summary.select("Table_Name", "Column_Name", "Foreign_Key_Count", "Foreign_Key_Table")
 
