@@ -72,6 +72,7 @@ class Run:
         self.counts: dict[str, int | dict[int, int]] = {}
         self.log: list[tuple[str, str, str, int, str | None]] = []
         self.rejected: list[DataFrame] = []
+        self.bucket_digests: dict[str, dict[int, str]] = {}
 
     def current(self, table: str) -> DataFrame:
         """The table as this run left it, else as it was published."""
@@ -81,23 +82,45 @@ class Run:
             self.staged[table] = self.job.store.open(list(head.paths.values()) if head else None, schema)
         return self.staged[table]
 
-    def touched(self, table: str, incoming: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[int, str]]:
-        """The published rows of the buckets that incoming keys fall in, and the folders of the other buckets.
+    def compared(self, table: str) -> list[str]:
+        """The columns of a table that tell whether a row has changed, and its key."""
+        return sorted(c for c in self.job.catalog.schema(table).fieldNames() if c not in config.UNCOMPARED_COLUMNS)
 
-        A table that was published whole counts as touched whole.
+    def digests(self, table: str, rows: DataFrame, keys: list[str]) -> dict[int, tuple[int, str]]:
+        """Rows and digest of each bucket, in the types of the table."""
+        types = self.job.catalog.schema(table)
+        columns = self.compared(table)
+        typed = rows.select(*[F.col(f"`{c}`").cast(types[c].dataType).alias(c) for c in columns])
+        return {row.bucket: (row.n_rows, row.digest) for row in delta.bucket_digests(typed, bucket_of(keys), columns).collect()}  # at most BUCKETS
+
+    def touched(self, table: str, incoming: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[int, str], DataFrame, int]:
+        """The published rows of the buckets that incoming keys fall in, the folders of the other buckets, the incoming rows that are
+        left to be compared, and how many are known to be the same.
+
+        A bucket that comes in with the digest it was published with holds the same rows; it counts as not touched. A table that was
+        published whole counts as touched whole.
         """
         schema = self.job.catalog.schema(table)
         head = self.heads.get(table)
         if head is None or not head.bucketed:
-            return self.current(table), {}
-        hit = {row[0] for row in incoming.select(bucket_of(keys)).distinct().collect()}  # at most BUCKETS
+            return self.current(table), {}, incoming, 0
+        if set(self.compared(table)) | set(keys) <= set(incoming.columns):
+            found = self.digests(table, incoming, keys)
+            equal = {at: n for at, (n, digest) in found.items() if head.digests.get(at) == digest}
+            hit = set(found) - set(equal)
+        else:
+            hit, equal = {row[0] for row in incoming.select(bucket_of(keys)).distinct().collect()}, {}  # at most BUCKETS
+        left = incoming.filter(~bucket_of(keys).isin(*equal)) if equal else incoming
         paths = [path for at, path in head.paths.items() if at in hit]
-        return self.job.store.open(paths, schema), {at: path for at, path in head.paths.items() if at not in hit}
+        return self.job.store.open(paths, schema), {at: path for at, path in head.paths.items() if at not in hit}, left, sum(equal.values())
 
     def put(self, table: str, rows: DataFrame, keys: list[str], rest: dict[int, str]) -> int:
         """Stage the next rows of the touched buckets; their number."""
         written, counts = self.job.store.stage_buckets_counted(rows, self.folder, table, keys)
         self.staged[table] = self.job.store.open([*rest.values(), *written.values()], rows.schema)
+        if written and set(self.compared(table)) <= set(rows.columns):
+            part = self.job.store.open(list(written.values()), rows.schema)
+            self.bucket_digests[table] = {at: digest for at, (_, digest) in self.digests(table, part, keys).items()}
         self.counts[table] = counts
         return sum(counts.values())
 
@@ -131,7 +154,7 @@ class Run:
         ok = not self.failed()
         if ok and self.counts:
             try:
-                self.job.store.publish(self.run_id, self.counts, self.heads, self.folder)
+                self.job.store.publish(self.run_id, self.counts, self.heads, self.folder, self.bucket_digests)
             except StaleRun as error:
                 self.note("manifest", "error", 0, str(error))
                 ok = False
@@ -429,20 +452,21 @@ def load_table(run: Run, table: str, frames: dict[str, DataFrame]) -> None:
         return
     incoming = run.stage(keep_stored(run, table, rows, key), f"incoming/{table}")
     incoming = drop_orphans(run, table, incoming)
-    auto = job.catalog.auto_column(table)
+    auto, same = job.catalog.auto_column(table), 0
     if not key and auto:
         fresh = links.assign_surrogates(incoming, run.current(table), incoming.columns, auto)
         changes, counts = run.stage_counted(fresh.withColumn("op", F.lit("insert")), f"changes/{table}", **delta.op_metrics("op"))
         spec = DeltaSpec(keys=(auto,), null_keys=False)
-        current, rest = run.touched(table, changes, [auto])
+        current, rest, _, _ = run.touched(table, changes, [auto])
     else:
-        current, rest = run.touched(table, incoming, key) if key else (run.current(table), {})
+        current, rest, incoming, same = run.touched(table, incoming, key) if key else (run.current(table), {}, incoming, 0)
         version = "Submission_Index" if "Submission_Index" not in key else None
         spec = DeltaSpec(keys=tuple(key), version=version, absent_columns=job.absent_columns, null_keys=False)
         labelled = delta.classify(incoming, current, spec, joins.fits_broadcast(incoming.select(*key)))
         is_new = F.col("op") == "insert"
         kept = reshape.union_all([labelled.filter(~is_new), insert_rules(job, table, labelled.filter(is_new))])
         changes, counts = run.stage_counted(kept, f"changes/{table}", **delta.op_metrics(spec.label))
+    counts["same"] += same
     for op, count in sorted(counts.items()):
         if count:
             run.note(table, op, count)
@@ -540,7 +564,7 @@ def load_links(run: Run, item: str, frames: dict[str, DataFrame]) -> None:
     run.note(table, "insert", count)
     if count:
         spec = DeltaSpec(keys=("Biospecimen_ID", index), null_keys=False)
-        part, rest = run.touched(table, changes, list(spec.keys))
+        part, rest, _, _ = run.touched(table, changes, list(spec.keys))
         merged = run.put(table, delta.merge_snapshot(part, changes, spec), list(spec.keys), rest)
         check_merge(run, table, spec, changes, merged, part.count() + count)
 

@@ -12,7 +12,7 @@ its manifest rows is repeated under its id; until then the table takes no other
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
@@ -30,6 +30,7 @@ MANIFEST_SCHEMA = StructType([
     StructField("n_rows", LongType()),
     StructField("version", LongType()),
     StructField("published_at", TimestampType()),
+    StructField("digest", StringType()),  # of the bucket's compared columns, see delta.bucket_digests
 ])
 
 
@@ -43,6 +44,7 @@ class Head:
 
     version: int
     paths: dict[int | None, str]
+    digests: dict[int | None, str | None] = field(default_factory=dict)
 
     @property
     def bucketed(self) -> bool:
@@ -107,7 +109,7 @@ class SnapshotStore:
     def heads(self, upto: int | None = None) -> dict[str, Head]:
         """Current version and folders per table: at most one row per table and bucket. ``upto``: as of this version."""
         known = self.manifest() if upto is None else self.manifest().filter(F.col("version") <= upto)
-        newest = known.groupBy("table_name", "bucket").agg(F.max(F.struct("version", "path")).alias("head"))
+        newest = known.groupBy("table_name", "bucket").agg(F.max(F.struct("version", "path", "digest")).alias("head"))
         rows = newest.collect()
         found: dict[str, Head] = {}
         for name in {row.table_name for row in rows}:
@@ -118,7 +120,7 @@ class SnapshotStore:
             paths = {row.bucket: row.head.path for row in own if row.head.version >= since}
             if last > since:
                 paths.pop(None, None)
-            found[name] = Head(last, paths)
+            found[name] = Head(last, paths, {row.bucket: row.head.digest for row in own if row.bucket in paths})
         return found
 
     def locations(self) -> dict[str, list[str]]:
@@ -197,11 +199,13 @@ class SnapshotStore:
 
     def publish(
         self, run_id: str, tables: dict[str, int | dict[int, int]], read: dict[str, Head] | None = None, folder: str | None = None,
+        digests: dict[str, dict[int, str]] | None = None,
     ) -> None:
         """Make the run's staged tables the current ones: the last write of a run.
 
         ``tables`` holds the rows of each table or of each of its written buckets, ``read`` the heads the
-        run has read; without it the heads of this moment count. ``folder`` is where the run has staged, its id by default.
+        run has read; without it the heads of this moment count. ``folder`` is where the run has staged, its id by default;
+        ``digests`` are those of written buckets.
         """
         heads = self.heads()
         read = heads if read is None else read
@@ -215,9 +219,10 @@ class SnapshotStore:
         for name, count in tables.items():
             path, version = self.staging(folder or run_id, f"tables/{name}"), _version(heads, name) + 1
             if isinstance(count, dict):
-                rows += [(run_id, name, at, f"{path}/{BUCKET_COLUMN}={at}", n, version, now) for at, n in count.items()]
+                known = (digests or {}).get(name, {})
+                rows += [(run_id, name, at, f"{path}/{BUCKET_COLUMN}={at}", n, version, now, known.get(at)) for at, n in count.items()]
             else:
-                rows.append((run_id, name, None, path, count, version, now))
+                rows.append((run_id, name, None, path, count, version, now, None))
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
 
     def log(self, rows: list[tuple[str, str, str, int, str | None]]) -> DataFrame:

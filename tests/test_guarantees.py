@@ -291,3 +291,20 @@ def test_an_unreadable_cell_keeps_what_is_stored(spark, tmp_path):
     assert rows(read(job, "Participant_Visit_Info"), "Research_Participant_ID", "BMI") == [("99_000001", None), ("99_000002", 24.0)]
     told = [json.loads(r.record).get("_mixed") for r in result.rejects.collect() if r.reason == "cell does not fit its column type"]
     assert {"Age": "fortysix"} in told
+
+
+def test_an_unchanged_resubmission_opens_no_bucket(spark, tmp_path):
+    job = design_job(spark, tmp_path)
+    found = [(f"C{at}", "x" if at % 3 else None) for at in range(500)]
+    assert run_refresh(job, design(spark, *found), "day-1").published
+    key = ["Cohort_Name"]
+    current, rest, left, same = Run(job, "look").touched("Design", design(spark, *found[::-1])["study_design.csv"], key)
+    assert (current.count(), len(rest), left.count(), same) == (0, BUCKETS, 0, 500)
+    changed = [*found[1:], ("C0", "y")]
+    current, rest, left, same = Run(job, "look").touched("Design", design(spark, *changed)["study_design.csv"], key)
+    assert len(rest) == BUCKETS - 1 and left.count() == current.count() == 500 - same
+    again = run_refresh(job, design(spark, *found), "day-2")
+    assert again.published and log_of(again)[("Design", "same")] == 500 and not [k for k in log_of(again) if k[1] in ("insert", "update")]
+    last = run_refresh(job, design(spark, *changed), "day-3")
+    assert last.published and log_of(last)[("Design", "update")] == 1 and log_of(last)[("Design", "same")] == 499
+    assert rows(read(job, "Design")) == sorted(changed, key=repr)
