@@ -14,7 +14,9 @@ from tabload.queries import query, table
 from tabload.queries.references import new_run
 from tabload.session import shared_dir
 from tabload.sources.catalog import Catalog, Entry
+from tabload.sources.lines import read_lines
 from tabload.sources.listing import list_files
+from tabload.sources.tables import kinds_of, read_mapping
 
 
 def land(lines: DataFrame, line: Column, header: str, path: str) -> None:
@@ -140,3 +142,81 @@ def lab_items(spark: SparkSession, folder: str) -> DataFrame:
     )
     tables.load_links(run, "Equipment", {"equipment.csv": items})
     return run.current("Biospecimen_Equipment")
+
+
+@query("landed_shapes", """
+    select cast(o_orderkey as varchar) as "key", case when o_orderkey % 3 <> 1 then cast(o_custkey as varchar) end as "cust",
+           case when o_orderkey % 3 <> 2 then o_orderstatus end as "status",
+           case when o_orderkey % 3 = 2 and o_orderkey % 5 <> 0 then o_orderpriority end as "priority",
+           case when o_orderkey % 3 = 2 and o_orderkey % 5 = 0 then 'short' else 'whole' end as line
+    from orders""")
+def landed_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of three header shapes in one scan; every fifth order has a line without its last cell."""
+    root, orders = new_landing(spark), table(spark, folder, "orders")
+    key, cust, status = text_of("o_orderkey"), F.coalesce(text_of("o_custkey"), F.lit("")), F.coalesce("o_orderstatus", F.lit(""))
+    last = F.when(F.col("o_orderkey") % 5 == 0, "").otherwise(F.concat(F.lit(","), F.coalesce("o_orderpriority", F.lit(""))))
+    shapes = {
+        "key,cust,status": F.concat_ws(",", key, cust, status), "status,key": F.concat_ws(",", status, key),
+        "cust,key,priority": F.concat(cust, F.lit(","), key, last),
+    }
+    for at, (header, line) in enumerate(shapes.items()):
+        land(orders.filter(F.col("o_orderkey") % 3 == at), line, header, f"{root}/part {at}")
+    files = list_files(spark, root, "*.csv").withColumn("kind", F.lit("orders.csv"))
+    rows = read_lines(spark, root, files)["orders.csv"]
+    return rows.select("key", "cust", "status", "priority", F.when(F.col("_short").isNull(), "whole").otherwise("short").alias("line"))
+
+
+@query("kind_mapping_landed", """
+    with mapping as (
+        select n_nationkey as kind, r_name as target_table from nation join region on n_regionkey = r_regionkey
+        union all select n_nationkey, 'From_' || left(n_name, 1) from nation)
+    select target_table, count(*) as n_rows from mapping join customer on kind = c_nationkey group by target_table""")
+def kind_mapping_landed(spark: SparkSession, folder: str) -> DataFrame:
+    """A mapping landed as JSON rows sends the customers of a nation to two tables each."""
+    path, nation = f"{new_landing(spark)}/mapping.json", table(spark, folder, "nation")
+    kind = F.concat(text_of("n_nationkey"), F.lit(".csv")).alias("file_kind")
+    placed = nation.join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = placed.select(kind, F.col("r_name").alias("target_table"))
+    rows.unionByName(nation.select(kind, F.concat(F.lit("From_"), F.left("n_name", F.lit(1))).alias("target_table"))).write.json(path)
+    mapping = read_mapping(spark, path)
+    targets = sorted({target for found in mapping.values() for target in found})
+    pairs = [(target, fed) for target in targets for fed in kinds_of(mapping, target)]
+    fed = spark.createDataFrame(pairs, "target_table string, file_kind string")
+    customers = table(spark, folder, "customer").select(F.concat(text_of("c_nationkey"), F.lit(".csv")).alias("file_kind"))
+    return customers.groupBy("file_kind").count().join(fed, "file_kind").groupBy("target_table").agg(F.sum("count").alias("n_rows"))
+
+
+@query("assay_bundle_landed", f"""
+    with assays as (
+        select c_custkey as k, lpad(cast(c_custkey % 100 as varchar), 2, '0') || '_' || lpad(cast(c_custkey % 1000 as varchar), 3, '0') as id
+        from customer where c_custkey % 7 <> 0)
+    select 'assay_data.csv' as kind, id, case when k % 4 = 0 then '{config.NO_DATA_PROVIDED}' else 'N' || k end as told, 'O' || (k % 5) as more from assays
+    union all
+    select 'assay_qc.csv', id, case when k % 3 = 0 then '{config.NO_DATA_PROVIDED}' else 'Q' || k end, case when k % 2 = 0 then '' else 'c' || k end from assays""")
+def assay_bundle_landed(spark: SparkSession, folder: str) -> DataFrame:
+    """Assays of three sites from the newer of two workbooks each, and their quality control; ids that do not fit are left out.
+
+    A sheet of a workbook is one file.
+    """
+    root, customers = new_landing(spark), table(spark, folder, "customer")
+    key = F.col("c_custkey")
+    fits = F.concat_ws("_", F.lpad((key % 100).cast("string"), 2, "0"), F.lpad((key % 1000).cast("string"), 3, "0"))
+    name = F.when(key % 7 == 0, "Template").otherwise(fits)
+
+    def cell(blank: Column, mark: str) -> Column:
+        return F.when(blank, "").otherwise(F.concat(F.lit(mark), text_of("c_custkey")))
+
+    organism = F.concat(F.lit("O"), (key % 5).cast("string"))
+    for site in range(3):
+        own, place = customers.filter(key % 3 == site).coalesce(1), f"{root}/{config.JOB_FOLDERS['assay_data']}Site_{site}"
+        header = "Assay_ID,Calibration_Type,Target_Organism"
+        land(own, F.concat_ws(",", name, F.lit("older"), organism), header, f"{place}/assay_1.xlsx")
+        land(own, F.concat_ws(",", name, cell(key % 4 == 0, "N"), organism), header, f"{place}/assay_2.xlsx")
+        land(own, F.concat_ws(",", name, cell(key % 3 == 0, "Q"), cell(key % 2 == 0, "c")), "Assay_ID,QC,Comments", f"{place}/assay_qc.xlsx")
+    found = bundle_of("assay_data", list_files(spark, root, "*.csv"), config.JOB_FOLDERS["assay_data"], "", None)
+    columns = {"assay_data.csv": ("Calibration_Type", "Assay_Target_Organism"), "assay_qc.csv": ("QC", "Comments")}
+    parts = [
+        found[kind].select(F.lit(kind).alias("kind"), F.col("Assay_ID").alias("id"), F.col(told).alias("told"), F.col(more).alias("more"))
+        for kind, (told, more) in columns.items()
+    ]
+    return parts[0].unionByName(parts[1])

@@ -55,11 +55,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write rows as Parquet to the shared folder and read them back: this runs a job and cuts lineage.
 
-    Later reads survive lost executors. The folder belongs to the cluster, which empties it.
+    Later reads survive lost executors. The folder belongs to the cluster, which empties it. With ``by``, a column of few values, reads
+    that ask for one of them open its files only.
     """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

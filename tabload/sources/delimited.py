@@ -23,7 +23,7 @@ MALFORMED_COLUMN = "_malformed"
 SHORT_COLUMN = "_short"
 
 
-def _open(path: str):
+def open_file(path: str):
     from pyarrow import fs
 
     if path.startswith("file:") or path.startswith("/"):
@@ -35,10 +35,11 @@ def _open(path: str):
 
 def _first_record(path: str, encoding: str) -> tuple[list[str] | None, str | None]:
     """Header cells of a file, or what is wrong with it; reads no more of it than its first record."""
-    with _open(path) as stream:
+    with open_file(path) as stream:
         lines = codecs.getreader("utf-8-sig" if codecs.lookup(encoding).name == "utf-8" else encoding)(stream)
         try:
-            return next(csv.reader(lines), []), None
+            # Blank lines above the header are none of Spark's lines either.
+            return next((cells for cells in csv.reader(lines) if len(cells) > 1 or "".join(cells).strip()), []), None
         except (UnicodeDecodeError, csv.Error) as error:
             return None, f"header cannot be read as {encoding}: {type(error).__name__}"
 
@@ -89,12 +90,15 @@ def read_shape(
         .option("encoding", encoding)
         .csv([literal_path(path) for path in paths])
     )
+    return mark_lines(rows.withColumn(PATH_COLUMN, metadata_path()), names)
+
+
+def mark_lines(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Tell lines with too many cells from those with too few; ``rows`` holds either as ``MALFORMED_COLUMN``."""
     line = F.col(MALFORMED_COLUMN)
     unquoted = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
     few = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1 < len(names)
-    return rows.withColumns({
-        MALFORMED_COLUMN: F.when(~few, line), SHORT_COLUMN: F.when(few, line), PATH_COLUMN: metadata_path(),
-    })
+    return rows.withColumns({MALFORMED_COLUMN: F.when(~few, line), SHORT_COLUMN: F.when(few, line)})
 
 
 def rejected(rows: DataFrame, source: str | Column, reason: str | Column) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from landing import write_csv
 from tabload.operators import submissions
-from tabload.sources import bundles, catalog, delimited, listing, tables
+from tabload.sources import bundles, catalog, delimited, lines, listing, tables
 from tabload.streaming.ingest import append_batches, keep_latest_within, run_available, stream_files
 
 
@@ -37,6 +37,32 @@ def test_line_ends_in_cells(spark, tmp_path):
     assert rows(df, "x", "y") == [("one\ntwo", "2")]
 
 
+def test_lines_give_what_a_read_per_shape_gives(spark, tmp_path):
+    odd = tmp_path / "odd (1) [x]+y"
+    odd.mkdir()
+    (odd / "a.csv").write_text("x,y\n1,2\n\nx,y\n 3 ,\"a,\"\"b\"\nx,y\n1,2,3\n5\n\"\",\n")
+    (odd / "b.csv").write_bytes(b"\xef\xbb\xbfy,x,,x\r\n2,1,9,8\r\n")
+    (odd / "quoted.csv").write_text('\n"x","y"\n7,8')
+    (odd / "empty.csv").write_text("")
+    (odd / "header.csv").write_text("x,y,z\n")
+    (odd / "latin.csv").write_bytes("gr\u00f6\u00dfe,y\n1,2\n".encode("latin-1"))
+    (odd / "other.csv").write_text("x,y\nnot,listed\n")
+    (odd / "c.csv").write_text("x,y\n1,2\n")
+    kind = F.when(F.col("key").contains("/c."), "c").otherwise("ab")
+    files = listing.list_files(spark, str(tmp_path), "*.csv").filter(~F.col("key").contains("other")).withColumn("kind", kind)
+    rejects, wanted = [], []
+    got, slow = lines.read_lines(spark, str(tmp_path), files, rejects=rejects), delimited.read_kinds(files, rejects=wanted)
+    assert sorted(got) == sorted(slow) == ["ab", "c"]
+    names = ["x", "y", "z", "Unnamed: 2", "x.1", "_malformed", "_short"]
+    place = listing.comparable_path(F.col("_path")).alias("at")
+    for found in ("ab", "c"):
+        columns = [F.col(f"`{name}`") for name in names if name in got[found].columns] + [place]
+        assert rows(got[found].select(columns)) == rows(slow[found].select(columns))
+    assert got["ab"].filter("x = 'x' and y = 'y'").count() == 2  # the header once more is data
+    assert [r.source for r in rejects[0].collect()] == [r.source for r in wanted[0].collect()] == ["ab"]
+    assert lines.read_lines(spark, str(tmp_path), files.limit(0)) == {}
+
+
 def test_submission_folders(spark):
     paths = [
         "S/Site_99/13-05-09-02-28-2021/submission_001_a.zip/UnZipped_Files/x.csv",
