@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabload.operators.joins import anti, join_on, semi
 
-SAMPLED_KEYS = 4096
-RANGES = 256
+KEYS_A_RANGE = 16  # sampled keys between two bounds
+RANGES = 256  # at least so many
 
 
 def link_table(
@@ -22,24 +24,31 @@ def link_table(
     return semi(anti(pairs, stored, pair, null_safe=False), known, [known_key], null_safe=False)
 
 
-def number_rows(df: DataFrame, order: list[str | Column], name: str, start: int | Column = 1) -> DataFrame:
+def number_rows(
+    df: DataFrame, order: list[str | Column], name: str, start: int | Column = 1, ranges: int | None = None,
+) -> DataFrame:
     """Dense numbers from ``start`` in the given order, which must be total, without a single-task sort.
 
     Range bounds come from a sample of the sort keys (those with the smallest hashes) by a scalar subquery, so a row's
     range is an expression of its key alone: no job runs while the plan is built, and a lost executor changes
     nothing. Rows are numbered within their range and shifted by the sizes of the ranges before it; that
-    list has at most ``RANGES`` rows, so it may be broadcast.
+    list has a row per range, so it may be broadcast. There are as many ranges as shuffle partitions, which follow the size of the data,
+    and ``RANGES`` at least. A row finds its range in two steps, among every ``width``-th bound and then among those up to the next.
     """
+    ranges = ranges or max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    width = isqrt(ranges - 1) + 1
     key = F.struct(*order)
     keyed = df.withColumn("_key", key)
-    sample = keyed.select("_key").orderBy(F.xxhash64("_key")).limit(SAMPLED_KEYS)
-    step = SAMPLED_KEYS // RANGES
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key")).limit(KEYS_A_RANGE * ranges)
     listed = sample.agg(F.sort_array(F.collect_list("_key")).alias("keys")).select(
-        F.filter("keys", lambda _, at: at % step == step - 1).alias("bounds")
+        F.filter("keys", lambda _, at: at % KEYS_A_RANGE == KEYS_A_RANGE - 1).alias("bounds")
     )
-    ranged = keyed.withColumn("_bounds", listed.scalar()).withColumn(
-        "_range", F.size(F.filter("_bounds", lambda bound: bound <= F.col("_key")))
-    ).drop("_bounds")
+    wide = listed.select(F.filter("bounds", lambda _, at: at % width == width - 1).alias("wide"))
+    block = F.size(F.filter("_wide", lambda bound: bound <= F.col("_key"))) * width
+    within = F.size(F.filter(F.slice("_bounds", F.col("_block") + 1, width), lambda bound: bound <= F.col("_key")))
+    ranged = keyed.withColumns({"_bounds": listed.scalar(), "_wide": wide.scalar()}).withColumn("_block", block).withColumn(
+        "_range", F.col("_block") + within
+    ).drop("_bounds", "_wide", "_block")
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -263,6 +263,14 @@ def test_numbers_are_dense_and_ordered(spark):
     assert [(r.t, r.h) for r in got] == sorted((r.t, r.h) for r in got)
 
 
+def test_numbers_over_any_number_of_ranges(spark):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("a"))
+    for ranges in (1, 2, 7, 100, 1000):
+        got = links.number_rows(df, ["a"], "n", ranges=ranges).orderBy("a").collect()
+        assert [r.n for r in got] == list(range(1, 3001))
+        assert [r.a for r in got] == sorted(r.a for r in got)
+
+
 def test_numbers_of_no_rows(spark):
     assert links.number_rows(frame(spark, [], "a int"), ["a"], "n").count() == 0
 
