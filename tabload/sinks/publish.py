@@ -162,11 +162,14 @@ class SnapshotStore:
         return self.stage_buckets_counted(rows, folder, table, keys)[0]
 
     def stage_buckets_counted(self, rows: DataFrame, folder: str, table: str, keys: list[str]) -> tuple[dict[int, str], dict[int, int]]:
-        """``stage_buckets`` and the rows of each written bucket, counted while they are written."""
+        """``stage_buckets`` and the rows of each written bucket, counted while they are written.
+
+        Spark sizes the writing tasks (``REBALANCE``): a large bucket is written by several, as one file each, small ones share a task.
+        """
         path = self.staging(folder, f"tables/{table}")
         told = Observation()
         at = F.col(BUCKET_COLUMN)
-        placed = rows.withColumn(BUCKET_COLUMN, bucket_of(keys)).repartition(BUCKET_COLUMN)
+        placed = rows.withColumn(BUCKET_COLUMN, bucket_of(keys)).hint("rebalance", 4 * BUCKETS, F.col(BUCKET_COLUMN))
         counted = placed.observe(told, *[F.count_if(at == bucket).alias(f"b{bucket}") for bucket in range(BUCKETS)])
         counted.write.mode("overwrite").partitionBy(BUCKET_COLUMN).parquet(path)
         counts = {bucket: told.get[f"b{bucket}"] for bucket in range(BUCKETS)}

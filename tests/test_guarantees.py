@@ -26,6 +26,24 @@ def put(store, run_id, rows, table="t", keys=("k",), read=None):
     return paths
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB", "spark.sql.shuffle.partitions": "4"}
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        df = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        paths, counts = SnapshotStore(spark, str(tmp_path)).stage_buckets_counted(df, "one", "t", ["k"])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    (hot,) = (row[0] for row in spark.createDataFrame([(7,)], "k bigint").select(bucket_of(["k"])).collect())
+    files = {at: len(spark.read.parquet(path).inputFiles()) for at, path in paths.items()}
+    assert sum(counts.values()) == spark.read.parquet(*paths.values()).count() == 60_000
+    assert files[hot] > 4 and len(paths) == BUCKETS
+    assert sorted(files.values())[BUCKETS // 2] == 1  # the others are not cut up
+
+
 def test_a_small_change_leaves_other_buckets_in_place(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     schema = "k bigint, v string"
