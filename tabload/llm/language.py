@@ -21,14 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabload.llm.common import bounded, slices, small_batches
+from tabload.llm.common import bounded, slices, small_batches, tidy
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 PER_LANGUAGE = 5_000
 SMOOTHING = 0.5
 WEIGHT_OF = 100  # n-grams from which a score is tempered, so that it stays gradual in long texts; the language is not touched
-SLICE_CHARS = 500_000
+SLICE_CHARS = 250_000
 UNKNOWN = "und"
 
 _LETTER: list[np.ndarray] = []
@@ -112,6 +112,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
 
     small_batches()
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((len(languages), BUCKETS), dtype=np.int64)
         for batch in batches:
@@ -141,6 +142,7 @@ def predict(spark: SparkSession, model: Model, text: Column) -> Column:
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang:string,score:double>")
+    @tidy
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held = shared.value
         names = np.array([*held.languages, UNKNOWN], dtype=object)

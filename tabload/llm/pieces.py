@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tabload.llm.common import ragged, slices, small_batches
+from tabload.llm.common import ragged, slices, small_batches, tidy
 
 MARK = "▁"
 TABLE_CHARS = 3_000_000  # characters of distinct chunks a task keeps
@@ -120,6 +120,7 @@ def tokenize(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str
         docs.schema[id_col], StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType()),
     ])
 
+    @tidy
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model)
         for batch in batches:
@@ -142,6 +143,7 @@ def decode(ids: Column, model: str) -> Column:
     small_batches()
 
     @F.arrow_udf("string")
+    @tidy
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = sentencepiece.SentencePieceProcessor(model_file=model)
         for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tabload.llm.common import small_batches
+from tabload.llm.common import small_batches, tidy
 from tabload.llm.graph import components, forest
 from tabload.session import stage
 
@@ -57,6 +57,7 @@ def bands(own: np.ndarray) -> list[int]:
     return [int(np.int64(np.uint64(xxhash.xxh64_intdigest(row.tobytes(), at)).view(np.int64))) for at, row in enumerate(rows)]
 
 
+@tidy
 def _sketch(batches: Iterator[pa.RecordBatch], words: int, kept: bool) -> Iterator[pa.RecordBatch]:
     """(id, text) to id, node and bands, or to node and set if the sets are kept."""
     for batch in batches:
@@ -71,6 +72,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int, kept: bool) -> Iterat
                 yield pa.RecordBatch.from_arrays([part.column(0), nodes, keys], ["id", "node", "bands"])
 
 
+@tidy
 def _alike(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """(a, b, own, other): the pairs whose sets are alike."""
     for batch in batches:
@@ -141,6 +143,7 @@ def link_edges(rows: DataFrame, found: DataFrame, words: int, least: float) -> D
         .join(sets, "node").select("band", "low", "high", "down", "across", "node", "own")
     )
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabload.llm.common import ragged, slices, small_batches
+from tabload.llm.common import ragged, slices, small_batches, tidy
 from tabload.llm.graph import components, forest
 from tabload.session import stage
 
@@ -75,6 +75,7 @@ def fingerprint(text: Column, words: int) -> Column:
     small_batches()
 
     @F.arrow_udf("bigint")
+    @tidy
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             texts = [x or b"" for x in batch.to_pylist()]
@@ -167,6 +168,7 @@ def plan_search(prints: DataFrame, distance: int) -> Layout | None:
 
     Driver state: 64 x 64 counts, then one count per group and value (at most 4 x 65,536).
     """
+    @tidy
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = np.zeros((64, 64)), 0
         for batch in batches:
@@ -186,6 +188,7 @@ def plan_search(prints: DataFrame, distance: int) -> Layout | None:
         return None
     groups = correlated_groups(flat[:-1].reshape(64, 64), n)
 
+    @tidy
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(PARTS << WIDTH, dtype=np.int64)
         for batch in batches:
@@ -262,6 +265,7 @@ def link_edges(prints: DataFrame, distance: int) -> DataFrame | None:
         return None
     shared = prints.sparkSession.sparkContext.broadcast(layout)  # 4 x 65,536 block counts, whatever the input
 
+    @tidy
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
         far = [masks(bits) if bits >= 0 else np.empty(0, np.int64) for bits in plan.reach]
@@ -271,6 +275,7 @@ def link_edges(prints: DataFrame, distance: int) -> DataFrame | None:
                     [pa.array(cell), pa.array(np.full(len(cell), probing)), pa.array(own)], ["cell", "probing", "fp"]
                 )
 
+    @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int64)]
         for batch in _with_end(batches):

@@ -30,15 +30,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tabload.llm.common import bounded, fresh, ragged, slices, small_batches
+from tabload.llm.common import bounded, fresh, ragged, slices, small_batches, tidy
 from tabload.session import stage
 
 LENGTH = 50
 ANCHOR = 20
 CROWDED = 50_000  # windows in the runs of one anchor beyond which they are sent one by one
-CHUNK_BYTES = 500_000  # bytes hashed at once
+CHUNK_BYTES = 250_000  # bytes hashed at once
 KEPT_RUNS = 150_000  # runs a task gathers before it drops repeats and sends the rest
-SORTED_WINDOWS = 200_000  # suffixes sorted at once; a group is never cut
+SORTED_WINDOWS = 100_000  # suffixes sorted at once; a group is never cut
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -166,6 +166,7 @@ def _first_of_equal(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBa
     yield _batch(anchor[keep], run[keep], ids[keep], start[keep], n[keep], np.zeros(int(keep.sum()), bool))
 
 
+@tidy
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text) to runs."""
     parts, held = [], 0
@@ -183,6 +184,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _first_of_equal(parts)
 
 
+@tidy
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs sorted by anchor, run and id: copies, and runs to be looked at (copy is false).
 
@@ -268,6 +270,7 @@ def _one_by_one(data: np.ndarray, at: np.ndarray, ids: np.ndarray, starts: np.nd
     yield _pieces(rolled[row].view(np.int64), pieces, ids[row], np.diff(np.append(tops, len(kept))), starts[kept], np.full(len(row), LENGTH))
 
 
+@tidy
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text, runs to be looked at) to the bytes of those runs; crowded anchors send their windows one by one."""
     for batch in batches:
@@ -374,6 +377,7 @@ def _first_pieces(rows: pa.Table) -> pa.Table:
     return rows.take(pa.array(list(seen.values()), pa.int64()))
 
 
+@tidy
 def _sort_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces sorted by place and id to the stretches of their documents that are later copies.
 
@@ -496,9 +500,11 @@ def trim_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found, stretches = _with_stretches(docs, id_col, text_col)
 
     @F.arrow_udf("string")
-    def whole(text: pa.Array, stretches: pa.Array) -> pa.Array:
-        kept, *_ = _without(text, stretches, characters=True)
-        return pa.array([x if x is None else x.decode("utf-8", "replace") for x in kept], pa.string())
+    @tidy
+    def whole(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, stretches in batches:
+            kept, *_ = _without(text, stretches, characters=True)
+            yield pa.array([x if x is None else x.decode("utf-8", "replace") for x in kept], pa.string())
 
     touched = F.col(stretches).isNotNull()
     cut = whole(F.when(touched, F.col(text_col).cast("binary")), F.col(stretches))

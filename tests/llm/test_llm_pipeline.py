@@ -139,3 +139,27 @@ def test_edited_copies_go(spark, monkeypatch, block):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     left = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
     assert left == set(root)
+
+
+def test_a_step_gives_memory_back_when_its_task_ends():
+    """What a step has freed below a block that is still in use does not stay with the worker."""
+    from tabload.llm.common import tidy
+
+    def resident():
+        return next(int(x.split()[1]) // 1024 for x in open("/proc/self/status") if x.startswith("VmRSS"))
+
+    pins = []
+
+    def step(batches):
+        for batch in batches:
+            many = [bytes(2000) for _ in range(100_000)]
+            pins.append(bytes(2000))
+            yield batch
+            del many
+
+    grown = []
+    for run in (step, tidy(step)):
+        before = resident()
+        assert list(run(iter([1]))) == [1]
+        grown.append(resident() - before)
+    assert grown[0] > 100 and grown[1] < 0  # in MB
