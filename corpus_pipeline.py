@@ -30,7 +30,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group, linked at a similarity of 0.8 of five-word shingles."""
+    """Keep the document with the smallest id of each group, linked at a similarity of 0.8 of five-word shingles.
+
+    SimHash fingerprints and MinHash keys propose the pairs, the exact sets of shingles decide.
+    """
     groups = resemblance.near_duplicates(docs, words=5, least=0.8)
     first = groups.filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
     key = fresh(docs, "first_id")

@@ -1,7 +1,9 @@
-"""Near-duplicate texts by the similarity (Jaccard) of their word shingles: MinHash bands propose, exact sets decide.
+"""Near-duplicate texts by the similarity (Jaccard) of their word shingles: SimHash and MinHash propose, exact sets decide.
 
-A text's set of shingle hashes gives ``BANDS`` keys of ``ROWS`` minima each. Texts with a common key are compared by their
-exact sets; a pair at a similarity of 0.8 has a common key with probability 1 - (1 - 0.8^4)^20 = 0.99997, nearer ones with more.
+A text's set of shingle hashes gives a SimHash fingerprint and ``BANDS`` MinHash keys of ``ROWS`` minima each. Fingerprints are linked at
+``DISTANCE`` or fewer differing bits by the pigeonhole search of ``simhash``, and texts connected by that have a key in common. Fingerprints
+of texts at a similarity of 0.8 differ in more bits, as a rule, than such a search reaches, so the MinHash keys stand beside them: a pair at
+0.8 has one of those in common with probability 1 - (1 - 0.8^4)^20 = 0.99997, nearer ones with more. No pair is linked but by its exact sets.
 First every text is compared with the smallest text of each of its keys, which is linear however many share a key.
 Keys whose texts are not connected by that are compared pair by pair, crowded ones dealt over a grid of blocks.
 Tasks emit spanning forests of their links. Equal sets are one node from the start.
@@ -19,12 +21,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tabload.llm import simhash
 from tabload.llm.common import small_batches, tidy
 from tabload.llm.graph import components, forest
 from tabload.session import stage
 
 WORDS = 5
 LEAST = 0.8
+DISTANCE = 4  # differing bits of two fingerprints
 BANDS = 20
 ROWS = 4
 BLOCK = 512  # texts of a key in one block of its grid, about
@@ -45,6 +49,17 @@ def shingles(text: bytes, words: int) -> np.ndarray:
     return np.unique(np.array(hashes, dtype=np.uint64))
 
 
+def fingerprint(own: np.ndarray) -> int | None:
+    """The SimHash of a set of shingle hashes (signed 64 bits): the bits that over half of them have; none of an empty set."""
+    if not len(own):
+        return None
+    set_in = np.zeros(64, dtype=np.int64)
+    for start in range(0, len(own), COLUMNS):
+        part = np.ascontiguousarray(own[start: start + COLUMNS], dtype="<u8").view(np.uint8).reshape(-1, 8)
+        set_in += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_in > len(own), bitorder="little").view("<i8")[0])
+
+
 def bands(own: np.ndarray) -> list[int]:
     """The keys of a set of shingle hashes, one per band; none of an empty set."""
     if not len(own):
@@ -59,7 +74,7 @@ def bands(own: np.ndarray) -> list[int]:
 
 @tidy
 def _sketch(batches: Iterator[pa.RecordBatch], words: int, kept: bool) -> Iterator[pa.RecordBatch]:
-    """(id, text) to id, node and bands, or to node and set if the sets are kept."""
+    """(id, text) to id, node, fingerprint and bands, or to node and set if the sets are kept."""
     for batch in batches:
         for start in range(0, len(batch), 256):
             part = batch.slice(start, 256)
@@ -68,8 +83,9 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int, kept: bool) -> Iterat
             if kept:
                 yield pa.RecordBatch.from_arrays([nodes, pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "own"])
             else:
+                prints = pa.array([fingerprint(x) for x in sets], pa.int64())
                 keys = pa.array([bands(x) for x in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), nodes, keys], ["id", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0), nodes, prints, keys], ["id", "node", "fp", "bands"])
 
 
 @tidy
@@ -108,12 +124,27 @@ def _cell(nodes: np.ndarray, down: np.ndarray, across: np.ndarray, sets: list[by
     return forest(nodes[x], nodes[y])
 
 
+def candidate_keys(found: DataFrame) -> DataFrame:
+    """``node, band``: the keys of each node, its bands and one for what its fingerprint is connected with."""
+    nodes = found.filter("fp is not null").select("node", "fp", "bands").dropDuplicates(["node"])
+    keyed = nodes.select("node", F.explode("bands").alias("band"))
+    prints = nodes.select("fp").distinct()
+    edges = simhash.link_edges(prints, DISTANCE)
+    if edges is None:
+        return keyed
+    roots = stage(components(edges), "prints").toDF("of", "root")
+    near = nodes.join(roots, F.col("fp") == F.col("of"), "left").select(
+        "node", F.xxhash64(F.lit("fingerprint"), F.coalesce("root", "fp")).alias("band")
+    )
+    return keyed.unionByName(near)
+
+
 def link_edges(rows: DataFrame, found: DataFrame, words: int, least: float) -> DataFrame:
     """Edges ``a, b`` that connect the nodes of ``found`` as all links between texts with a common key do.
 
     Sets are made again from ``rows``, for texts with a common key only, so those of most texts never leave their task.
     """
-    keyed = stage(found.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("band")), "keys")
+    keyed = stage(candidate_keys(found), "keys")
     heads = keyed.groupBy("band").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = stage(keyed.join(heads, "band"), "met")
     wanted = (
@@ -184,7 +215,7 @@ def near_duplicates(
     kind = dict(rows.dtypes)["id"]
     small_batches()
     found = stage(
-        rows.mapInArrow(lambda batches: _sketch(batches, words, False), f"id {kind}, node bigint, bands array<bigint>"), "shingles"
+        rows.mapInArrow(lambda batches: _sketch(batches, words, False), f"id {kind}, node bigint, fp bigint, bands array<bigint>"), "shingles"
     )
     firsts = found.groupBy("node").agg(F.min("id").alias("first"))
     roots = stage(components(link_edges(rows, found, words, least)), "roots")

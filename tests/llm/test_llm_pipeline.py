@@ -5,6 +5,7 @@ import random
 import sys
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -163,3 +164,21 @@ def test_a_step_gives_memory_back_when_its_task_ends():
         assert list(run(iter([1]))) == [1]
         grown.append(resident() - before)
     assert grown[0] > 100 and grown[1] < 0  # in MB
+
+
+def test_near_fingerprints_propose_and_exact_sets_decide(spark):
+    """Without a MinHash key in common: texts with near fingerprints are linked if their sets are alike, and only then."""
+    words = cases.prose(77, 400).split()
+    texts = [" ".join(words), " ".join([*words[:-1], "edited"]), cases.prose(78, 400), "", " ".join([*words[:-2], "other", "end"])]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array([x.encode() for x in texts], pa.binary())], ["id", "text"])
+    made = next(resemblance._sketch(iter([batch]), 5, False)).to_pylist()
+    assert [r["fp"] for r in made[:3]] == resemblance.simhash.fingerprints([x.encode() for x in texts[:3]], 5).tolist()
+    assert made[3]["fp"] is None and made[3]["bands"] == []
+    prints = [made[0]["fp"], made[0]["fp"] ^ 0b1111, made[0]["fp"] ^ 0b1, None, made[0]["fp"] ^ (0b11111 << 40)]
+    rows = spark.createDataFrame([(at, t.encode()) for at, t in enumerate(texts)], "id bigint, text binary")
+    found = spark.createDataFrame(
+        [(r["id"], r["node"], fp, []) for r, fp in zip(made, prints)], "id bigint, node bigint, fp bigint, bands array<bigint>"
+    )
+    id_of = {r["node"]: r["id"] for r in made}
+    edges = {frozenset((id_of[r["a"]], id_of[r["b"]])) for r in resemblance.link_edges(rows, found, 5, 0.8).collect()}
+    assert edges == {frozenset((0, 1))}  # 2 is near by its fingerprint only, 4 alike but out of reach of fingerprints
