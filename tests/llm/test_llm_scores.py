@@ -167,6 +167,26 @@ def test_quality_against_slow_features_and_pairs():
     assert min(strength[:40]) > model.threshold > max(strength[40:80])
 
 
+def test_quality_learns_from_all_labelled_documents(spark):
+    """More documents of each class than a sample once held: centre, pairs and threshold come from every one, however they are dealt."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["one", "Two", "three!", "4", "fives |"], 3 + at % 7)) + ("!!" if at % 2 and at % 11 else "") for at in range(18_500)]
+    labels = np.array([0 if at % 2 else 1 for at in range(len(texts))])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    known = spark.createDataFrame([(at, int(x)) for at, x in enumerate(labels)], "doc_id bigint, quality int")
+    model = quality.train(docs, known)
+    x = quality.describe([t.encode() for t in texts])
+    assert np.allclose(model.centre, x.mean(axis=0), rtol=1e-12, atol=1e-12)
+    assert np.allclose(model.spread, np.maximum(x.std(axis=0), 1e-6))
+    strength = np.sort(model.strengths(x))
+    low = int((labels == 0).sum())
+    inside = strength[low - 2: low + 1]
+    assert inside[0] <= model.threshold <= inside[2] and np.isclose(model.threshold, quality._middle(inside))
+    assert np.corrcoef(model.strengths(x), quality.fit(x, labels, low / len(labels)).strengths(x))[0, 1] > 0.99
+    again = quality.train(docs.repartition(7), known.repartition(3))
+    assert np.allclose(again.weights, model.weights) and np.isclose(again.threshold, model.threshold)
+
+
 def slow_toxicity(model, text):
     """1 - product over sentences of 1 - p, sentence by sentence."""
     clean_chance = 1.0
