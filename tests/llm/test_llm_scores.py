@@ -2,6 +2,7 @@
 
 import re
 import sys
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -258,6 +259,20 @@ def test_offending_sentences_are_located(spark):
         assert all("nasty" in s for s in sentences) and bool(sentences) == ("nasty" in row["text"])
 
 
+def test_quality_describes_in_little_memory():
+    rng = np.random.default_rng(5)
+    some = [bytes(rng.choice(np.frombuffer(b"aA1 \n.!|#\xc3", np.uint8), 4_000)) for _ in range(50)]
+    long = b"".join(some)
+    assert (quality.describe([b"", long, *some]) == np.concatenate([quality.describe([x]) for x in (b"", long, *some)])).all()
+    assert np.allclose(quality.describe([long])[0, : len(quality._CLASSES)], np.mean([quality.describe([x])[0, : len(quality._CLASSES)] for x in some], axis=0))
+    for texts in ([b"a" * 2_000_000], [b"a" * 4_000] * 250):
+        tracemalloc.start()
+        quality.describe(texts)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 8 * sum(map(len, texts))
+
+
 URLS = [
     "https://a.COM/x", "http://com/", "http://com", "ftp://www.example.com/en/y?q#f", "http://example.com/en/1", "http://m.example.com/en/",
     "http://notexample.com/en/", "http://example.com/en", "http://x.net/es/", "http://net/fr/z", "http://casino.net/de/", "http://free-casino.com/",
