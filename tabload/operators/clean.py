@@ -124,39 +124,55 @@ def exclude_containing(df: DataFrame, columns: list[str], listed: DataFrame, pie
     cut = sized.select("_id", "_size", F.explode(starts).alias("_at")).select(
         "_id", F.substring(F.col("_id"), F.col("_at"), F.col("_size")).alias("_piece")
     )
-    hits = cut.join(entries, "_piece", "left_semi").select("_id")
+    hits = cut.join(entries, "_piece", "left_semi").select("_id").distinct()
     kept = df
     for c in columns:
-        kept = anti(kept.filter(F.col(c).isNotNull()), hits.withColumnRenamed("_id", c), [c])
-    return kept
+        kept = kept.filter(F.col(c).isNotNull())
+    return _without(kept, columns, hits)
+
+
+def _without(df: DataFrame, columns: list[str], hits: DataFrame) -> DataFrame:
+    """Rows none of whose ids is a hit.
+
+    Spark takes what an explode puts out to be as large as what goes in, and would send millions of cut ids through the driver; so hits
+    are merged, whatever size they are taken for.
+    """
+    for c in columns:
+        df = anti(df, hits.withColumnRenamed("_id", c).hint("merge"), [c])
+    return df
 
 
 GRAM = 4
+#: Runs are counted by a hash of so many values: the counts go through the driver.
+RUN_COUNTS = 1 << 16
 
 
 def exclude_by_grams(df: DataFrame, columns: list[str], listed: DataFrame, piece: str, gram: int = GRAM) -> DataFrame:
-    """``exclude_containing`` for long lists of pieces of many lengths: the work for an id grows with its length, not with that of the list.
+    """``exclude_containing`` for long lists of pieces of many lengths: an id is cut once, however many lengths there are.
 
-    Each listed piece is filed under its rarest run of ``gram`` characters among the distinct ids, one entry each. An id is
-    cut once, into its distinct runs; those that are filed fetch their pieces, and the id is searched for them. Pieces shorter
-    than that have few lengths and are cut for by length.
+    Pieces shorter than ``gram`` have few lengths and are cut for by length, first: what they exclude is not looked at again. Each
+    longer piece is filed under its rarest run of ``gram`` characters among the distinct ids, one entry each. An id is cut into its
+    distinct runs; those that are filed fetch their pieces, and the id is searched for them until one is found. How rare a run is
+    decides where a piece is filed, not whether it is found, so runs may share a count.
     """
     entries = listed.select(F.col(piece).alias("_piece")).filter(F.length("_piece") > 0).distinct()
     runs_of = lambda c: F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.length(c) - gram + 1), lambda at: F.substring(c, at, F.lit(gram))
     ))
-    told = df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("_id"))
+    place = lambda run: F.pmod(F.xxhash64(run), F.lit(RUN_COUNTS)).cast("int")
+    kept = exclude_containing(df, columns, entries.filter(F.length("_piece") < gram), "_piece")
+    told = kept.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("_id"))
     ids = told.filter(F.length("_id") >= gram).distinct()
     held = ids.select("_id", F.explode(runs_of(F.col("_id"))).alias("_gram"))
-    pieces = entries.filter(F.length("_piece") >= gram).select("_piece", F.explode(runs_of(F.col("_piece"))).alias("_gram"))
-    counts = held.join(pieces.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    rarest = F.min(F.struct(F.coalesce("_n", F.lit(0)), "_gram"))
-    filed = pieces.join(counts, "_gram", "left").groupBy("_piece").agg(rarest.alias("_key")).select("_piece", F.col("_key._gram").alias("_gram"))
-    hits = held.join(filed, "_gram").filter(F.col("_id").contains(F.col("_piece"))).select("_id").distinct()
-    kept = exclude_containing(df, columns, entries.filter(F.length("_piece") < gram), "_piece")
-    for c in columns:
-        kept = anti(kept, hits.withColumnRenamed("_id", c), [c])
-    return kept
+    places = df.sparkSession.range(RUN_COUNTS).select(F.col("id").cast("int").alias("_place"), F.lit(0).cast("bigint").alias("_n"))
+    counted = held.select(place(F.col("_gram")).alias("_place"), F.lit(1).cast("bigint").alias("_n"))
+    sums = counted.unionByName(places).groupBy("_place").agg(F.sum("_n").alias("_n"))
+    counts = sums.agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", "_n"))), lambda one: one["_n"])).scalar()
+    rarest = F.array_min(F.transform(runs_of(F.col("_piece")), lambda run: F.struct(F.get("_counts", place(run)), run.alias("_gram"))))
+    long = entries.filter(F.length("_piece") >= gram)
+    filed = long.withColumn("_counts", counts).select("_piece", rarest["_gram"].alias("_key"))
+    found = (F.col("_gram") == F.col("_key")) & F.col("_id").contains(F.col("_piece"))
+    return _without(kept, columns, held.join(filed, found, "left_semi").select("_id").distinct())
 
 
 def keep_matching_ids(df: DataFrame, column: str, pattern: str) -> DataFrame:

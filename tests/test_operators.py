@@ -1,5 +1,6 @@
 """Table operators: properties, edge rows and plans."""
 
+import hashlib
 import random
 
 import pytest
@@ -247,6 +248,25 @@ def test_nothing_listed_excludes_nothing(spark):
     assert rows(clean.exclude_containing(df, ["id"], frame(spark, [], "piece string"), "piece")) == [("a",)]
 
 
+@pytest.mark.parametrize("exclude", [clean.exclude_containing, clean.exclude_by_grams])
+def test_cut_ids_do_not_pass_through_the_driver(spark, tmp_path, exclude):
+    digests = [hashlib.md5(str(k).encode()).hexdigest() for k in range(21000)]
+    other = str.maketrans("0123456789abcdef", "ghijklmnopqrstuv")
+    ids = [f"id-{digest}" for digest in digests[:20000]] + [f"id-{digest.translate(other)}" for digest in digests[20000:]] + [None, "", "id-"]
+    cut = [digest.translate(other)[: 3 + k % 18] for k, digest in enumerate(digests[:400])]
+    pieces = sorted({*"0123456789", *cut, "", ids[20007], ids[20008][9:17], "-vv"})
+    want = sorted((x,) for x in ids if x is not None and not any(p in x for p in pieces if p))
+    assert 500 < len(want) < 950
+    frame(spark, [(x,) for x in ids], "id string").write.parquet(str(tmp_path / "ids"))
+    frame(spark, [(p,) for p in pieces], "piece string").write.parquet(str(tmp_path / "listed"))
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "24m")  # a page of 16 MB is the least; the cut ids take more than two
+    try:
+        got = exclude(spark.read.parquet(str(tmp_path / "ids")), ["id"], spark.read.parquet(str(tmp_path / "listed")), "piece")
+        assert rows(got) == want
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
 def test_blank_and_template_rows(spark):
     df = frame(spark, [("", None, "1"), ("a", "a", "a"), ("a", None, "a"), ("a", "b", "1")], "x string, y string, i string")
     assert clean.drop_blank_rows(df, ignore=("i",)).count() == 3
